@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kinmark.llm import survivor
-from kinmark.session import table
+from kinmark.llm import lookalike, survivor
+from kinmark.session import materialize, table
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,7 +19,31 @@ def p3_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivor.fused(table(spark, sf_dir, "merged_name_entries"))
 
 
-QUERIES = {"p3_found": p3_found, "p3_fused": p3_fused}
+def _all_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """owner_table, id, name of both tables of names."""
+    records = table(spark, sf_dir, "original_records").select(F.lit("original_records").alias("owner_table"), "id", "name")
+    entries = table(spark, sf_dir, "name_entries").select(F.lit("name_entries").alias("owner_table"), F.col("entry_id").alias("id"), "name")
+    return records.unionByName(entries)
+
+
+def p5_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every name beside the form in which it compares equal to what looks the same."""
+    names = _all_names(spark, sf_dir)
+    model = lookalike.fit(names, "name")
+    return names.withColumn("form", lookalike.canonical(model, F.col("name")))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of rows whose names look identical but are stored differently."""
+    forms = materialize(p5_canonical(spark, sf_dir), "p5-forms")
+    parts = []
+    for owner in ("original_records", "name_entries"):
+        own = forms.where(F.col("owner_table") == owner)
+        parts.append(lookalike.alike_pairs(own, "id", "form", "name").select(F.lit(owner).alias("owner_table"), "id_a", "id_b"))
+    return parts[0].unionByName(parts[1])
+
+
+QUERIES = {"p3_found": p3_found, "p3_fused": p3_fused, "p5_canonical": p5_canonical, "p5_found": p5_found}
 
 _P3 = """
 WITH src AS (
