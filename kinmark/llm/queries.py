@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinmark.llm import lookalike, survivor
+from kinmark.llm import leakage, lookalike, survivor
 from kinmark.session import materialize, table
 
 
@@ -43,7 +43,17 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-QUERIES = {"p3_found": p3_found, "p3_fused": p3_fused, "p5_canonical": p5_canonical, "p5_found": p5_found}
+def p7_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that repeat a test item, with the longest run, the stretch and its edit distance."""
+    return leakage.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that repeat a test item."""
+    return p7_evidence(spark, sf_dir).select("doc_id", "item_id")
+
+
+QUERIES = {"p3_found": p3_found, "p3_fused": p3_fused, "p5_canonical": p5_canonical, "p5_found": p5_found, "p7_evidence": p7_evidence, "p7_found": p7_found}
 
 _P3 = """
 WITH src AS (
