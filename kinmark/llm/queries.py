@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinmark.llm import leakage, lookalike, survivor
+from kinmark.llm import leakage, lookalike, packing, subjects, survivor
 from kinmark.session import materialize, table
 
 
@@ -53,7 +55,40 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p7_evidence(spark, sf_dir).select("doc_id", "item_id")
 
 
-QUERIES = {"p3_found": p3_found, "p3_fused": p3_fused, "p5_canonical": p5_canonical, "p5_found": p5_found, "p7_evidence": p7_evidence, "p7_found": p7_found}
+def p6_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in windows of every capacity."""
+    docs = table(spark, sf_dir, "documents")
+    sizes: dict[bytes, DataFrame] = {}
+    parts = []
+    for r in table(spark, sf_dir, "pack_sizes").where("capacity_tokens > 0").orderBy("pack_name").collect():  # a row for each capacity
+        vocabulary = packing.read_vocabulary(r.tokenizer)
+        if vocabulary not in sizes:
+            sizes[vocabulary] = materialize(packing.count_tokens(docs, vocabulary), "p6-sizes")
+        parts.append(packing.pack(sizes[vocabulary], r.pack_name, r.capacity_tokens))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def p6_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows and unused share of each capacity."""
+    capacities = {r.pack_name: r.capacity_tokens for r in table(spark, sf_dir, "pack_sizes").collect()}
+    return packing.usage(p6_packs(spark, sf_dir), capacities)
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with each of the subjects it is mainly about."""
+    docs = table(spark, sf_dir, "documents")
+    codes = [r.subject_code for r in table(spark, sf_dir, "subject_areas").where("subject_code IS NOT NULL").orderBy("subject_code").collect()]
+    rows = subjects.labelled(docs, table(spark, sf_dir, "doc_subject_labels").where(F.col("subject_code").isin(codes)))
+    return subjects.assign(docs, subjects.fit(rows, codes))
+
+
+def p8_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and characters of each subject."""
+    sizes = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    return p8_found(spark, sf_dir).join(sizes, "doc_id").groupBy("subject_code").agg(F.count("*").alias("documents"), F.sum("n_chars").alias("n_chars"))
+
+
+QUERIES = {"p3_found": p3_found, "p3_fused": p3_fused, "p5_canonical": p5_canonical, "p5_found": p5_found, "p6_packs": p6_packs, "p6_usage": p6_usage, "p7_evidence": p7_evidence, "p7_found": p7_found, "p8_found": p8_found, "p8_composition": p8_composition}
 
 _P3 = """
 WITH src AS (
