@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinmark.llm import leakage, lookalike, packing, subjects, survivor
+from kinmark.llm import leakage, linkage, lookalike, packing, subjects, survivor, variants
 from kinmark.session import materialize, table
 
 
@@ -88,7 +88,33 @@ def p8_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_found(spark, sf_dir).join(sizes, "doc_id").groupBy("subject_code").agg(F.count("*").alias("documents"), F.sum("n_chars").alias("n_chars"))
 
 
-QUERIES = {"p3_found": p3_found, "p3_fused": p3_fused, "p5_canonical": p5_canonical, "p5_found": p5_found, "p6_packs": p6_packs, "p6_usage": p6_usage, "p7_evidence": p7_evidence, "p7_found": p7_found, "p8_found": p8_found, "p8_composition": p8_composition}
+def _forms(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    """Names of all pending records, of their entries and of all clusters, taken apart."""
+    records, entries, clusters = (table(spark, sf_dir, t) for t in ("original_records", "name_entries", "viaf_clusters"))
+    model = lookalike.fit(records, "name")
+    names = variants.record_names(records.where("record_group_id IS NULL"), entries).unionByName(variants.cluster_names(clusters))
+    return materialize(variants.parts(names, model), f"{label}-forms")
+
+
+def p1_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pending records with their clusters and the confidence of each match."""
+    pending = table(spark, sf_dir, "original_records").where("record_group_id IS NULL")
+    works = linkage.record_works(pending).unionByName(linkage.cluster_works(table(spark, sf_dir, "viaf_clusters")))
+    return linkage.link(_forms(spark, sf_dir, "p1"), materialize(works, "p1-works"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pending records with the clusters that describe the same entity."""
+    return p1_matches(spark, sf_dir).select("record_id", "viaf_id")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of pending records of one entity whose names differ visibly."""
+    forms = _forms(spark, sf_dir, "p4")
+    return variants.linked_pairs(forms, materialize(variants.entities(forms), "p4-entities"))
+
+
+QUERIES = {"p1_matches": p1_matches, "p1_found": p1_found, "p4_found": p4_found, "p3_found": p3_found, "p3_fused": p3_fused, "p5_canonical": p5_canonical, "p5_found": p5_found, "p6_packs": p6_packs, "p6_usage": p6_usage, "p7_evidence": p7_evidence, "p7_found": p7_found, "p8_found": p8_found, "p8_composition": p8_composition}
 
 _P3 = """
 WITH src AS (
