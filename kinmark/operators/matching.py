@@ -21,6 +21,7 @@ from kinmark.functions.normalize import has_digits, letters_key, strip_accents,
 from kinmark.functions.similarity import jaro
 from kinmark.operators.blocking import exact_heading, headings, keyword_candidates, ngram_candidates
 from kinmark.operators.lookup import first_by
+from kinmark.session import materialize
 
 FUZZY, PERSON_ACCEPT, CORPORATE_ACCEPT = 0.85, 0.9, 0.95
 
@@ -128,10 +129,12 @@ def cascade(records: DataFrame, groups: DataFrame, members: DataFrame, merged: D
 
     Persons: group by name, heading, keywords, then n-grams where keywords gave
     no sure match.  Bodies: group or heading, then keywords.  Families always
-    begin a group of their own.
+    begin a group of their own.  What a stage found is written once, so that the
+    next stage's residual is one anti-join and no stage is computed again.
     """
-    index = headings(clusters)
+    index = materialize(headings(clusters), "cascade-index")
     none_long, none_text, sure = F.lit(None).cast("bigint"), F.lit(None).cast("string"), F.lit(1.0)
+    records = records.select("id", "r_type", "name", "name_norm", "from_date", "from_date_type", "to_date", "to_date_type")
     left = lambda df, found: df.join(found.select(F.col("record_id").alias("id")), "id", "left_anti")
     rows: list[DataFrame] = []
 
@@ -139,25 +142,25 @@ def cascade(records: DataFrame, groups: DataFrame, members: DataFrame, merged: D
         rows.append(df.select("record_id", F.lit(stage).alias("stage"), decision.alias("decision"), group.alias("group_id"), viaf.alias("viaf_id"), q.alias("quality")))
 
     persons = records.where("r_type = 'person'")
-    grouped = in_group(persons, groups, members, merged)
+    grouped = materialize(in_group(persons, groups, members, merged), "cascade-group")
     add(grouped, "group", F.lit("accept"), F.col("group_id"), none_text, sure)
     persons = left(persons, grouped)
-    exact = exact_person(persons, index)
+    exact = materialize(exact_person(persons, index), "cascade-heading")
     add(exact, "heading", F.lit("accept"), none_long, F.col("viaf_id"), sure)
     persons = left(persons, exact)
-    by_word = first_acceptable(persons, keyword_candidates(persons, index), index).where(F.col("quality") > PERSON_ACCEPT)
+    by_word = materialize(first_acceptable(persons, keyword_candidates(persons, index), index).where(F.col("quality") > PERSON_ACCEPT), "cascade-keyword")
     add(by_word, "keyword", F.lit("accept"), none_long, F.col("viaf_id"), F.col("quality"))
     persons = left(persons, by_word)
-    by_gram = first_acceptable(persons, ngram_candidates(persons, index), index)
+    by_gram = materialize(first_acceptable(persons, ngram_candidates(persons, index), index), "cascade-ngram")
     add(by_gram, "ngram", F.when(F.col("quality") > PERSON_ACCEPT, "accept").otherwise("maybe"), none_long, F.col("viaf_id"), F.col("quality"))
     rest = left(persons, by_gram).select(F.col("id").alias("record_id"))
     add(rest, "none", F.lit("new"), none_long, none_text, F.lit(None).cast("double"))
 
     bodies = records.where("r_type = 'corporateBody'")
-    exact_body = exact_corporate(bodies, groups, index)
+    exact_body = materialize(exact_corporate(bodies, groups, index), "cascade-body")
     add(exact_body, "exact", F.lit("accept"), F.col("group_id"), F.col("viaf_id"), sure)
     bodies = left(bodies, exact_body)
-    worded = corporate_keyword(bodies, index)
+    worded = materialize(corporate_keyword(bodies, index), "cascade-word")
     add(worded, "keyword", F.when(F.col("quality") >= CORPORATE_ACCEPT, "accept").otherwise("maybe"), none_long, F.col("viaf_id"), F.col("quality"))
     add(left(bodies, worded).select(F.col("id").alias("record_id")), "none", F.lit("new"), none_long, none_text, F.lit(None).cast("double"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinmark.operators import audit, fusion, grouping, lineage, lookup, matching
+from kinmark.operators import audit, export, fusion, grouping, lineage, lookup, matching
 from kinmark.operators.blocking import headings
 from kinmark.plans import sqltext as S
 from kinmark.session import materialize, table
@@ -325,8 +325,43 @@ def s_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.file_rows(table(spark, sf_dir, "merged_records"))
 
 
+TERM, AGENCY, STAMP = "http://term.example/control/term#", "Merging agency", "2020-01-01T00:00:00"
+
+
+def r_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The XML of every merged record."""
+    records, groups, clusters, merged, maybes = _t(spark, sf_dir, "original_records", "record_groups", "viaf_clusters", "merged_records", "maybe_candidates")
+    rows = record_source.parsed(records.where("record_group_id IS NOT NULL"), ["id", "record_group_id"], "record_data")
+    rows = materialize(rows.select(F.col("id").alias("record_id"), F.col("record_group_id").alias("group_id"), "occupations", "functions", "local_descriptions", "places", "languages", "sources", "relations", "resources", "biog_citation", "biog_text", "biog_data"), "combined-rows")
+
+    def field(name: str) -> DataFrame:
+        flat = rows.select("record_id", "group_id", F.posexplode(name).alias("child_no", "x"))
+        struct = flat.schema["x"].dataType.typeName() == "struct"
+        return flat.select("record_id", "group_id", "child_no", "x.*") if struct else flat.select("record_id", "group_id", "child_no", F.col("x").alias("term"))
+
+    fields = {n: field(n) for n in ("occupations", "functions", "local_descriptions", "places", "languages", "relations", "resources")}
+    fields["biographies"] = rows.select("record_id", "group_id", "biog_citation", "biog_text", "biog_data")
+    names = materialize(fusion.merged_names(_origin_entries(spark, sf_dir), "group_id"), "combined-names")
+    sources = field("sources").select("group_id", F.col("term").alias("source"))
+    blocks = [
+        export.control(merged, records, groups, sources, TERM, AGENCY, STAMP),
+        export.identity(groups, names),
+        export.description(groups, clusters, records, fields, TERM),
+        export.relations(groups, clusters, merged, maybes, fields, HOSTS, TERM),
+    ]
+    return export.combined(groups, [materialize(b, "combined-block") for b in blocks], merged)
+
+
+def r_tombstone_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The XML of every cancelled record."""
+    merged, removed, records = _t(spark, sf_dir, "merged_records", "removed_references", "original_records")
+    last = removed.join(records.select(F.col("id").alias("original_record_id"), "name"), "original_record_id").groupBy("record_group_id").agg(F.min_by("name", removed["id"]).alias("name"))
+    previous = merged.select("id", "record_group_id").join(last, "record_group_id").select("id", "name")
+    return export.tombstone_texts(merged, previous, TERM, AGENCY, STAMP)
+
+
 _FUNCTIONS = [
-    m_in_group, m_exact_person, m_exact_corporate, m_corporate_keyword, m_keyword_person, m_ngram_person, m_cascade, m_groups, m_identifier,
+    r_combined, r_tombstone_texts, m_in_group, m_exact_person, m_exact_corporate, m_corporate_keyword, m_keyword_person, m_ngram_person, m_cascade, m_groups, m_identifier,
     a_subjects, a_places, a_occupations, a_functions, a_label_frequency, a_distinct_values, a_first_wins, a_untyped_preferred, a_citations, a_merged_names, a_name_scores, a_array_scores, a_exist_dates,
     u_languages, u_relations, j_relation_targets, r_printed_sources, r_same_as, r_sources, r_new_merged, r_identifiers, r_split, r_absorb, r_tombstones, r_origins, r_refresh, r_remapped, r_audit,
     s_loaded, s_clusters, s_cluster_names, s_cluster_addresses, s_backfill, s_files,

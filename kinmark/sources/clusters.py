@@ -75,9 +75,9 @@ def information(rows: DataFrame, keep: list[str]) -> DataFrame:
 
 def heading_addresses(rows: DataFrame, keep: list[str]) -> DataFrame:
     """Outside ids of a cluster's headings: LC numbers in two forms, wiki ids; other sources are left out."""
-    ids = rows.select(*keep, F.explode("heading_ids").alias("h")).select(*keep, "h.id", "h.source")
-    number = lc_number(F.col("id"))
-    out = ids.select(*keep, F.when(F.col("source").startswith("LC"), "LC").when(F.col("source").startswith("WKP"), "WKP").alias("source"), F.when(F.col("source").startswith("LC"), worldcat_id(number)).alias("lccn_wcid"), F.when(F.col("source").startswith("LC"), lc_id(number)).alias("lccn_lcid"), F.when(F.col("source").startswith("WKP"), wiki_id(F.col("id"))).alias("url_id"))
+    ids = rows.select(*keep, F.explode("heading_ids").alias("h")).select(*keep, F.col("h.id").alias("heading_id"), "h.source")
+    number = lc_number(F.col("heading_id"))
+    out = ids.select(*keep, F.when(F.col("source").startswith("LC"), "LC").when(F.col("source").startswith("WKP"), "WKP").alias("source"), F.when(F.col("source").startswith("LC"), worldcat_id(number)).alias("lccn_wcid"), F.when(F.col("source").startswith("LC"), lc_id(number)).alias("lccn_lcid"), F.when(F.col("source").startswith("WKP"), wiki_id(F.col("heading_id"))).alias("url_id"))
     return out.where("source IS NOT NULL")
 
 

@@ -7,6 +7,7 @@ unreadable date gives NULL while its type stays.
 
 from __future__ import annotations
 
+import re
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
@@ -39,8 +40,14 @@ def _text(e: ET.Element | None) -> str | None:
     return None if e is None else "".join(e.itertext()).strip(" \t\r\n") or None
 
 
+def _raw(e: ET.Element) -> str:
+    """An element as it stood, in the default namespace."""
+    text = re.sub(r"(</?)ns0:", r"\1", ET.tostring(e, encoding="unicode"))
+    return re.sub(r' xmlns:ns0="[^"]*"', "", text).strip()
+
+
 def _inner(e: ET.Element) -> str:
-    return (e.text or "") + "".join(ET.tostring(c, encoding="unicode") for c in e)
+    return ((e.text or "") + "".join(map(_raw, e))).strip()
 
 
 def fields(xml: str | None) -> tuple | None:
@@ -90,7 +97,7 @@ def fields(xml: str | None) -> tuple | None:
     if hist is not None:
         p, c = one(hist, "p"), one(hist, "citation")
         if len(hist) <= 2 and p is not None and c is not None:
-            citation, text = ET.tostring(c, encoding="unicode"), ET.tostring(p, encoding="unicode")
+            citation, text = _raw(c), _raw(p)
         else:
             data = _inner(hist)
     kinds = ("legalStatus", "generalContext", "mandate", "structureOrGenealogy")
@@ -104,7 +111,7 @@ def fields(xml: str | None) -> tuple | None:
         [c.get("languageCode") for u in every(root, "languageUsed") for c in u.findall(ns + "language")],
         [t for x in every(one(root, "control/sources"), "source") if (t := _text(one(x, "sourceEntry")))],
         relations, resources, citation, text, data,
-        [(k, ET.tostring(x, encoding="unicode")) for k in kinds for x in every(description, k)],
+        [(k, _raw(x)) for k in kinds for x in every(description, k)],
     )
 
 
@@ -153,7 +160,7 @@ def loaded(rows: DataFrame, keep: list[str]) -> DataFrame:
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """path, record_data: every XML file below a folder, whole."""
-    files = spark.read.option("recursiveFileLookup", "true").option("wholetext", "true").option("pathGlobFilter", "*.xml").text(path)
+    files = spark.read.option("recursiveFileLookup", "true").option("wholetext", "true").option("pathGlobFilter", "*.xml").format("text").load(path)
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("record_data"))
 
 
