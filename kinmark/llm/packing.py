@@ -136,8 +136,10 @@ def fill(tokens: np.ndarray, loss: np.ndarray, capacity: int, segments: int, los
             if not pick:
                 fits = np.flatnonzero(ok)
                 if not len(fits):
+                    if room == capacity:  # an item that exceeds a limit by itself has a window of its own
+                        take(high)
                     break
-                dot = size[fits] * (room / capacity**2) + top_loss[fits] * (may_lose / loss_limit**2)
+                dot = size[fits] * (room / capacity**2) + top_loss[fits] * (may_lose / max(1, loss_limit) ** 2)
                 pick = int(fits[np.argmax(dot)])
             item = take(pick)
             room -= pick
@@ -156,13 +158,15 @@ def pack(sizes: DataFrame, name: str, capacity: int) -> DataFrame:
     segments = max(1, capacity // TOKENS_A_SEGMENT)
     parts = sizes.withColumn("part_no", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.col("tokens") / capacity).cast("int")))))
     start = (F.col("part_no") - 1) * capacity
+    size = F.least(F.col("tokens") - start, F.lit(capacity))
+    # context comes first: what is not loss-bearing lies at the beginning of the text
+    context = F.least(size, F.greatest(F.lit(0), F.col("tokens") - F.col("loss") - start))
     parts = parts.select(
         "doc_id",
         F.when(F.col("tokens") > 0, F.col("part_no")).otherwise(0).cast("int").alias("part_no"),
         start.cast("int").alias("start"),
-        F.least(F.col("tokens") - start, F.lit(capacity)).cast("int").alias("size"),
-        # context comes first: what is not loss-bearing lies at the beginning
-        F.greatest(F.lit(0), F.least(F.least(F.col("tokens") - start, F.lit(capacity)), F.col("tokens") - start - F.greatest(F.lit(0), F.col("tokens") - F.col("loss") - start))).cast("int").alias("loss"),
+        size.cast("int").alias("size"),
+        (size - context).cast("int").alias("loss"),
     ).withColumnRenamed("size", "tokens")
     full = F.col("tokens") == capacity
     alone = parts.where(full | (F.col("tokens") == 0)).select("*", F.when(full, -1 - F.col("doc_id") * (1 << 20) - F.col("part_no")).cast("long").alias("window"))
