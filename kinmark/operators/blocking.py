@@ -69,7 +69,9 @@ def ranked(queries: DataFrame, docs: DataFrame, k: int = 10, rare: int = 1) -> D
     q = queries.select("qid", "part", F.explode("terms").alias("term")).join(df, ["part", "term"])
     keys = top_k(q, ["qid"], [F.col("df"), F.col("term")], rare).select("qid", "part", "term")
     pairs = keys.join(doc_terms, ["part", "term"]).select("qid", "did").distinct()
-    full = pairs.join(queries.select("qid", F.col("terms").alias("qt")), "qid").join(docs.select("did", F.col("terms").alias("dt")), "did")
+    # 64-bit numbers instead of texts: the intersection of two sets runs on primitive arrays
+    coded = F.transform("terms", lambda t: F.xxhash64(t))
+    full = pairs.join(queries.select("qid", coded.alias("qt")), "qid").join(docs.select("did", coded.alias("dt")), "did")
     shared = F.size(F.array_intersect("qt", "dt"))
     scored = full.select("qid", "did", shared.alias("shared"), (shared / (F.size("qt") + F.size("dt") - shared)).alias("jaccard"))
     return top_k(scored, ["qid"], [F.desc("shared"), F.desc("jaccard"), F.col("did")], k).select("qid", "did", "shared", "rank")

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import io
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,8 +15,32 @@ from pyspark.sql import DataFrame, SparkSession
 BROADCAST_BYTES = 8 << 20
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each Spark context.
+
+    Executors need not have it installed; where they do, it is the same code.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_kinmark_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    path = os.path.join(folder, n)
+                    z.write(path, os.path.join("kinmark", os.path.relpath(path, root)))
+    home = tempfile.mkdtemp(prefix="kinmark-code-")
+    with open(os.path.join(home, "kinmark.zip"), "wb") as f:  # the driver serves it to the executors
+        f.write(data.getvalue())
+    sc.addPyFile(os.path.join(home, "kinmark.zip"))
+    sc._kinmark_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One parquet table of the data folder."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -40,6 +67,7 @@ def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None
     folder is removed when the driver's Python ends.
     """
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_dir(spark)}/kinmark/{label}-{uuid.uuid4().hex}"
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
