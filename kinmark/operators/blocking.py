@@ -46,8 +46,10 @@ def tokens(c: Column) -> Column:
 
 def ngrams(c: Column, n: int = 3) -> Column:
     """Distinct character n-grams of the words joined by blanks."""
-    s = F.concat(F.lit(" "), collapse(c), F.lit(" "))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(s) - n + 1)), lambda i: F.substring(s, i, F.lit(n))))
+    # the text is bound to a lambda's variable: a lambda computes what it captures anew for every element
+    text = F.array(F.concat(F.lit(" "), collapse(c), F.lit(" ")))
+    grams = F.transform(text, lambda s: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(s) - n + 1)), lambda i: F.substring(s, i, F.lit(n))))
+    return F.array_distinct(F.flatten(grams))
 
 
 def exact_heading(records: DataFrame, index: DataFrame) -> DataFrame:
