@@ -38,7 +38,7 @@ from kinmark.session import materialize
 KEEP = 0.5
 ACCEPT = 0.6
 STABLE = 0.02
-ROUNDS = 4
+ROUNDS = 20  # the scores settle after two or three
 SHARE = 0.25  # of a score that neighbours can give or take
 
 _RELATION = r"<(?:\w+:)?resourceRelation\b[^>]*>\s*<(?:\w+:)?relationEntry[^>]*>\s*(?:<!\[CDATA\[)?\s*([^<\]]*?)\s*(?:\]\]>)?\s*</"

@@ -42,7 +42,7 @@ MAX_LABELLED = 4_000
 MOST = 3
 BEAM = 6
 STRAY = 0.02
-FOLDS = 3
+FOLDS = 8
 PRIOR_WORDS = 300.0
 LEAST_DOCS = 2  # labelled documents that hold a word
 _SENTENCE = re.compile(r"(?<=[^\W\d_A-Z][^\w\s])\s+|(?<=[\d)])[.!?]\s+|(?<=[a-zß-ÿ])[.!?]\s+|\n+")
