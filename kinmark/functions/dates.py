@@ -48,8 +48,8 @@ def quality(rec: Column, rec_type: Column, auth: Column, born: bool) -> Column:
     return F.when(rec.isNull() | auth.isNull(), -1).otherwise(F.coalesce(fit, F.lit(-1)))
 
 
-def better_existence(old_from: Column, old_from_type: Column, new_from: Column, new_from_type: Column) -> Column:
-    """Whether a new statement of the beginning tells more: a birth instead of an activity, or more detail of the same type."""
-    birth = new_from_type.endswith("#Birth") & (old_from_type.isNull() | old_from_type.endswith("#Active"))
-    detail = (new_from_type == old_from_type) & (F.length(old_from) < F.length(new_from))
-    return F.coalesce(old_from.isNotNull() & new_from.isNotNull() & (birth | detail), F.lit(False))
+def better_existence(old: Column, old_type: Column, new: Column, new_type: Column, born: bool = True) -> Column:
+    """Whether a new statement of the beginning (or the end) tells more: a birth (death) instead of an activity, or more detail of the same type."""
+    life = new_type.endswith("#Birth" if born else "#Death") & (old_type.isNull() | old_type.endswith("#Active"))
+    detail = (new_type == old_type) & (F.length(old) < F.length(new))
+    return F.coalesce(old.isNotNull() & new.isNotNull() & (life | detail), F.lit(False))

@@ -88,6 +88,13 @@ def query_map(c: Column) -> Column:
     return F.str_to_map(F.try_parse_url(c, F.lit("QUERY")), F.lit("&"), F.lit("="))
 
 
+def strip_namespaces(xml: Column) -> Column:
+    """XML text without namespace declarations and prefixes of tags and attributes."""
+    bare = F.regexp_replace(xml, r"""\sxmlns(?::[\w.-]+)?\s*=\s*(?:"[^"]*"|'[^']*')""", "")
+    tags = F.regexp_replace(bare, r"(</?)[\w.-]+:(?=[\w.-])", "$1")
+    return F.regexp_replace(tags, r"""(\s)[\w.-]+:([\w.-]+\s*=\s*["'])""", "$1$2")
+
+
 def is_country_code(c: Column) -> Column:
     """Whether a nationality is given as a code: letters only, all capitals."""
     return c.rlike(r"^\p{Lu}+$")

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from kinmark.functions.dates import parse_date, quality
 from kinmark.functions.humanname import name_match_quality
 from kinmark.functions.normalize import has_digits, letters_key, strip_accents, strip_corporate_abbreviations
-from kinmark.functions.similarity import jaro
-from kinmark.operators.blocking import exact_heading, headings, keyword_candidates, ngram_candidates
+from kinmark.functions.similarity import jaro, relative_length
+from kinmark.operators.blocking import exact_heading, headings, keyword_candidates, ngram_candidates, similar_names
 from kinmark.operators.lookup import first_by
 from kinmark.session import materialize
 
@@ -100,6 +100,28 @@ def first_acceptable(records: DataFrame, candidates: DataFrame, index: DataFrame
     return best.select(F.col("qid").alias("record_id"), "m.viaf_id", F.round("m.quality", 6).alias("quality"))
 
 
+def in_database(records: DataFrame, grouped: DataFrame, bound: float = 0.75) -> DataFrame:
+    """record_id, other_id, quality: the most similar grouped record of a record's type, by trigrams of the normalised name.
+
+    The similarity exceeds ``bound``, dates do not contradict, and the names
+    match by ``FUZZY`` or more: persons by name quality, bodies by Jaro, others
+    by their lengths.
+    """
+    cols = ["id", "r_type", "name", "name_norm", "from_date", "from_date_type", "to_date", "to_date_type"]
+    names = records.select("name_norm").unionByName(grouped.select("name_norm")).where("name_norm IS NOT NULL").distinct()
+    near = similar_names(names.select(F.col("name_norm").alias("name")), bound)
+    same = names.select(F.col("name_norm").alias("a"), F.col("name_norm").alias("b"), F.lit(1.0).alias("similarity"))
+    both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity")).unionByName(same)
+    other = grouped.select(*[F.col(c).alias(f"o_{c}") for c in cols])
+    pairs = records.select(*cols).join(both, records["name_norm"] == both["a"]).join(other, (F.col("b") == F.col("o_name_norm")) & (F.col("r_type") == F.col("o_r_type"))).where("id <> o_id")
+    begin, end = record_quality(F.col("o_from_date"), F.col("o_to_date"))
+    fits = pairs.where((begin != 0) & (end != 0))
+    q = F.when(F.col("r_type") == "person", name_match_quality(strip_accents(F.col("o_name")), strip_accents(F.col("name")))).when(F.col("r_type") == "corporateBody", jaro(F.col("o_name_norm"), F.col("name_norm"))).otherwise(1 - relative_length(F.col("o_name_norm"), F.col("name_norm")))
+    scored = fits.select("id", "o_id", "similarity", q.alias("quality")).where(F.col("quality") >= FUZZY)
+    best = scored.groupBy("id").agg(F.max_by(F.struct("o_id", "quality"), F.struct("similarity", -F.col("o_id"))).alias("m"))
+    return best.select(F.col("id").alias("record_id"), F.col("m.o_id").alias("other_id"), F.round("m.quality", 6).alias("quality"))
+
+
 def corporate_key(c: Column) -> Column:
     """A body's name for comparison: letters only, legal forms left out."""
     return strip_corporate_abbreviations(strip_accents(letters_key(c)))

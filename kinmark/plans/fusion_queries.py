@@ -61,6 +61,18 @@ def m_ngram_person(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.first_acceptable(r, matching.ngram_candidates(r, index), index)
 
 
+def m_in_database(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pending records by the trigrams of grouped records' names."""
+    return matching.in_database(_pending(spark, sf_dir), table(spark, sf_dir, "original_records").where("record_group_id IS NOT NULL"))
+
+
+def f_namespaces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length of every stored text without its namespaces."""
+    from kinmark.functions.identifiers import strip_namespaces
+
+    return table(spark, sf_dir, "record_groups").where("viaf_record IS NOT NULL").select("id", F.length(strip_namespaces(F.col("viaf_record"))).alias("n"))
+
+
 def m_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decision of the whole cascade for every pending record."""
     records, groups, merged, clusters = _t(spark, sf_dir, "original_records", "record_groups", "merged_records", "viaf_clusters")
@@ -73,10 +85,13 @@ def m_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def m_identifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pending records by an outside identifier in their relations."""
-    rel = _children(spark, sf_dir, "relations").select("record_id", "href").where("href IS NOT NULL")
-    ids = table(spark, sf_dir, "viaf_clusters").select(F.explode("sources").alias("nsid"), "viaf_id")
-    return matching.identifier_match(_pending(spark, sf_dir), rel, ids.withColumn("nsid", F.substring_index("nsid", "|", -1)))
+    """Grouped records by an outside identifier: the number of their authority's first source, as an address."""
+    records, groups, clusters = _t(spark, sf_dir, "original_records", "record_groups", "viaf_clusters")
+    first = clusters.where("size(sources) > 0").select("viaf_id", F.substring_index(F.col("sources")[0], "|", -1).alias("n"))
+    g = groups.where("viaf_id IS NOT NULL").select(F.col("id").alias("record_group_id"), "viaf_id").join(first, "viaf_id")
+    hrefs = records.select(F.col("id").alias("record_id"), "record_group_id").join(g, "record_group_id").select("record_id", F.concat(F.lit("http://ids.example/ark/"), "n", F.lit("/PUBLIC")).alias("href"))
+    ids = clusters.select(F.explode("sources").alias("nsid"), "viaf_id").withColumn("nsid", F.substring_index("nsid", "|", -1))
+    return matching.identifier_match(records, hrefs, ids)
 
 
 # fields of records
@@ -361,7 +376,7 @@ def r_tombstone_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _FUNCTIONS = [
-    r_combined, r_tombstone_texts, m_in_group, m_exact_person, m_exact_corporate, m_corporate_keyword, m_keyword_person, m_ngram_person, m_cascade, m_groups, m_identifier,
+    r_combined, r_tombstone_texts, m_in_group, m_exact_person, m_exact_corporate, m_corporate_keyword, m_keyword_person, m_ngram_person, m_in_database, f_namespaces, m_cascade, m_groups, m_identifier,
     a_subjects, a_places, a_occupations, a_functions, a_label_frequency, a_distinct_values, a_first_wins, a_untyped_preferred, a_citations, a_merged_names, a_name_scores, a_array_scores, a_exist_dates,
     u_languages, u_relations, j_relation_targets, r_printed_sources, r_same_as, r_sources, r_new_merged, r_identifiers, r_split, r_absorb, r_tombstones, r_origins, r_refresh, r_remapped, r_audit,
     s_loaded, s_clusters, s_cluster_names, s_cluster_addresses, s_backfill, s_files,
@@ -416,6 +431,8 @@ r AS (
   UNION ALL
   SELECT gone.id, CASE WHEN found.new IS NULL THEN 'lost' WHEN holder IS NOT NULL THEN 'merge' ELSE 'repoint' END, found.new, holder FROM gone LEFT JOIN found USING (id) LEFT JOIN holder ON holder.new = found.new)"""
 ORACLE = {
+    "m_identifier": "WITH s AS (SELECT viaf_id, string_split(unnest(sources), '|')[2] AS n FROM viaf_clusters), k AS (SELECT n, min(viaf_id) AS viaf_id FROM s GROUP BY 1) SELECT o.id AS record_id, k.viaf_id FROM original_records o JOIN record_groups g ON g.id = o.record_group_id JOIN viaf_clusters v ON v.viaf_id = g.viaf_id JOIN k ON k.n = string_split(v.sources[1], '|')[2] WHERE len(v.sources) > 0",
+    "f_namespaces": r"""SELECT id, length(regexp_replace(regexp_replace(regexp_replace(viaf_record, '\sxmlns(:[\w.-]+)?\s*=\s*("[^"]*"|''[^'']*'')', '', 'g'), '(</?)[\w.-]+:([\w.-])', '\1\2', 'g'), '(\s)[\w.-]+:([\w.-]+\s*=\s*["''])', '\1\2', 'g')) AS n FROM record_groups WHERE viaf_record IS NOT NULL""",
     "m_in_group": f"""
 WITH n AS (SELECT name, min(id) AS group_id FROM record_groups WHERE g_type = 'person' AND name IS NOT NULL GROUP BY 1),
 dead AS (SELECT record_group_id FROM merged_records WHERE record_group_id IS NOT NULL GROUP BY 1 HAVING NOT min_by(valid, id)),

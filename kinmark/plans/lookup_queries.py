@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinmark.operators import blocking, lookup
+from kinmark.operators import blocking, index, lookup
 from kinmark.plans import sqltext as S
 from kinmark.session import table
 from kinmark.streaming.incremental import windowed_arrivals
@@ -178,8 +178,20 @@ def s_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("collection_id", F.unix_timestamp("from_ts").alias("from_s"), "n")
 
 
+def x_index_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every search index."""
+    return index.sizes(table(spark, sf_dir, "viaf_clusters"))
+
+
+def x_all_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters that hold a record's whole normalised name among all their names."""
+    records, clusters = _t(spark, sf_dir, "original_records", "viaf_clusters")
+    terms = records.select(F.col("id").alias("qid"), F.col("name_norm").alias("key"), blocking.name_type(F.col("r_type")).alias("name_type"))
+    return index.search(clusters, "xallnames", terms, with_type=True)
+
+
 _FUNCTIONS = [
-    p_unprocessed, p_starting_with, p_in_given_order, p_all, p_first_by_name, p_by_canonical_id, p_of_type, p_without_id, p_assigned, p_candidates_of, a_collections, j_without_merge, j_by_authority, j_changed_since,
+    x_index_sizes, x_all_names, p_unprocessed, p_starting_with, p_in_given_order, p_all, p_first_by_name, p_by_canonical_id, p_of_type, p_without_id, p_assigned, p_candidates_of, a_collections, j_without_merge, j_by_authority, j_changed_since,
     j_of_collections, j_same_name, j_exact_heading, j_keyword, j_ngram, j_close_names, j_similar_names, j_source_code, j_authority_id, j_maybe_edges, j_lineage, j_previous, t_newest, s_arrivals,
 ]
 QUERIES = {f.__name__: f for f in _FUNCTIONS}
@@ -204,6 +216,7 @@ _TOK = "list_distinct(list_filter(string_split({0}, ' '), lambda w: w <> ''))"
 _GRAM = "list_distinct(list_transform(range(1, greatest(1, length({0}) + 2 - 3 + 1) + 1), lambda i: substr(' ' || {0} || ' ', i, 3)))"
 _TRI = "list_distinct(flatten(list_transform(list_filter(string_split(regexp_replace(lower(name), '[^\\p{L}\\p{N}]+', ' ', 'g'), ' '), lambda w: w <> ''), lambda w: list_transform(range(1, length(w) + 2), lambda i: substr('  ' || w || ' ', i, 3)))))"
 ORACLE = {
+    "x_all_names": f"WITH n AS (SELECT viaf_id, name_type, unnest(list_concat(coalesce(headings, []), list_concat(coalesce(list_transform(auth_forms, lambda x: x.name), []), coalesce(list_transform(alt_forms, lambda x: x.name), [])))) AS name FROM viaf_clusters), k AS (SELECT DISTINCT viaf_id, name_type, {S.name_key('name')} AS key FROM n) SELECT DISTINCT o.id AS qid, k.viaf_id FROM original_records o JOIN k ON k.key = o.name_norm AND k.name_type = {_TYPE.format('o.r_type')} WHERE o.name_norm <> ''",
     "p_unprocessed": "SELECT id, name, collection_id FROM original_records WHERE NOT coalesce(processed, false) AND collection_id = 'nordlach' AND id >= 100 ORDER BY id LIMIT 100",
     "p_starting_with": "SELECT id, name FROM record_groups WHERE id >= 10 ORDER BY id LIMIT 50 OFFSET 50",
     "p_in_given_order": "SELECT r.id AS pos, o.id, o.name FROM removed_references r JOIN original_records o ON o.id = r.original_record_id",

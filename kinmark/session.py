@@ -9,7 +9,8 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 #: A side may be broadcast when its estimated size stays below this many bytes.
 BROADCAST_BYTES = 8 << 20
@@ -75,6 +76,15 @@ def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None
     return spark.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, label: str, **conditions: Column) -> tuple[DataFrame, Observation]:
+    """``df`` with run counters that its next action fills: the number of rows, and of those that meet each condition.
+
+    No extra pass; read them with ``observation.get`` after the action.
+    """
+    seen = Observation(label)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(n) for n, c in conditions.items()]), seen
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm

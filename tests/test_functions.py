@@ -108,3 +108,14 @@ def test_escapes_and_addresses(spark, one):
     assert one(identifiers.is_country_code, "US") and not one(identifiers.is_country_code, "Us")
     row = spark.sql("select 'http://h.example/p?x=1#f' u").select(*identifiers.uri_parts(F.col("u"))).first()
     assert tuple(row) == ("http", "h.example", "/p", "x=1", "f")
+
+
+def test_namespaces(one):
+    text = "<p:a xmlns:p=\"u\" xmlns='v' p:x=\"1\" y='a:b'><p:b>t:u</p:b></p:a>"
+    assert one(identifiers.strip_namespaces, text) == "<a x=\"1\" y='a:b'><b>t:u</b></a>"
+
+
+@pytest.mark.parametrize(("old", "old_type", "new", "new_type", "born", "want"), [("1900", "#Active", "1900", "#Birth", True, True), ("1900", "#Birth", "1900-01-01", "#Birth", True, True), ("1900-01-01", "#Birth", "1900", "#Birth", True, False), ("1950", "#Active", "1950", "#Death", False, True), (None, None, "1900", "#Birth", True, False)])
+def test_better_existence(one, old, old_type, new, new_type, born, want):
+    f = lambda *c: dates.better_existence(*[x.cast("string") for x in c], born=born)
+    assert one(f, old, old_type, new, new_type) == want

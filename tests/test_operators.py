@@ -206,3 +206,11 @@ def test_audit(spark, world):
     got = audit.problematic(records.where("id = 1").unionByName(odd), groups, clusters).collect()
     assert [(r.record_id, r.group_id) for r in got] == [(4, 1)]
     assert got[0].quality == 0 and got[0].heading == "Doe, Jane Quincy, 1900-1950"
+
+
+def test_in_database(spark, world):
+    records, *_ = world
+    pending, grouped = records.where("id IN (2, 3, 4, 7, 8)"), records.where("id IN (1, 5, 6, 8)")
+    got = {r.record_id: (r.other_id, r.quality) for r in matching.in_database(pending, grouped).collect()}
+    assert got[2] == (1, 1.0) and 3 not in got and 8 not in got
+    assert got[7][0] == 6 and got[7][1] >= 0.85

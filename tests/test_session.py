@@ -23,3 +23,9 @@ def test_package_is_shipped_once(spark):
     session.ship(spark)
     session.ship(spark)
     assert sum(f.endswith("kinmark.zip") for f in spark.sparkContext._python_includes) == 1
+
+
+def test_counters_fill_with_the_action(spark):
+    df, seen = session.counted(spark.range(10), "run", even=F.col("id") % 2 == 0)
+    assert df.count() == 10
+    assert seen.get == {"rows": 10, "even": 5}
