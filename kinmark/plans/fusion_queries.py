@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kinmark.operators import audit, export, fusion, grouping, lineage, lookup, matching
 from kinmark.operators.blocking import headings
 from kinmark.plans import sqltext as S
+from kinmark.plans.lookup_queries import _DOCS, _RANK, _SPIRIT, _TOK, _TYPE
 from kinmark.session import materialize, table
 from kinmark.sources import clusters as cluster_source
 from kinmark.sources import files
@@ -388,7 +389,12 @@ _QF, _QT = S.year_quality("o.from_date", "o.from_date_type", "{0}", True), S.yea
 _H = f"h AS (SELECT {S.name_key('heading')} AS key, name_type, spirit, min(viaf_id) AS viaf_id FROM (SELECT viaf_id, name_type, coalesce(spirit, false) AS spirit, unnest(headings) AS heading FROM viaf_clusters) GROUP BY 1, 2, 3)"
 _SP = "coalesce(contains(lower(o.name), '(spirit)'), false)"
 _CORP = "array_to_string(list_filter(string_split({0}, ' '), lambda w: NOT list_contains(" + S.CORPORATE + ", w)), ' ')"
-_CK = _CORP.format(S.letters_key("{0}"))
+
+
+def _ck(x: str) -> str:
+    return _CORP.format(S.letters_key(x))
+
+
 _KEY = """lower(""" + S.compress("""regexp_replace(regexp_replace(name, '[/!,"();:.?{}\\-\\x{bf}\\x{a1}<>]', ' ', 'g'), '[\\[\\]'']', '', 'g')""") + ")"
 _ENTRIES = """
 o AS (SELECT id AS record_id, record_group_id AS group_id FROM original_records WHERE record_group_id IS NOT NULL),
@@ -430,7 +436,15 @@ r AS (
   SELECT id, 'keep' AS action, old AS viaf_id, NULL::BIGINT AS into_group FROM have WHERE old IN (SELECT viaf_id FROM now)
   UNION ALL
   SELECT gone.id, CASE WHEN found.new IS NULL THEN 'lost' WHEN holder IS NOT NULL THEN 'merge' ELSE 'repoint' END, found.new, holder FROM gone LEFT JOIN found USING (id) LEFT JOIN holder ON holder.new = found.new)"""
+_WORDS_OF_BODY = _TOK.format(S.collapse(_ck("name_norm")))
+_BODY_RANK = _RANK.format(docs=_DOCS, dterms=_TOK.format(S.collapse("text")), qterms=_WORDS_OF_BODY, type=_TYPE.format("r_type"), spirit=_SPIRIT, rare=1).replace("WHERE name_norm IS NOT NULL", "WHERE name_norm IS NOT NULL AND record_group_id IS NULL AND r_type = 'corporateBody'").replace("SELECT qid, did, shared, rank FROM k WHERE rank <= 10", "")
 ORACLE = {
+    "m_corporate_keyword": _BODY_RANK
+    + f""", hd AS (SELECT viaf_id, unnest(range(0, len(headings))) AS pos, unnest(headings) AS heading FROM viaf_clusters),
+sc AS (SELECT k.qid, k.did, k.rank, hd.pos, jaro_similarity({_ck('o.name_norm')}, {_ck('hd.heading')}) AS quality FROM k JOIN hd ON hd.viaf_id = k.did JOIN original_records o ON o.id = k.qid WHERE k.rank <= 10 AND hd.heading IS NOT NULL),
+ok AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY rank, pos) AS n FROM sc WHERE quality >= 0.85)
+SELECT qid AS record_id, did AS viaf_id, round(quality, 6) AS quality FROM ok WHERE n = 1""",
+    "s_clusters": "SELECT g.id, v.viaf_id, v.name_type, array_to_string(v.headings, '|') AS headings, CASE v.gender WHEN 'a' THEN 'Female' WHEN 'b' THEN 'Male' END AS gender, v.birth, v.death, array_to_string(coalesce(v.titles, []), '|') AS titles FROM record_groups g JOIN viaf_clusters v ON v.viaf_id = g.viaf_id WHERE regexp_matches(g.viaf_record, 'VIAFCluster>\\s*$')",
     "m_identifier": "WITH s AS (SELECT viaf_id, string_split(unnest(sources), '|')[2] AS n FROM viaf_clusters), k AS (SELECT n, min(viaf_id) AS viaf_id FROM s GROUP BY 1) SELECT o.id AS record_id, k.viaf_id FROM original_records o JOIN record_groups g ON g.id = o.record_group_id JOIN viaf_clusters v ON v.viaf_id = g.viaf_id JOIN k ON k.n = string_split(v.sources[1], '|')[2] WHERE len(v.sources) > 0",
     "f_namespaces": r"""SELECT id, length(regexp_replace(regexp_replace(regexp_replace(viaf_record, '\sxmlns(:[\w.-]+)?\s*=\s*("[^"]*"|''[^'']*'')', '', 'g'), '(</?)[\w.-]+:([\w.-])', '\1\2', 'g'), '(\s)[\w.-]+:([\w.-]+\s*=\s*["''])', '\1\2', 'g')) AS n FROM record_groups WHERE viaf_record IS NOT NULL""",
     "m_in_group": f"""
