@@ -1,18 +1,22 @@
-"""Evaluation texts leaking into training text, by pigeonhole edit matching.
-
-Each test item is a sequence of words and is cut into error-budget-plus-one
-pieces: of two texts that differ in at most k words one of the k+1 pieces
-occurs unchanged in the other.  With pieces of at most ``PIECE`` words the
-budget is one word in ``PIECE``, and every run of ``RUN`` words of an item
-holds one whole piece as well (2 * PIECE - 1 <= RUN), so neither kind of case
-can be missed.  Piece hits are found by one automaton over the normalised text
-(one pass over each document, whatever the number of items); a hit is verified
-by extending it word by word to the longest unchanged run, and by Myers'
-bit-parallel edit distance of the stretch around a chain of hits.
+"""Evaluation texts leaking into training text, by seeds and edit-bounded extension.
+
+A case is a run of ``RUN`` words of an item, or a stretch of at least
+``STRETCH`` words of it (a shorter item counts as a whole) with at most one
+edit in ``PIECE`` words.  Of n words with k edits some (n - k) / (k + 1) words
+in a row are unchanged.  A stretch of 64 words and more has a shorter one
+within it that is a case (of two parts one keeps to its budget), and one of 32
+to 63 words may be cut to a multiple of 8; so every case has ``seed`` words in
+a row unchanged, and all such seeds of all items, at every position, are looked
+up in the text by their hash.  An item goes on if around one of its hits as many
+words occur, no further off than there are edits, as a case keeps.  Hits are
+extended to the longest unchanged run, and from there to both sides by the
+furthest reach for each number of edits (Landau and Vishkin); all divisions of
+the edits between the sides are tried.  Neither kind of case can be missed,
+whatever lies between the unchanged words.
 
 Scale: documents are never shuffled; the items are a stated query set that is
-handled in blocks whose automaton has a fixed bound (``BLOCK_WORDS``), one pass
-over the corpus for each block.
+handled in blocks whose seed tables have a fixed bound (``BLOCK_WORDS``), one
+pass over the corpus for each block.
 
 Edge cases: NULL or empty texts give no row; NULL or empty items are left out;
 items shorter than a run are found as a whole only; repeated items are
@@ -23,8 +27,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import repeat
 
-import ahocorasick
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,8 +40,16 @@ PIECE = 8
 RUN = 16
 #: A stretch with changed words is a case from this length on.
 STRETCH = 32
-#: Words of items in one automaton.
+#: Words of items in one table of seeds.
 BLOCK_WORDS = 2_000_000
+#: Words of documents that are looked up at once.
+CHUNK_WORDS = 50_000
+#: Lengths of the stretches of which every longer case holds one, the longest of them and the edits in it.
+LENGTHS = range(STRETCH, 2 * STRETCH, PIECE)
+SPAN = LENGTHS[-1]
+FEW = SPAN // PIECE
+#: Hits that are looked at together.
+TOGETHER = 20_000
 
 FOUND = "doc_id bigint, item_id bigint, run int, stretch int, distance int"
 
@@ -82,66 +95,149 @@ def myers(pattern: list[str], text: list[str]) -> int:
     return best
 
 
-def automaton(items: list[tuple[int, list[str]]]) -> ahocorasick.Automaton:
-    """Pieces of all items; each leads to its (item number, start, end)."""
-    at: dict[str, list[tuple[int, int, int]]] = {}
-    for n, (_, words) in enumerate(items):
-        for a, b in pieces(words):
-            at.setdefault(f" {' '.join(words[a:b])} ", []).append((n, a, b))
-    auto = ahocorasick.Automaton()
-    for piece, where in at.items():
-        auto.add_word(piece, (len(piece), where))
-    auto.make_automaton()
-    return auto
-
-
-def verify(words: list[str], item: list[str], hits: list[tuple[int, int, int]]) -> tuple[int, int, int] | None:
-    """(longest run, stretch, distance) if the hits (word position, piece start, piece end) make a case."""
-    run = 0
-    reach: dict[int, int] = {}
-    for at, a, b in sorted(hits):
-        diagonal = at - a
-        if reach.get(diagonal, -1) >= b:
+def seed(n: int) -> int:
+    """Words in a row that are unchanged in every case of an item of n words."""
+    shortest = [m for m in LENGTHS if m <= n] or [n]
+    return min(-(-(m - m // PIECE) // (m // PIECE + 1)) for m in shortest)
+
+
+def hashes(ids: np.ndarray, size: int) -> np.ndarray:
+    """Hash of every ``size`` words in a row; equal words give equal hashes."""
+    n = max(0, len(ids) - size + 1)
+    h = np.zeros(n, dtype=np.uint64)
+    for i in range(size):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + ids[i : i + n].astype(np.uint64)
+        h ^= h >> np.uint64(29)
+    return h
+
+
+class Seeds:
+    """Seeds of all items by length, and the numbers (from 1) of their words."""
+
+    def __init__(self, items: list[tuple[int, list[str]]]) -> None:
+        self.number: dict[str, int] = {}
+        self.items = [[self.number.setdefault(w, len(self.number) + 1) for w in words] for _, words in items]
+        # all items in one array, so far apart that what lies around a place is of one item
+        self.length = np.array([len(x) for x in self.items])
+        self.offset = SPAN + np.cumsum(self.length + SPAN) - self.length - SPAN
+        self.flat = np.full(SPAN + int((self.length + SPAN).sum()), -1, dtype=np.int32)
+        for start, x in zip(self.offset, self.items, strict=True):
+            self.flat[start : start + len(x)] = x
+        by_size: dict[int, list[int]] = {}
+        for n, words in enumerate(self.items):
+            by_size.setdefault(seed(len(words)), []).append(n)
+        self.tables = []
+        for size, numbers in sorted(by_size.items()):
+            h = [hashes(np.array(self.items[n], dtype=np.int64), size) for n in numbers]
+            item = np.repeat(np.array(numbers), [len(x) for x in h])
+            at = np.concatenate([np.arange(len(x)) for x in h])
+            h = np.concatenate(h)
+            order = np.argsort(h, kind="stable")
+            self.tables.append((size, h[order], item[order], at[order]))
+
+    def ids(self, words: list[str]) -> np.ndarray:
+        """Numbers of words; 0 for those that no item has."""
+        return np.fromiter(map(self.number.get, words, repeat(0)), dtype=np.int64, count=len(words))
+
+    def hits(self, ids: np.ndarray) -> Iterator[tuple[int, int, int, int, bool]]:
+        """(position in ids, item number, position in the item, length, whether a case may pass here) of the first seed of every unchanged run."""
+        wide = np.concatenate([np.zeros(SPAN + FEW, np.int32), ids.astype(np.int32), np.zeros(SPAN + FEW, np.int32)])
+        for size, table, item, at in self.tables:
+            n = max(0, len(ids) - size + 1)
+            known = np.ones(n, dtype=bool)
+            for i in range(size):
+                known &= ids[i : i + n] > 0
+            where = np.flatnonzero(known)
+            h = hashes(ids, size)[where]
+            first = np.searchsorted(table, h, "left")
+            count = np.searchsorted(table, h, "right") - first
+            j = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+            for k in range(0, len(j), TOGETHER):
+                block = j[k : k + TOGETHER]
+                pos, n_item, place = np.repeat(where, count)[k : k + TOGETHER], item[block], at[block]
+                begins = wide[pos + SPAN + FEW - 1] != self.flat[self.offset[n_item] + place - 1]
+                pos, n_item, place = pos[begins], n_item[begins], place[begins]
+                may = self.promising(wide, pos, n_item, place, size)
+                yield from zip(pos.tolist(), n_item.tolist(), place.tolist(), repeat(size), may.tolist())
+
+    def promising(self, wide: np.ndarray, pos: np.ndarray, item: np.ndarray, place: np.ndarray, size: int) -> np.ndarray:
+        """Whether enough words around each hit are kept for a case to pass through it."""
+        words = self.flat[(self.offset[item] + place)[:, None] + np.arange(-SPAN, SPAN)]
+        around = wide[(pos + SPAN + FEW)[:, None] + np.arange(-SPAN - FEW, SPAN + FEW)]
+        kept = np.zeros(words.shape, dtype=bool)
+        for e in range(2 * FEW + 1):
+            kept |= around[:, e : e + 2 * SPAN] == words
+        may = (around[:, FEW + SPAN : FEW + SPAN + RUN] == words[:, SPAN : SPAN + RUN]).all(axis=1)
+        may |= self.length[item] < STRETCH
+        total = np.zeros((len(pos), 2 * SPAN + 1), dtype=np.int16)
+        np.cumsum(kept, axis=1, out=total[:, 1:])
+        for m in LENGTHS:
+            a, b = SPAN + size - m, SPAN + 1
+            may |= (total[:, a + m : b + m] - total[:, a:b] >= m - m // PIECE).any(axis=1)
+        return may
+
+
+def reach(a: list[int], b: list[int], edits: int) -> list[int]:
+    """For 0, 1 ... ``edits``: the most leading words of a that so many edits turn into leading words of b."""
+    na, nb = len(a), len(b)
+    front: dict[int, int] = {}
+    out: list[int] = []
+    for e in range(edits + 1):
+        new = {}
+        for d in range(-e, e + 1):  # place in b less place in a
+            i = min(max(front.get(d, -2) + 1, front.get(d + 1, -2) + 1, front.get(d - 1, -1)) if e else 0, na, nb - d)
+            if i < 0 or i + d < 0:
+                continue
+            while i < na and i + d < nb and a[i] == b[i + d]:
+                i += 1
+            new[d] = i
+        front = new
+        out.append(max(new.values()))
+        if out[-1] == na:
+            break
+    return out + [out[-1]] * (edits + 1 - len(out))
+
+
+def runs(doc: list[int], item: list[int], hits: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """(diagonal, start, end in the item) of the longest unchanged runs around the hits (place, place in the item, length)."""
+    out: dict[int, tuple[int, int, int]] = {}
+    found = []
+    for at, a, size in sorted(hits):
+        d = at - a
+        if d in out and out[d][2] >= a + size or doc[at : at + size] != item[a : a + size]:
             continue
-        lo, hi = a, b
-        while lo and diagonal + lo > 0 and words[diagonal + lo - 1] == item[lo - 1]:
+        lo, hi = a, a + size
+        while lo and d + lo > 0 and doc[d + lo - 1] == item[lo - 1]:
             lo -= 1
-        while hi < len(item) and diagonal + hi < len(words) and words[diagonal + hi] == item[hi]:
+        while hi < len(item) and d + hi < len(doc) and doc[d + hi] == item[hi]:
             hi += 1
-        reach[diagonal] = hi
-        run = max(run, hi - lo)
-    if run >= min(RUN, len(item)):
-        return run, run, 0
-    best: tuple[int, int, int] | None = None
-    for chain in chains(hits):
-        a, b = min(h[1] for h in chain), max(h[2] for h in chain)
-        # a changed word breaks the neighbouring piece only, so the stretch may reach a piece further on either side
-        for grow in (PIECE, 0):
-            lo, hi = max(0, a - grow), min(len(item), b + grow)
-            n = hi - lo
-            if n < min(STRETCH, len(item)):
-                continue
-            left = min(h[0] - (h[1] - lo) for h in chain) - n // PIECE
-            right = max(h[0] + (hi - h[1]) for h in chain) + n // PIECE
-            distance = myers(item[lo:hi], words[max(0, left) : max(0, right)])
-            if distance <= n // PIECE and (best is None or n > best[1]):
-                best = (run, n, distance)
-                break
-    return best
+        out[d] = (d, lo, hi)
+        found.append(out[d])
+    return found
 
 
-def chains(hits: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
-    """Hits that lie on nearly one diagonal, in the item's order, at most two pieces' distance apart."""
-    out: list[list[tuple[int, int, int]]] = []
-    for h in sorted(hits):
-        for c in reversed(out[-4:]):
-            p = c[-1]
-            if p[1] < h[1] <= p[2] + 3 * PIECE and abs((h[0] - h[1]) - (p[0] - p[1])) <= 3:
-                c.append(h)
-                break
-        else:
-            out.append([h])
-    return out
+def stretches(doc: list[int], item: list[int], run: tuple[int, int, int], edits: int, span: int) -> tuple[int, int] | None:
+    """(length, -edits) of the longest stretch through the run that is a case, of at most ``edits`` edits and ``span`` words on either side."""
+    d, lo, hi = run
+    left = reach(item[max(0, lo - span) : lo][::-1], doc[max(0, d + lo - span - edits) : d + lo][::-1], edits)
+    right = reach(item[hi : hi + span], doc[d + hi : d + hi + span + edits], edits)
+    least = min(STRETCH, len(item))
+    cases = ((n, -x - y) for x, p in enumerate(left) for y, q in enumerate(right) if (n := hi - lo + p + q) >= least and x + y <= n // PIECE)
+    return max(cases, default=None)
+
+
+def verify(doc: list[int], item: list[int], hits: list[tuple[int, int, int]]) -> tuple[int, int, int] | None:
+    """(longest run, stretch, distance) if the hits (place, place in the item, length) make a case."""
+    found = runs(doc, item, hits)
+    run = max((hi - lo for _, lo, hi in found), default=0)
+    if run >= min(RUN, len(item)):
+        return run, run, 0
+    budget = len(item) // PIECE
+    # every case has one of at most FEW edits within it; only where there is one, the longest is looked for
+    if not any(stretches(doc, item, r, min(budget, FEW), SPAN) for r in found):
+        return None
+    n, edits = max(c for r in found if (c := stretches(doc, item, r, budget, len(item))))
+    return run, n, -edits
 
 
 def find(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -162,27 +258,39 @@ def find(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def _find_block(texts: DataFrame, items: list[tuple[int, list[str]]]) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        auto = automaton(items)
+        seeds = Seeds(items)
         for batch in batches:
             rows = []
-            if len(auto):
-                for doc_id, t in zip(batch["doc_id"], batch["t"], strict=True):
-                    found: dict[int, list[tuple[int, int, int]]] = {}
-                    for end, (length, where) in auto.iter(t):
-                        for n, a, b in where:
-                            found.setdefault(n, []).append((end - length + 1, a, b))
-                    if not found:
-                        continue
-                    words = t.split()
-                    starts: dict[int, int] = {}
-                    offset = 0
-                    for i, w in enumerate(words):
-                        starts[offset] = i
-                        offset += len(w) + 1
-                    for n, hits in found.items():
-                        case = verify(words, items[n][1], [(starts[h], a, b) for h, a, b in hits])
+            if items:
+                for docs, ids, starts in _chunks(seeds, batch):
+                    found: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+                    live: set[tuple[int, int]] = set()
+                    owner = np.repeat(np.arange(len(docs)), np.diff(starts))
+                    for at, n, a, size, may in seeds.hits(ids):
+                        k = int(owner[at])
+                        found.setdefault((k, n), []).append((at - int(starts[k]), a, size))
+                        if may:
+                            live.add((k, n))
+                    for k, n in sorted(live):
+                        case = verify(ids[starts[k] : starts[k + 1]].tolist(), seeds.items[n], found[k, n])
                         if case:
-                            rows.append((doc_id, items[n][0], *case))
+                            rows.append((docs[k], items[n][0], *case))
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "run", "stretch", "distance"])
 
     return texts.mapInPandas(run, FOUND)
+
+
+def _chunks(seeds: Seeds, batch: pd.DataFrame) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """Ids of documents, the numbers of their words in one array with a 0 after each document, and where each begins."""
+    docs: list[int] = []
+    parts: list[np.ndarray] = []
+    starts = [0]
+    for doc_id, t in zip(batch["doc_id"], batch["t"], strict=True):
+        docs.append(doc_id)
+        parts.append(seeds.ids([*t.split(), ""]))
+        starts.append(starts[-1] + len(parts[-1]))
+        if starts[-1] > CHUNK_WORDS:
+            yield docs, np.concatenate(parts), np.array(starts)
+            docs, parts, starts = [], [], [0]
+    if docs:
+        yield docs, np.concatenate(parts), np.array(starts)

@@ -81,3 +81,60 @@ def test_blocks_give_the_same(spark, monkeypatch):
     dd, ii = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, item_text string")
     monkeypatch.setattr(L, "BLOCK_WORDS", 100)
     assert sorted((r.doc_id, r.item_id) for r in L.find(dd, ii).collect()) == [(i, i) for i in range(6)]
+
+
+# texts of sf0.1: item 7145 and document 6524 (51 words, six edits), item 7220 and document 2522 (a stretch of 116 words with fourteen)
+CHANGED = [
+    (
+        7145,
+        "Der Streit mit Vincent Zalitomar über Milchertragsbücher endete erst 1891 in Peivopol. 9 Mappen aus Gagistead betreffen Milchertragsbücher, meist von M. Fliflopeick geordnet. Im Jahr 1896 kam Jereiskibec nach Beiholund und befasste sich dort mit die Entwässerung der Wiesen. Der Streit mit Zachary Breifliflilm über Milchertragsbücher endete erst 1935 in Meicimoor.",
+        6524,
+        "Der Streit mit Vincent Zalitomar über Milchertragsbücher endete erst 1891 in various Peivopol. 9 Mappen aus Gagistead betreffen Milchertragsbücher, meist von Fliflopeick M. geordnet. Im Jahr 1896 kam Jereiskibec nach Beiholund und sich befasste dort mit die Entwässerung der Wiesen. Der Streit mit Zachary Breifliflilm old über Milchertragsbücher endete erst 1935 in Meicimoor. Harriet Dikoverd aus Legruminster schrieb 1867 ausführlich über Milchertragsbücher und Obstbaumschnitt.",
+        (11, 51, 6),
+    ),
+    (
+        7220,
+        "Fourteen bundles hold partnership ledgers, chiefly from Brugifield and from 1866 to 1878. Early in 1877 she entered the Wholesale Society at Brugifield as insurance agent, and the sale of the dye works became the main task. Few of the buyers described by C. Cikukralm reached Koceford after 1843. Few of the markets listed by J. Drutudemar can be traced after 1835. Harriet Babreneis, export broker at Tugrustead, had steered her toward shares in the tramway issue as early as 1872. Among the unsorted items are shares in the tramway issue (Stibustead, 1849) and a exact draft by P. Denacelm on credit given to shopkeepers. Letters to C. Skizadeir of Skigruville discuss mail-order catalogues and also dividends.",
+        2522,
+        "Fourteen bundles hold partnership ledgers, chiely from Brugifield and from 1866 to 1878. Early in 1877 she certain entered the Wholesale Society at Brugifield as insurance agent, and there sale of the dye works became the main task. of Few the buyers described by C. Cikukralm reached Koceford after Few 1843. of the markets listed by J. Drutudemar can be traced aftr 1835. Harriet Babreneis, export broker at Tugrustead, had steered her shares in the tramway issue as early as 1872. the Among unsorted items are shares in the tramway issue (Stibustead, and 1849) a exact draft by P. Denacelm on credit given to shopkeepers. there Letters to C. Skizadeir of Skigruville discuss mail-order catalogues and dividends. For 2 years she sent the Chamber of Trade yearly returns.",
+        (11, 116, 14),
+    ),
+]
+
+
+def test_changed_words_between_few_unchanged_pieces(spark):
+    dd = spark.createDataFrame([(d, t) for _, _, d, t, _ in CHANGED], "doc_id bigint, text string")
+    ii = spark.createDataFrame([(i, t) for i, t, *_ in CHANGED], "item_id bigint, item_text string")
+    got = {(r.doc_id, r.item_id): (r.run, r.stretch, r.distance) for r in L.find(dd, ii).collect()}
+    assert got == {(d, i): e for i, _, d, _, e in CHANGED}
+
+
+def is_case(doc, item):
+    """By trying every window of the item."""
+    n = len(item)
+    near = any(L.myers(item[a:b], doc) <= (b - a) // L.PIECE for a in range(n) for b in range(a + min(L.STRETCH, n), min(n, a + 2 * L.STRETCH) + 1))
+    running = min(L.RUN, n)
+    return near or any(L.myers(item[a : a + running], doc) == 0 for a in range(n - running + 1))
+
+
+def test_every_window_tried():
+    draw = random.Random(5)
+    seen = set()
+    for _ in range(150):
+        vocab = [f"v{i}" for i in range(draw.choice([12, 3000]))]
+        n = draw.choice([5, 9, 15, 20, 27, 31, 32, 39, 47, 56, 70])
+        item = [draw.choice(vocab) for _ in range(n)]
+        copy = list(item)
+        for _ in range(round(n / draw.choice([5, 7, 8, 9]))):
+            i = draw.randrange(len(copy))
+            copy[i : i + 1] = draw.choice([[], [draw.choice(vocab)], [copy[i], draw.choice(vocab)]])
+        doc = [draw.choice(vocab) for _ in range(9)] + copy + [draw.choice(vocab) for _ in range(9)]
+        seeds = L.Seeds([(1, item)])
+        ids = seeds.ids(doc)
+        hits = list(seeds.hits(ids))
+        case = L.verify(ids.tolist(), seeds.items[0], [h[:1] + h[2:4] for h in hits]) if any(h[4] for h in hits) else None
+        assert (case is not None) == is_case(doc, item), (doc, item)
+        if case and case[0] < min(L.RUN, n):
+            assert case[1] >= min(L.STRETCH, n) and case[2] <= case[1] // L.PIECE
+        seen.add((n < L.STRETCH, case is not None))
+    assert len(seen) == 4
