@@ -237,6 +237,22 @@ def initials(first: str) -> str:
     return "".join(sorted({f[0] for f in formal(first)} | {first[0]})) if first else ""
 
 
+def error_keys(word):  # noqa: ANN001, ANN201
+    """Column of keys of a word; two words one error apart (as in ``near``) have one in common.
+
+    The word and all it gives when one letter is left out; of a long word, whose
+    letters would make many keys, either end, one of which an error leaves as it was.
+    """
+    from pyspark.sql import functions as F
+
+    n, end = F.length(word), 12
+    less = F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, n)))
+    short = F.when((n > 0) & (n <= 2 * end + 2), F.concat(F.array(word), less))
+    long = F.when(n >= 2 * end, F.array(F.concat(F.lit("<"), F.left(word, F.lit(end))), F.concat(F.lit(">"), F.right(word, F.lit(end)))))
+    none = F.array().cast("array<string>")
+    return F.array_distinct(F.concat(F.coalesce(short, none), F.coalesce(long, none)))
+
+
 PARTS = "form string, core string, core2 string, first string, second string, initials string, birth int, death int"
 
 

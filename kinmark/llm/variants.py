@@ -5,12 +5,13 @@
 2. Cores (not records) are blocked by their token suffixes: all suffixes above
    ``LEAST`` letters are counted, and each core goes into the block of its
    shortest suffix that at most ``COMMON`` cores share; longer ones would give
-   parts of that block.  Overly common suffixes are not discarded before they
-   have been refined with other fields: with the word's beginning, with the
-   given name's suffix and the year of birth, or with the kind of body.  Pairs
-   inside a block are compared by their longest-common-subsequence ratio; one
-   typing error apart is one spelling, and every spelling follows its most
-   frequent neighbour.
+   parts of that block.  Common suffixes decide nothing: every core is blocked
+   by what is left of it without any one letter as well, so that no pair one
+   error apart is missed, wherever the error lies and however large the input.
+   Pairs with two errors meet by the given name's suffix, the year of birth and
+   the core's beginning.  Pairs inside a block are compared by their
+   longest-common-subsequence ratio; one typing error apart is one spelling,
+   and every spelling follows its most frequent neighbour.
 3. Persons with one family name are told apart by given names (nicknames,
    initials and typing errors allowed) and years; a name that fits several
    persons with different years is linked to none of them.  Bodies must agree
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinmark.llm.lookalike import LetterModel
-from kinmark.llm.names import agree, lcs_ratio, near, parts_column
+from kinmark.llm.names import agree, error_keys, lcs_ratio, near, parts_column
 from kinmark.session import materialize
 
 LEAST = 4
@@ -92,14 +93,11 @@ def spelling_classes(forms: DataFrame) -> DataFrame:
     shared = suffixes.groupBy("suffix").agg(F.count("*").alias("df")).where(F.col("df").between(2, COMMON))
     rare = suffixes.join(shared, "suffix").groupBy("core").agg(F.min_by("suffix", F.length("suffix")).alias("suffix")).select("core", F.concat(F.lit("s|"), "suffix").alias("key"))
     begins = lambda k: F.substring("core", 1, k)
-    refined = long_enough.select("core", F.concat(F.lit("f|"), F.right("core", F.lit(LEAST)), F.lit("|"), begins(3)).alias("key"))
+    spelled = long_enough.select("core", F.explode(error_keys(F.col("core"))).alias("key")).select("core", F.concat(F.lit("n|"), "key").alias("key"))
     with_given = forms.where(F.length("core") > LEAST)
     given = F.when(F.length("first") >= LEAST, F.right("first", F.lit(LEAST)))
     dated = with_given.where("kind = 'person' AND b IS NOT NULL").select("core", F.concat_ws("|", F.lit("g"), given, "b", begins(3)).alias("key"))
-    either_end = F.explode(F.array(begins(5), F.concat(begins(3), F.lit("~"), F.right("core", F.lit(2)))))
-    undated = with_given.where("kind = 'person'").select("core", given.alias("given"), either_end.alias("ends")).select("core", F.concat(F.lit("h|"), "given", F.lit("|"), "ends").alias("key"))
-    bodies = with_given.where("kind <> 'person'").select("core", "kind", "first", either_end.alias("ends")).select("core", F.concat_ws("|", F.lit("k"), "kind", "first", "ends").alias("key"))
-    keys = rare.unionByName(refined).unionByName(dated).unionByName(undated).unionByName(bodies).where("key IS NOT NULL").distinct()
+    keys = rare.unionByName(spelled).unionByName(dated).where("key IS NOT NULL").distinct()
     a, b = keys.alias("a"), keys.alias("b")
     pairs = a.join(b, "key").where(F.col("a.core") < F.col("b.core")).select(F.col("a.core").alias("x"), F.col("b.core").alias("y"), F.col("key").startswith("g|").alias("dated"))
     pairs = pairs.where(F.levenshtein("x", "y", 2) >= 0).groupBy("x", "y").agg(F.max("dated").alias("dated"))

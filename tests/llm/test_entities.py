@@ -170,3 +170,26 @@ def test_components_against_union_find(spark):
     got = {r.id: r.component for r in variants.components(spark.createDataFrame(edges, "a bigint, b bigint"), "test-cc").collect()}
     for a, b in itertools.combinations(got, 2):
         assert (got[a] == got[b]) == (root(a) == root(b))
+
+
+def test_error_keys_meet_at_every_place(spark):
+    rng = random.Random(3)
+    words = [("".join(rng.choice("abcde") for _ in range(n)), k) for n in (2, 5, 9, 23, 24, 25, 26, 27, 40) for k in range(12)]
+    pairs = [(w, typo(w, rng) if len(w) > 2 else w[0]) for w, _ in words]
+    rows = spark.createDataFrame(pairs, "x string, y string")
+    from pyspark.sql import functions as F
+
+    assert rows.where(F.size(F.array_intersect(names.error_keys(F.col("x")), names.error_keys(F.col("y")))) > 0).count() == len(pairs)
+    assert spark.createDataFrame([(None,), ("",), ("y" * 20000,)], "x string").select(F.size(names.error_keys(F.col("x")))).collect() == [(0,), (0,), (2,)]
+
+
+def test_spellings_under_a_common_ending(spark):
+    rng = random.Random(7)
+    tail = "stromanberg"
+    crowd = ["".join(rng.sample("bdfgklmnprtvz", 6)) + tail for _ in range(variants.COMMON + 20)]
+    pairs = [("ab" + tail, "ac" + tail), ("kavmo", "kovmo")]
+    rows = [(f"r{i}", "person", c, "iane", None) for i, c in enumerate([*crowd, *[c for p in pairs for c in (p[0], *p)]])]
+    forms = spark.createDataFrame(rows, "node string, kind string, core string, first string, b int")
+    cls = {r.core: r.cls for r in variants.spelling_classes(forms).collect()}
+    assert all(cls[x] == cls[y] == x for x, y in pairs)
+    assert len(set(cls.values())) == len(set(crowd)) + len(pairs)
