@@ -3,6 +3,8 @@
 1. Attributes.  Records and clusters get composite attributes from every name
    form, the years, the works and the kind (family name with initial and year,
    beginning or end of the family name with given name, a work's title ...).
+   A cluster also gets the attributes of records whose core is one error away
+   from its own, wherever the error lies; only such as some record has.
    Where a node has years they are part of its attributes, so that a family
    name borne by a third of all rows makes no block of its own.
 2. Candidate graph.  An edge joins a record and a cluster that share an
@@ -32,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinmark.llm.names import agree, lcs_ratio, near
+from kinmark.llm.names import agree, error_keys, lcs_ratio, near
 from kinmark.session import materialize
 
 KEEP = 0.5
@@ -72,7 +74,17 @@ def attributes(forms: DataFrame) -> DataFrame:
     person = person.where("i <> ''")
     undated = F.col("b").isNull() & F.col("d").isNull()
     given = F.length("first") > 1
-    key = lambda tag, *cols: F.struct(F.xxhash64(F.lit(tag), *cols).alias("attr"), F.lit(tag[0].isupper()).alias("firm"))
+    none = F.lit(None).cast("int")
+
+    def key(tag: str, core: str | Column, rest: str | Column, year: str | Column = none) -> Column:
+        """An attribute; ``whole`` are its parts if it has the whole core, else NULL."""
+        core = F.col(core) if isinstance(core, str) else core
+        rest = F.col(rest) if isinstance(rest, str) else rest
+        year = F.col(year) if isinstance(year, str) else year
+        parts = F.struct(F.lit(tag).alias("tag"), core.alias("core"), rest.alias("rest"), year.cast("int").alias("year"))
+        whole = F.lit(None).cast("struct<tag:string,core:string,rest:string,year:int>") if len(tag) > 1 else parts
+        return F.struct(F.xxhash64(F.lit(tag), core, rest, year.cast("int")).alias("attr"), F.lit(tag[0].isupper()).alias("firm"), whole.alias("whole"))
+
     when = lambda cond, k: F.when(cond, k)
     has_b, has_d = F.col("b").isNotNull(), F.col("d").isNotNull()
     # a record without years is compared with all, one with years with those of the same year and those without
@@ -96,9 +108,32 @@ def attributes(forms: DataFrame) -> DataFrame:
     )
     people = person.select("node", "kind", F.explode(keys).alias("k"))
     other = f.where("kind <> 'person'")
-    keys = F.array(key("K", "kind", "core", "first", "second"), key("k1", "kind", starts, "first", "second"), key("k2", "kind", ends, "first", "second"))
+    unit = F.concat_ws("|", "kind", F.coalesce("first", F.lit("")), F.coalesce("second", F.lit("")))
+    keys = F.array(key("K", "core", unit), key("k1", starts, unit), key("k2", ends, unit))
     rest = other.select("node", "kind", F.explode(keys).alias("k"))
-    return people.unionByName(rest).select("node", "k.attr", "k.firm").distinct()
+    exact = materialize(people.unionByName(rest).select("node", "k.attr", "k.firm", "k.whole").distinct(), "p1-exact")
+    return exact.select("node", "attr", "firm").unionByName(one_error(exact)).distinct()
+
+
+def one_error(exact: DataFrame) -> DataFrame:
+    """node, attr, firm: attributes of records that clusters would have but for one error in the core.
+
+    Spellings, and then distinct attributes, meet before nodes do.
+    """
+    whole = exact.where("whole IS NOT NULL")
+    of = lambda side: whole.where(F.col("node").startswith(side))
+    keyed = lambda side, name: of(side).select(F.col("whole.core").alias(name)).distinct().select(name, F.explode(error_keys(F.col(name))).alias("key"))
+    pairs = keyed("r", "x").join(keyed("v", "y"), "key").where("x <> y AND levenshtein(x, y, 2) >= 0").select("x", "y").distinct()
+
+    @F.pandas_udf("boolean")
+    def one_spelling(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([near(p, q) and lcs_ratio(p, q) >= 0.8 for p, q in zip(x, y, strict=True)], dtype=bool)
+
+    pairs = pairs.where(one_spelling("x", "y"))
+    stated = of("v").select("attr", "whole.*").distinct().join(pairs.withColumnRenamed("y", "core"), "core")
+    moved = stated.select("attr", F.xxhash64("tag", "x", "rest", "year").alias("other"))
+    real = moved.join(of("r").select(F.col("attr").alias("other")).distinct(), "other")
+    return of("v").select("node", "attr").join(real, "attr").select("node", F.col("other").alias("attr"), F.lit(False).alias("firm"))
 
 
 def candidates(attrs: DataFrame, works: DataFrame, sizes: int) -> DataFrame:

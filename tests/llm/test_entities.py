@@ -193,3 +193,17 @@ def test_spellings_under_a_common_ending(spark):
     cls = {r.core: r.cls for r in variants.spelling_classes(forms).collect()}
     assert all(cls[x] == cls[y] == x for x, y in pairs)
     assert len(set(cls.values())) == len(set(crowd)) + len(pairs)
+
+
+def test_linkage_with_one_error_in_the_middle(spark):
+    pairs = [("havoang", "havokang"), ("stusotan", "stuskotan"), ("pestuard", "pesutard"), ("puhotrung", "puhobrung")]
+    schema = "node string, kind string, main boolean, form string, core string, core2 string, first string, second string, initials string, b int, d int"
+    rows = []
+    for i, (x, y) in enumerate(pairs):
+        for j, (b, d, vb, vd) in enumerate([(1850, 1900, 1850, 1900), (None, None, 1850, 1900), (1850, 1900, None, None)]):
+            n, first = 10 * i + j, ["iane", "hugo", "martha"][j]
+            rows += [(f"r{n}", "person", True, x, x, None, first, "", first[0], b, d), (f"v{n}", "person", False, y, y, None, first, "", first[0], vb, vd)]
+    rows += [("r90", "corporateBody", True, "k", "kolvaning", None, "university", "", "", None, None), ("v90", "corporateBody", False, "k", "kolfaning", None, "university", "", "", None, None)]
+    forms = spark.createDataFrame(rows, schema)
+    edges = linkage.candidates(linkage.attributes(forms), spark.createDataFrame([], "node string, work string"), len(rows))
+    assert {(r.rec, r.clu) for r in edges.collect()} >= {(r[0], "v" + r[0][1:]) for r in rows if r[2]}
