@@ -5,6 +5,7 @@ document must hold the rarest of the query's tokens (or one of its ``RARE``
 rarest n-grams); among these the order is by shared distinct tokens, then by
 the share of the union, then by id.  Joining on the rarest key only keeps the
 join as small as the data allows, however common the other tokens are.
+``ranked_all`` ranks all documents that share any token, by the same order.
 
 Edge cases: NULL or empty names have no tokens and no candidates; repeated
 tokens count once.
@@ -12,12 +13,13 @@ tokens count once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinmark.functions.normalize import collapse, name_key
 from kinmark.functions.similarity import trigram_similarity, trigrams
 from kinmark.operators.lookup import top_k
+from kinmark.session import materialize
 
 RARE = 3
 NAME_TYPES = {"person": "Personal", "corporateBody": "Corporate", "family": "Personal"}
@@ -69,8 +71,29 @@ def ranked(queries: DataFrame, docs: DataFrame, k: int = 10, rare: int = 1) -> D
     doc_terms = docs.select("part", "did", F.explode("terms").alias("term"))
     df = doc_terms.groupBy("part", "term").agg(F.count("*").alias("df"))
     q = queries.select("qid", "part", F.explode("terms").alias("term")).join(df, ["part", "term"])
-    keys = top_k(q, ["qid"], [F.col("df"), F.col("term")], rare).select("qid", "part", "term")
-    pairs = keys.join(doc_terms, ["part", "term"]).select("qid", "did").distinct()
+    return _best(queries, docs, doc_terms, top_k(q, ["qid"], [F.col("df"), F.col("term")], rare), k)
+
+
+def ranked_all(queries: DataFrame, docs: DataFrame, k: int = 10, rare: int = RARE) -> DataFrame:
+    """As ``ranked``, over all documents that share a term with the query.
+
+    The best documents with one of the ``rare`` rarest terms give a bound: where
+    the k-th shares s of the query's n terms, a document in front of it shares s
+    as well and so holds one of the n - s + 1 rarest; no other term is joined.
+    """
+    doc_terms = docs.select("part", "did", F.explode("terms").alias("term"))
+    df = doc_terms.groupBy("part", "term").agg(F.count("*").alias("df"))
+    q = queries.select("qid", "part", F.explode("terms").alias("term")).join(df, ["part", "term"])
+    q = materialize(q.withColumn("place", F.row_number().over(Window.partitionBy("qid").orderBy("df", "term"))), "ranked-terms")
+    first = _best(queries, docs, doc_terms, q.where(F.col("place") <= rare), k)
+    bound = first.where(F.col("rank") == k).select("qid", F.col("shared").alias("bound"))
+    size = q.groupBy("qid").agg(F.max("place").alias("n")).join(bound, "qid", "left").select("qid", (F.col("n") - F.coalesce("bound", F.lit(1)) + 1).alias("upto"))
+    return _best(queries, docs, doc_terms, q.join(size, "qid").where("place <= upto"), k)
+
+
+def _best(queries: DataFrame, docs: DataFrame, doc_terms: DataFrame, keys: DataFrame, k: int) -> DataFrame:
+    """The k best of the documents that hold one of the query's ``keys``."""
+    pairs = keys.select("qid", "part", "term").join(doc_terms, ["part", "term"]).select("qid", "did").distinct()
     # 64-bit numbers instead of texts: the intersection of two sets runs on primitive arrays
     coded = F.transform("terms", lambda t: F.xxhash64(t))
     full = pairs.join(queries.select("qid", coded.alias("qt")), "qid").join(docs.select("did", coded.alias("dt")), "did")
@@ -89,14 +112,16 @@ def _queries(records: DataFrame, terms: Column) -> DataFrame:
     return records.where("name_norm IS NOT NULL").select(F.col("id").alias("qid"), part.alias("part"), terms.alias("terms"))
 
 
-def keyword_candidates(records: DataFrame, index: DataFrame, k: int = 10, query: Column | None = None) -> DataFrame:
-    """Best clusters by words of their headings."""
-    return ranked(_queries(records, tokens(F.col("name_norm") if query is None else query)), _documents(index, tokens(F.col("text"))), k)
+def keyword_candidates(records: DataFrame, index: DataFrame, k: int = 10, query: Column | None = None, whole: bool = False) -> DataFrame:
+    """Best clusters by words of their headings; ``whole`` ranks all that share a word."""
+    q, d = _queries(records, tokens(F.col("name_norm") if query is None else query)), _documents(index, tokens(F.col("text")))
+    return ranked_all(q, d, k) if whole else ranked(q, d, k)
 
 
-def ngram_candidates(records: DataFrame, index: DataFrame, k: int = 10) -> DataFrame:
-    """Best clusters by character trigrams of their headings."""
-    return ranked(_queries(records, ngrams(F.col("name_norm"))), _documents(index, ngrams(F.col("text"))), k, RARE)
+def ngram_candidates(records: DataFrame, index: DataFrame, k: int = 10, whole: bool = False) -> DataFrame:
+    """Best clusters by character trigrams of their headings; ``whole`` ranks all that share one."""
+    q, d = _queries(records, ngrams(F.col("name_norm"))), _documents(index, ngrams(F.col("text")))
+    return ranked_all(q, d, k, 2 * RARE) if whole else ranked(q, d, k, RARE)
 
 
 def close_names(names: DataFrame, bound: int = 5) -> DataFrame:

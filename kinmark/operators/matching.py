@@ -127,11 +127,11 @@ def corporate_key(c: Column) -> Column:
     return strip_corporate_abbreviations(strip_accents(letters_key(c)))
 
 
-def corporate_keyword(records: DataFrame, index: DataFrame) -> DataFrame:
+def corporate_keyword(records: DataFrame, index: DataFrame, whole: bool = False) -> DataFrame:
     """record_id, viaf_id, quality: bodies by keyword candidates, first heading whose Jaro similarity is ``FUZZY`` or more."""
     bodies = records.where("r_type = 'corporateBody'")
     key = corporate_key(F.col("name_norm"))
-    found = keyword_candidates(bodies, index, query=key)
+    found = keyword_candidates(bodies, index, query=key, whole=whole)
     pairs = found.select("qid", F.col("did").alias("viaf_id"), "rank").join(bodies.select(F.col("id").alias("qid"), key.alias("q")), "qid").join(index.select("viaf_id", "pos", "heading"), "viaf_id")
     scored = pairs.select("qid", "viaf_id", "rank", "pos", jaro(F.col("q"), corporate_key(F.col("heading"))).alias("quality")).where(F.col("quality") >= FUZZY)
     best = scored.groupBy("qid").agg(F.min_by(F.struct("viaf_id", "quality"), F.struct("rank", "pos")).alias("m"))
@@ -170,10 +170,10 @@ def cascade(records: DataFrame, groups: DataFrame, members: DataFrame, merged: D
     exact = materialize(exact_person(persons, index), "cascade-heading")
     add(exact, "heading", F.lit("accept"), none_long, F.col("viaf_id"), sure)
     persons = left(persons, exact)
-    by_word = materialize(first_acceptable(persons, keyword_candidates(persons, index), index).where(F.col("quality") > PERSON_ACCEPT), "cascade-keyword")
+    by_word = materialize(first_acceptable(persons, keyword_candidates(persons, index, whole=True), index).where(F.col("quality") > PERSON_ACCEPT), "cascade-keyword")
     add(by_word, "keyword", F.lit("accept"), none_long, F.col("viaf_id"), F.col("quality"))
     persons = left(persons, by_word)
-    by_gram = materialize(first_acceptable(persons, ngram_candidates(persons, index), index), "cascade-ngram")
+    by_gram = materialize(first_acceptable(persons, ngram_candidates(persons, index, whole=True), index), "cascade-ngram")
     add(by_gram, "ngram", F.when(F.col("quality") > PERSON_ACCEPT, "accept").otherwise("maybe"), none_long, F.col("viaf_id"), F.col("quality"))
     rest = left(persons, by_gram).select(F.col("id").alias("record_id"))
     add(rest, "none", F.lit("new"), none_long, none_text, F.lit(None).cast("double"))
@@ -182,7 +182,7 @@ def cascade(records: DataFrame, groups: DataFrame, members: DataFrame, merged: D
     exact_body = materialize(exact_corporate(bodies, groups, index), "cascade-body")
     add(exact_body, "exact", F.lit("accept"), F.col("group_id"), F.col("viaf_id"), sure)
     bodies = left(bodies, exact_body)
-    worded = materialize(corporate_keyword(bodies, index), "cascade-word")
+    worded = materialize(corporate_keyword(bodies, index, whole=True), "cascade-word")
     add(worded, "keyword", F.when(F.col("quality") >= CORPORATE_ACCEPT, "accept").otherwise("maybe"), none_long, F.col("viaf_id"), F.col("quality"))
     add(left(bodies, worded).select(F.col("id").alias("record_id")), "none", F.lit("new"), none_long, none_text, F.lit(None).cast("double"))
 

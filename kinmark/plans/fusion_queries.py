@@ -53,13 +53,13 @@ def m_corporate_keyword(spark: SparkSession, sf_dir: str) -> DataFrame:
 def m_keyword_person(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pending persons: first acceptable keyword candidate."""
     index, r = headings(table(spark, sf_dir, "viaf_clusters")), _pending(spark, sf_dir).where("r_type = 'person'")
-    return matching.first_acceptable(r, matching.keyword_candidates(r, index), index)
+    return matching.first_acceptable(r, matching.keyword_candidates(r, index, whole=True), index)
 
 
 def m_ngram_person(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pending persons: first acceptable n-gram candidate."""
     index, r = headings(table(spark, sf_dir, "viaf_clusters")), _pending(spark, sf_dir).where("r_type = 'person'")
-    return matching.first_acceptable(r, matching.ngram_candidates(r, index), index)
+    return matching.first_acceptable(r, matching.ngram_candidates(r, index, whole=True), index)
 
 
 def m_in_database(spark: SparkSession, sf_dir: str) -> DataFrame:

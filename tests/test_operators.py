@@ -214,3 +214,29 @@ def test_in_database(spark, world):
     got = {r.record_id: (r.other_id, r.quality) for r in matching.in_database(pending, grouped).collect()}
     assert got[2] == (1, 1.0) and 3 not in got and 8 not in got
     assert got[7][0] == 6 and got[7][1] >= 0.85
+
+
+def test_ranking_of_all_documents(spark):
+    rng = random.Random(2)
+    words = [f"t{i}" for i in range(14)]
+    some = lambda n: sorted(set(rng.choices(words, range(1, 15), k=n)))
+    qs = [(i, rng.choice("pq"), some(6)) for i in range(40)] + [(99, "p", [])]
+    ds = [(f"d{i:03}", rng.choice("pq"), some(5)) for i in range(150)]
+    q = spark.createDataFrame(qs, "qid int, part string, terms array<string>")
+    d = spark.createDataFrame(ds, "did string, part string, terms array<string>")
+    for k in (1, 10, 100):
+        want = []
+        for i, part, terms in qs:
+            all_ = sorted((-len(s), -len(s) / len(set(terms) | set(t)), did) for did, p, t in ds if p == part and (s := set(terms) & set(t)))
+            want += [(i, did, -n, r) for r, (n, _, did) in enumerate(all_[:k], 1)]
+        for rare in (1, 3):
+            assert sorted(tuple(r) for r in blocking.ranked_all(q, d, k, rare).collect()) == sorted(want)
+
+
+def test_match_without_the_rarest_word(spark):
+    rows = [record(1, "person", "Doe, Jane Quincy, clerk", "doe jane quincy clerk")]
+    clusters = spark.createDataFrame([("1", "Personal", False, ["Doe, Jane Quincy"], None, None), ("2", "Personal", False, ["Clerk, Otto"], None, None), ("3", "Personal", False, ["Doe, Jane"], None, None)], CLUSTER)
+    index = blocking.headings(clusters)
+    r = spark.createDataFrame(rows, RECORD)
+    assert [x.did for x in blocking.keyword_candidates(r, index).collect()] == ["2"]
+    assert [x.did for x in blocking.keyword_candidates(r, index, whole=True).orderBy("rank").collect()] == ["1", "3", "2"]
