@@ -79,7 +79,8 @@ def ranked_all(queries: DataFrame, docs: DataFrame, k: int = 10, rare: int = RAR
 
     The best documents with one of the ``rare`` rarest terms give a bound: where
     the k-th shares s of the query's n terms, a document in front of it shares s
-    as well and so holds one of the n - s + 1 rarest; no other term is joined.
+    as well and so holds one of the n - s + 1 rarest, and 1 + e of e terms more
+    than these; no other term is joined, and only such documents are compared.
     """
     doc_terms = docs.select("part", "did", F.explode("terms").alias("term"))
     df = doc_terms.groupBy("part", "term").agg(F.count("*").alias("df"))
@@ -87,13 +88,16 @@ def ranked_all(queries: DataFrame, docs: DataFrame, k: int = 10, rare: int = RAR
     q = materialize(q.withColumn("place", F.row_number().over(Window.partitionBy("qid").orderBy("df", "term"))), "ranked-terms")
     first = _best(queries, docs, doc_terms, q.where(F.col("place") <= rare), k)
     bound = first.where(F.col("rank") == k).select("qid", F.col("shared").alias("bound"))
-    size = q.groupBy("qid").agg(F.max("place").alias("n")).join(bound, "qid", "left").select("qid", (F.col("n") - F.coalesce("bound", F.lit(1)) + 1).alias("upto"))
-    return _best(queries, docs, doc_terms, q.join(size, "qid").where("place <= upto"), k)
+    low = F.coalesce("bound", F.lit(1))
+    extra = F.least(F.lit(RARE), low - 1)
+    size = q.groupBy("qid").agg(F.max("place").alias("n")).join(bound, "qid", "left").select("qid", (F.col("n") - low + 1 + extra).alias("upto"), (extra + 1).alias("least"))
+    return _best(queries, docs, doc_terms, q.join(size, "qid").where("place <= upto"), k, F.col("least"))
 
 
-def _best(queries: DataFrame, docs: DataFrame, doc_terms: DataFrame, keys: DataFrame, k: int) -> DataFrame:
-    """The k best of the documents that hold one of the query's ``keys``."""
-    pairs = keys.select("qid", "part", "term").join(doc_terms, ["part", "term"]).select("qid", "did").distinct()
+def _best(queries: DataFrame, docs: DataFrame, doc_terms: DataFrame, keys: DataFrame, k: int, least: Column | None = None) -> DataFrame:
+    """The k best of the documents that hold one (``least``) of the query's ``keys``."""
+    met = keys.select("qid", "part", "term", (F.lit(1) if least is None else least).alias("least")).join(doc_terms, ["part", "term"])
+    pairs = met.select("qid", "did").distinct() if least is None else met.groupBy("qid", "did", "least").count().where("count >= least").select("qid", "did")
     # 64-bit numbers instead of texts: the intersection of two sets runs on primitive arrays
     coded = F.transform("terms", lambda t: F.xxhash64(t))
     full = pairs.join(queries.select("qid", coded.alias("qt")), "qid").join(docs.select("did", coded.alias("dt")), "did")
@@ -121,18 +125,18 @@ def keyword_candidates(records: DataFrame, index: DataFrame, k: int = 10, query:
 def ngram_candidates(records: DataFrame, index: DataFrame, k: int = 10, whole: bool = False) -> DataFrame:
     """Best clusters by character trigrams of their headings; ``whole`` ranks all that share one."""
     q, d = _queries(records, ngrams(F.col("name_norm"))), _documents(index, ngrams(F.col("text")))
-    return ranked_all(q, d, k, 2 * RARE) if whole else ranked(q, d, k, RARE)
+    return ranked_all(q, d, k) if whole else ranked(q, d, k, RARE)
 
 
-def close_names(names: DataFrame, bound: int = 5) -> DataFrame:
-    """a, b, distance: pairs of distinct texts (column name) at an edit distance below ``bound``.
+def close_names(names: DataFrame, bound: int = 5, cut: int | None = 254) -> DataFrame:
+    """a, b, distance: pairs of distinct texts (column name; its first ``cut`` letters) at an edit distance below ``bound``.
 
     Blocking without loss: at most ``bound - 1`` edits leave one of ``bound``
     pieces of the shorter text unchanged, shifted by at most as many places.
     Texts shorter than ``2 * bound`` meet by length instead.
     """
     edits = bound - 1
-    t = names.select(F.substring("name", 1, 254).alias("t")).where("t IS NOT NULL").distinct().withColumn("n", F.length("t"))
+    t = names.select((F.col("name") if cut is None else F.substring("name", 1, cut)).alias("t")).where("t IS NOT NULL").distinct().withColumn("n", F.length("t"))
     long = t.where(F.col("n") >= 2 * bound)
     # pieces of a text of length n: cut at n * i / bound; a text of length m is searched at every shift for every n within reach
     cut = lambda n, i: F.floor(n * i / bound).cast("int")
@@ -176,3 +180,32 @@ def similar_names(names: DataFrame, bound: float = 0.75) -> DataFrame:
     sets = t.select("t", "g")
     full = pairs.join(sets.select(F.col("t").alias("a"), F.col("g").alias("ga")), "a").join(sets.select(F.col("t").alias("b"), F.col("g").alias("gb")), "b")
     return full.withColumn("similarity", trigram_similarity(F.col("ga"), F.col("gb"))).where(F.col("similarity") > bound).select("a", "b", F.round("similarity", 6).alias("similarity"))
+
+
+def close_records(records: DataFrame, bound: int = 5) -> DataFrame:
+    """record_id, other_id, distance: every record and the other grouped records at an edit distance below ``bound``.
+
+    Whole names are compared with the first 254 letters of the grouped records'
+    names, as stored; equal names are at distance 0.
+    """
+    r, o = _record_texts(records, F.substring("name_norm", 1, 254))
+    texts = r.select(F.col("a").alias("name")).unionByName(o.select(F.col("b").alias("name"))).distinct()
+    return _by_record(r, o, close_names(texts, bound, None), texts.select(F.col("name").alias("a"), F.col("name").alias("b"), F.lit(0).alias("distance")), "distance")
+
+
+def similar_records(records: DataFrame, bound: float = 0.75) -> DataFrame:
+    """record_id, other_id, similarity: every record and the other grouped records whose trigram similarity exceeds ``bound``."""
+    r, o = _record_texts(records, F.col("name_norm"))
+    texts = r.select(F.col("a").alias("name")).distinct()
+    same = texts.where(F.size(trigrams(F.col("name"))) > 0).select(F.col("name").alias("a"), F.col("name").alias("b"), F.lit(1.0).alias("similarity"))
+    return _by_record(r, o, similar_names(texts, bound), same, "similarity")
+
+
+def _record_texts(records: DataFrame, stored: Column) -> tuple[DataFrame, DataFrame]:
+    named = records.where("name_norm IS NOT NULL")
+    return named.select(F.col("id").alias("record_id"), F.col("name_norm").alias("a")), named.where("record_group_id IS NOT NULL").select(F.col("id").alias("other_id"), stored.alias("b"))
+
+
+def _by_record(r: DataFrame, o: DataFrame, pairs: DataFrame, same: DataFrame, value: str) -> DataFrame:
+    both = pairs.select("a", "b", value).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), value)).unionByName(same)
+    return r.join(both, "a").join(o, "b").where("record_id <> other_id").select("record_id", "other_id", value)

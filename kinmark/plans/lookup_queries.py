@@ -136,6 +136,16 @@ def j_similar_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocking.similar_names(table(spark, sf_dir, "record_groups").select("name"))
 
 
+def j_close_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record and the other grouped records at an edit distance below five of the normalised names."""
+    return blocking.close_records(table(spark, sf_dir, "original_records"))
+
+
+def j_similar_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record and the other grouped records that share more than three quarters of their names' trigrams."""
+    return blocking.similar_records(table(spark, sf_dir, "original_records"))
+
+
 def j_source_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster of each group by the source codes of its own cluster."""
     groups, clusters = _t(spark, sf_dir, "record_groups", "viaf_clusters")
@@ -192,7 +202,7 @@ def x_all_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _FUNCTIONS = [
     x_index_sizes, x_all_names, p_unprocessed, p_starting_with, p_in_given_order, p_all, p_first_by_name, p_by_canonical_id, p_of_type, p_without_id, p_assigned, p_candidates_of, a_collections, j_without_merge, j_by_authority, j_changed_since,
-    j_of_collections, j_same_name, j_exact_heading, j_keyword, j_ngram, j_close_names, j_similar_names, j_source_code, j_authority_id, j_maybe_edges, j_lineage, j_previous, t_newest, s_arrivals,
+    j_of_collections, j_same_name, j_exact_heading, j_keyword, j_ngram, j_close_names, j_similar_names, j_close_records, j_similar_records, j_source_code, j_authority_id, j_maybe_edges, j_lineage, j_previous, t_newest, s_arrivals,
 ]
 QUERIES = {f.__name__: f for f in _FUNCTIONS}
 

@@ -240,3 +240,14 @@ def test_match_without_the_rarest_word(spark):
     r = spark.createDataFrame(rows, RECORD)
     assert [x.did for x in blocking.keyword_candidates(r, index).collect()] == ["2"]
     assert [x.did for x in blocking.keyword_candidates(r, index, whole=True).orderBy("rank").collect()] == ["1", "3", "2"]
+
+
+def test_records_with_close_and_similar_names(spark, names):
+    long = "n" * 254
+    stored = [*names, names[0], long + "tail", long, "", ""]
+    rows = [(i, n, i if i % 3 else None) for i, n in enumerate(stored)] + [(900, None, 1)]
+    df = spark.createDataFrame(rows, "id bigint, name_norm string, record_group_id bigint")
+    pairs = [(x, y) for x in rows for y in rows if x[0] != y[0] and y[2] is not None and x[1] is not None and y[1] is not None]
+    assert {tuple(r) for r in blocking.close_records(df).collect()} == {(x[0], y[0], d) for x, y in pairs if (d := levenshtein(x[1], y[1][:254])) < 5}
+    score = lambda a, b: len(trigrams(a) & trigrams(b)) / max(1, len(trigrams(a) | trigrams(b)))
+    assert {(r.record_id, r.other_id) for r in blocking.similar_records(df, 0.4).collect()} == {(x[0], y[0]) for x, y in pairs if score(x[1], y[1]) > 0.4}
