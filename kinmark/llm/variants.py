@@ -202,6 +202,8 @@ def components(edges: DataFrame, label: str, rounds: int = 30) -> DataFrame:
         labels = new.select("a", "c")
         if done:
             break
+    else:
+        raise RuntimeError(f"components have not settled after {rounds} rounds")
     return labels.select(F.col("a").alias("id"), F.col("c").alias("component"))
 
 

@@ -30,6 +30,8 @@ def connected_components(edges: DataFrame, label: str, rounds: int = 30) -> Data
         labels = new.select("a", "c")
         if not new.where("c <> old").limit(1).count():
             break
+    else:
+        raise RuntimeError(f"components have not settled after {rounds} rounds")
     return labels.select(F.col("a").alias("id"), F.col("c").alias("component"))
 
 

@@ -207,3 +207,13 @@ def test_linkage_with_one_error_in_the_middle(spark):
     forms = spark.createDataFrame(rows, schema)
     edges = linkage.candidates(linkage.attributes(forms), spark.createDataFrame([], "node string, work string"), len(rows))
     assert {(r.rec, r.clu) for r in edges.collect()} >= {(r[0], "v" + r[0][1:]) for r in rows if r[2]}
+
+
+def test_components_never_come_out_split(spark):
+    from kinmark.operators.grouping import connected_components
+
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)], "a bigint, b bigint")
+    for f in (variants.components, connected_components):
+        assert {r.component for r in f(chain, "test-chain").collect()} == {0}
+        with pytest.raises(RuntimeError):
+            f(chain, "test-short", rounds=3)
