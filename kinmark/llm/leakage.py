@@ -1,22 +1,33 @@
-"""Evaluation texts leaking into training text, by seeds and edit-bounded extension.
+"""Evaluation texts leaking into training text, by pigeonhole edit matching.
 
 A case is a run of ``RUN`` words of an item, or a stretch of at least
 ``STRETCH`` words of it (a shorter item counts as a whole) with at most one
-edit in ``PIECE`` words.  Of n words with k edits some (n - k) / (k + 1) words
-in a row are unchanged.  A stretch of 64 words and more has a shorter one
+edit in ``PIECE`` words.  A stretch of 64 words and more has a shorter one
 within it that is a case (of two parts one keeps to its budget), and one of 32
-to 63 words may be cut to a multiple of 8; so every case has ``seed`` words in
-a row unchanged, and all such seeds of all items, at every position, are looked
-up in the text by their hash.  An item goes on if around one of its hits as many
-words occur, no further off than there are edits, as a case keeps.  Hits are
-extended to the longest unchanged run, and from there to both sides by the
-furthest reach for each number of edits (Landau and Vishkin); all divisions of
-the edits between the sides are tried.  Neither kind of case can be missed,
-whatever lies between the unchanged words.
+to 63 words may be cut to a multiple of 8; so only stretches of these few
+lengths (``LENGTHS``) need be looked for, at every place of an item.
+
+1. Pieces.  A stretch with a budget of k edits is split into k + 1 pieces, of
+   which k edits leave one whole; its n - k unchanged words give that piece
+   (n - k) / (k + 1) words.  The pieces of the stretches at every place are all
+   turns of ``seed`` words of the item; they are looked up in the text by hash.
+2. Hits.  An item goes on if around one of its hits as many words occur, no
+   further off than there are edits, as a case keeps.
+3. Verification.  A hit is extended to the longest unchanged run, and from there
+   to both sides by Myers' bit-parallel distance, which gives the least number
+   of edits for every number of words at once; all divisions of the edits
+   between the sides are tried.  Neither kind of case can be missed, whatever
+   lies between the unchanged words.
+
+Texts are compared as words in lower case: markup and punctuation are removed,
+entities are resolved, compatibility forms (full-width letters, ligatures,
+combining accents) are normalised, and invisible characters (zero-width blanks
+and joiners, soft hyphens) are deleted without cutting the word they stand in.
 
 Scale: documents are never shuffled; the items are a stated query set that is
 handled in blocks whose seed tables have a fixed bound (``BLOCK_WORDS``), one
-pass over the corpus for each block.
+pass over the corpus for each block.  Texts of plain ASCII are taken apart in
+the JVM.
 
 Edge cases: NULL or empty texts give no row; NULL or empty items are left out;
 items shorter than a run are found as a whole only; repeated items are
@@ -25,12 +36,15 @@ reported under each id; a repeated document is reported once per row.
 
 from __future__ import annotations
 
+import html
+import unicodedata
 from collections.abc import Iterator
 from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,10 +68,27 @@ TOGETHER = 20_000
 FOUND = "doc_id bigint, item_id bigint, run int, stretch int, distance int"
 
 
+_TAG = regex.compile(r"<[^<>]{0,200}>")
+_INVISIBLE = regex.compile(r"\p{Cf}+")
+_WORD = regex.compile(r"[\p{L}\p{N}\p{M}]+")
+
+
 def normalised(text: Column) -> Column:
-    """Words in lower case between single blanks, markup and punctuation removed."""
-    bare = F.regexp_replace(text, r"<[^<>]{0,200}>|&[a-zA-Z]{2,8};|&#[0-9]{1,6};|\p{Cf}", " ")
-    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(bare), r"[^\p{L}\p{N}\p{M}]+", " ")), F.lit(" "))
+    """Words in lower case between single blanks, markup and punctuation removed; for texts that are ``plain``."""
+    return F.trim(F.regexp_replace(F.lower(F.regexp_replace(text, r"<[^<>]{0,200}>", " ")), r"[^a-z0-9]+", " "))
+
+
+def plain(text: Column) -> Column:
+    """Whether a text has characters of ASCII only and no entity."""
+    return text.rlike(r"^\p{ASCII}*$") & ~F.contains(text, F.lit("&"))
+
+
+def words_of(text: str) -> list[str]:
+    """Words of any text, as ``normalised`` has them for a plain one."""
+    bare = _TAG.sub(" ", text)
+    if "&" in bare:
+        bare = html.unescape(bare)
+    return _WORD.findall(unicodedata.normalize("NFKC", _INVISIBLE.sub("", bare)).lower())
 
 
 def pieces(words: list[str], piece: int = PIECE) -> list[tuple[int, int]]:
@@ -177,25 +208,37 @@ class Seeds:
         return may
 
 
+def distances(pattern: list[int], text: list[int]) -> np.ndarray:
+    """For 0, 1 ... leading words of the pattern: their least edit distance to any leading words of the text.
+
+    Myers' bit vectors of every column give all rows' distances by one running sum.
+    """
+    m = len(pattern)
+    eq: dict[int, int] = {}
+    for i, w in enumerate(pattern):
+        eq[w] = eq.get(w, 0) | 1 << i
+    full = (1 << m) - 1
+    pv, mv = full, 0
+    size = m // 8 + 1
+    ups, downs = [pv.to_bytes(size, "little")], [mv.to_bytes(size, "little")]
+    for w in text:
+        e = eq.get(w, 0)
+        xv = e | mv
+        xh = (((e & pv) + pv) ^ pv) | e
+        ph = (mv | ~(xh | pv) & full) << 1 & full | 1
+        mh = (pv & xh) << 1 & full
+        pv = mh | ~(xv | ph) & full
+        mv = ph & xv & full
+        ups.append(pv.to_bytes(size, "little"))
+        downs.append(mv.to_bytes(size, "little"))
+    bits = lambda rows: np.unpackbits(np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), size), axis=1, count=m, bitorder="little").astype(np.int16)
+    least = ((bits(ups) - bits(downs)).cumsum(axis=1) + np.arange(len(ups))[:, None]).min(axis=0)
+    return np.append(0, least)
+
+
 def reach(a: list[int], b: list[int], edits: int) -> list[int]:
     """For 0, 1 ... ``edits``: the most leading words of a that so many edits turn into leading words of b."""
-    na, nb = len(a), len(b)
-    front: dict[int, int] = {}
-    out: list[int] = []
-    for e in range(edits + 1):
-        new = {}
-        for d in range(-e, e + 1):  # place in b less place in a
-            i = min(max(front.get(d, -2) + 1, front.get(d + 1, -2) + 1, front.get(d - 1, -1)) if e else 0, na, nb - d)
-            if i < 0 or i + d < 0:
-                continue
-            while i < na and i + d < nb and a[i] == b[i + d]:
-                i += 1
-            new[d] = i
-        front = new
-        out.append(max(new.values()))
-        if out[-1] == na:
-            break
-    return out + [out[-1]] * (edits + 1 - len(out))
+    return (np.searchsorted(distances(a, b), np.arange(edits + 1), "right") - 1).tolist()
 
 
 def runs(doc: list[int], item: list[int], hits: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -242,17 +285,18 @@ def verify(doc: list[int], item: list[int], hits: list[tuple[int, int, int]]) ->
 
 def find(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id and the evidence of every document that repeats an item."""
-    listed = items.select("item_id", normalised(F.col("item_text")).alias("t")).where("t IS NOT NULL")
+    listed = items.select("item_id", F.col("item_text").alias("t")).where("t IS NOT NULL")
     blocks: list[list[tuple[int, list[str]]]] = [[]]
     size = 0
     for r in listed.toLocalIterator():
-        if words := r.t.split():
+        if words := words_of(r.t):
             if size > BLOCK_WORDS:
                 blocks.append([])
                 size = 0
             blocks[-1].append((r.item_id, words))
             size += len(words)
-    texts = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), normalised(F.col("text")).alias("t"))
+    text, clean = F.col("text"), plain(F.col("text"))
+    texts = docs.where(text.isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), clean.alias("clean"), F.when(clean, normalised(text)).otherwise(text).alias("t"))
     return reduce(DataFrame.unionByName, [_find_block(texts, b) for b in blocks])
 
 
@@ -285,9 +329,9 @@ def _chunks(seeds: Seeds, batch: pd.DataFrame) -> Iterator[tuple[list[int], np.n
     docs: list[int] = []
     parts: list[np.ndarray] = []
     starts = [0]
-    for doc_id, t in zip(batch["doc_id"], batch["t"], strict=True):
+    for doc_id, clean, t in zip(batch["doc_id"], batch["clean"], batch["t"], strict=True):
         docs.append(doc_id)
-        parts.append(seeds.ids([*t.split(), ""]))
+        parts.append(seeds.ids([*(t.split() if clean else words_of(t)), ""]))
         starts.append(starts[-1] + len(parts[-1]))
         if starts[-1] > CHUNK_WORDS:
             yield docs, np.concatenate(parts), np.array(starts)

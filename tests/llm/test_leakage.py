@@ -1,6 +1,7 @@
 """Pigeonhole edit matching: Myers against dynamic programming, planted passages, edge cases."""
 
 import random
+import unicodedata
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -138,3 +139,52 @@ def test_every_window_tried():
             assert case[1] >= min(L.STRETCH, n) and case[2] <= case[1] // L.PIECE
         seen.add((n < L.STRETCH, case is not None))
     assert len(seen) == 4
+
+
+@given(st.lists(st.integers(0, 3), max_size=30), st.lists(st.integers(0, 3), max_size=30), st.integers(0, 9))
+@settings(max_examples=200, deadline=None)
+def test_reach(a, b, edits):
+    row = list(range(len(b) + 1))
+    least = [0]
+    for x in a:
+        new = [row[0] + 1]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+        least.append(min(row))
+    assert L.distances(a, b).tolist() == least
+    assert L.reach(a, b, edits) == [max(p for p, d in enumerate(least) if d <= e) for e in range(edits + 1)]
+
+
+def test_invisible_and_compatible_characters(spark):
+    item = "Der Streit über Milchertragsbücher endete erst 1891 und die Akten of the fishing office were left " + " ".join(words(40))
+    wide = "".join(chr(ord(c) + 0xFEE0) if "!" <= c <= "~" else "　" if c == " " else c for c in item)
+    copies = [
+        item.replace("e", "e​"),
+        "­".join(item),
+        wide,
+        "".join(c + ("̈" if False else "") for c in __import__("unicodedata").normalize("NFD", item)),
+        item.replace(" ", " "),
+        item.replace("ü", "&uuml;").replace("fi", "ﬁ").replace("ff", "&#xFB00;"),
+        "<b>" + item.replace(" ", "</b>&nbsp;<b>") + "</b>",
+        item.upper(),
+    ]
+    dd = spark.createDataFrame([*enumerate(copies), (90, "​"), (91, "&amp;")], "doc_id bigint, text string")
+    ii = spark.createDataFrame([(1, item), (2, "­ ​")], "item_id bigint, item_text string")
+    assert sorted((r.doc_id, r.item_id, r.distance) for r in L.find(dd, ii).collect()) == [(i, 1, 0) for i in range(len(copies))]
+
+
+def test_random_items_within_budget_are_found(spark):
+    draw = random.Random(8)
+    items, docs = [], []
+    for i in range(40):
+        n = draw.randint(45, 150)
+        item = words(n)
+        edits = draw.randint(0, n // L.PIECE)
+        copy = list(item)
+        for at in sorted(draw.sample(range(n), edits), reverse=True):
+            copy[at : at + 1] = draw.choice([[], ["other"], [copy[at], "more"]])
+        items.append((i, " ".join(item)))
+        docs.append((i, " ".join(words(30) + copy + words(30))))
+    dd, ii = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, item_text string")
+    assert {(r.doc_id, r.item_id) for r in L.find(dd, ii).collect()} == {(i, i) for i in range(40)}
