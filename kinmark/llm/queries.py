@@ -74,6 +74,11 @@ def p6_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.usage(p6_packs(spark, sf_dir), capacities)
 
 
+def p6_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and capacity, and whether the parts placed are its whole text."""
+    return packing.placed(p6_packs(spark, sf_dir))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with each of the subjects it is mainly about."""
     docs = table(spark, sf_dir, "documents")
@@ -114,7 +119,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.linked_pairs(forms, materialize(variants.entities(forms), "p4-entities"))
 
 
-QUERIES = {"p1_matches": p1_matches, "p1_found": p1_found, "p4_found": p4_found, "p3_found": p3_found, "p3_fused": p3_fused, "p5_canonical": p5_canonical, "p5_found": p5_found, "p6_packs": p6_packs, "p6_usage": p6_usage, "p7_evidence": p7_evidence, "p7_found": p7_found, "p8_found": p8_found, "p8_composition": p8_composition}
+QUERIES = {"p1_matches": p1_matches, "p1_found": p1_found, "p4_found": p4_found, "p3_found": p3_found, "p3_fused": p3_fused, "p5_canonical": p5_canonical, "p5_found": p5_found, "p6_packs": p6_packs, "p6_usage": p6_usage, "p6_placed": p6_placed, "p7_evidence": p7_evidence, "p7_found": p7_found, "p8_found": p8_found, "p8_composition": p8_composition}
 
 _P3 = """
 WITH src AS (
@@ -141,6 +146,7 @@ found AS (
   FROM e WHERE members >= 2 AND lang IS NOT NULL AND trim(lower(lang)) NOT IN ('', 'und'))
 """
 ORACLE = {
+    "p6_placed": "SELECT p.pack_name, d.doc_id, true AS whole FROM documents d CROSS JOIN pack_sizes p WHERE p.capacity_tokens > 0",
     "p3_found": _P3 + "SELECT record_group_id, field_name, entry_id FROM found WHERE r = 1",
     "p3_fused": _P3
     + """SELECT f.record_group_id, max(CASE WHEN field_name = 'name' THEN m.name END) AS name,

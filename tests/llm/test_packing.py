@@ -66,3 +66,26 @@ def test_pack(spark, monkeypatch):
     assert sum(r.loss for r in rows if r.doc_id == 150) == n[150][1]
     assert [(r.part_no, r.window) for r in rows if r.doc_id in (151, 152)] == [(0, None)] * 2
     assert P.pack(sizes.limit(0), "w", 64).count() == 0
+    packed = P.pack(sizes, "w64", 64)
+    assert {(r.doc_id, r.whole) for r in P.placed(packed).collect()} == {(i, True) for i in range(len(texts))}
+    assert {r.whole for r in P.placed(packed.where("NOT (doc_id = 150 AND part_no = 2)")).where("doc_id = 150").collect()} == {False}
+    assert {r.whole for r in P.placed(packed.unionByName(packed.where("doc_id = 3"))).where("doc_id = 3").collect()} == {False}
+
+
+def test_limits_bind_and_little_is_lost():
+    rng = np.random.default_rng(4)
+    tokens = np.clip(rng.lognormal(5, 0.8, 6000).astype(int), 20, 511)
+    loss = (tokens * np.clip(1 - rng.exponential(0.12, 6000), 0.3, 1)).astype(int)
+    limit, segments = int(P.LOSS_SHARE * 512), 512 // P.TOKENS_A_SEGMENT
+    w = P.fill(tokens, loss, 512, segments, limit)
+    room = np.bincount(w, loss, minlength=w.max() + 1)
+    alone = np.bincount(w) == 1
+    assert (room[~alone] <= limit).all() and (np.bincount(w) == segments).any() and (room >= limit - 1).any()
+    assert 1 - tokens.sum() / (512 * (w.max() + 1)) < 0.03
+    # the dot product decides: without the loss limit the windows come out differently
+    assert (P.fill(tokens, loss, 512, segments, 512) != w).any()
+
+
+@pytest.mark.parametrize(("text", "want"), [("Heading\nBody text.", "Heading\n"), ("One two three. Four five.", "One two three."), ("A. Bee went home. Then.", "A. Bee went home."), ("One sentence only.", ""), ("", ""), ("x" * 5000, "")])
+def test_prompt(text, want):
+    assert P.prompt(text) == want
