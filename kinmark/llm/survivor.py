@@ -12,9 +12,9 @@ next layers.
 Scale: before anything is gathered, a group's entries are reduced, map-side
 first, to one representative for each cell (criteria values and mask of stated
 fields): the latest.  Any other entry of the cell is dominated by it and no
-field would take it.  The number of cells is bounded by the criteria's value
-ranges, not by the group's size, so a group holding a third of all rows still
-gathers a few hundred cells at most.
+field would take it.  The number of cells is bounded by the criteria's distinct
+values, not by the group's rows, so a group holding a third of all rows still
+gathers a few hundred cells where entries state up to a hundred years.
 
 Edge cases: NULL name, sources, dates or language count as not stated; groups
 with a NULL id are left out; repeated rows are one cell; equal recency is
@@ -27,33 +27,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Years counted in use_dates; more than this many in one entry count as this many.
-MAX_YEARS = 99
+from kinmark.operators.fusion import array_score
+
 #: Language values that state nothing (fixed values).
 NO_LANGUAGE = ["", "und"]
 
 
-def preference_score(sources: Column) -> Column:
-    """99, 98 or 97 for an authorised form of LC, LAC or NLA, else the number of codes with an authorised form.
-
-    A code in upper case is looked up first and hides its lower-case form.
-    """
-    src = F.coalesce(sources, F.array().cast("array<struct<source:string,n_type:string,name_origin:string>>"))
-    authorised = F.filter(src, lambda s: s["n_type"] == "authorized_form")
-
-    def present(code: str) -> Column:
-        has = lambda c: F.exists(src, lambda s: s["source"] == c)
-        ok = lambda c: F.exists(authorised, lambda s: s["source"] == c)
-        return F.coalesce(F.when(has(code), ok(code)).otherwise(ok(code.lower())), F.lit(False))
-
-    count = F.size(F.array_distinct(F.transform(authorised, lambda s: s["source"])))
-    return F.when(present("LC"), 99).when(present("LAC"), 98).when(present("NLA"), 97).otherwise(count)
-
-
 def years_stated(text: Column) -> Column:
     """Number of four-digit years in a text (not part of longer digit runs)."""
-    n = F.size(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"(?<!\d)\d{4}(?!\d)"), F.lit(0)))
-    return F.least(n, F.lit(MAX_YEARS))
+    return F.size(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"(?<!\d)\d{4}(?!\d)"), F.lit(0)))
 
 
 def cells(entries: DataFrame) -> DataFrame:
@@ -64,7 +46,7 @@ def cells(entries: DataFrame) -> DataFrame:
         F.col("updated_at").alias("at"),
         years_stated(F.col("use_dates")).alias("years"),
         F.when(F.coalesce(F.trim(F.lower("lang")), F.lit("")).isin(NO_LANGUAGE), 0).otherwise(1).alias("has_lang"),
-        preference_score(F.col("sources")).alias("score"),
+        array_score(F.col("sources")).alias("score"),
         F.col("name").isNotNull().cast("int").alias("has_name"),
     )
     keys = ["record_group_id", "years", "has_lang", "score", "has_name"]
