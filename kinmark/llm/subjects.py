@@ -8,7 +8,7 @@
    rarely (``STRAY``) to another.
 2. Features of a document: for each subject the expected number of its
    sentences, their share, and whether there is one or at least two of them;
-   the source and the language; structure (number of sentences, paragraphs, a
+   the sources and languages that the labelled documents have; structure (number of sentences, paragraphs, a
    heading, markup).
 3. Chain.  Subject after subject, most frequent first, a logistic regression
    decides from the features and from the subjects decided before, so that
@@ -30,6 +30,7 @@ codes are left out; labels disagreeing between readers are all kept.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -49,8 +50,8 @@ _SENTENCE = re.compile(r"(?<=[^\W\d_A-Z][^\w\s])\s+|(?<=[\d)])[.!?]\s+|(?<=[a-z
 _WORD = re.compile(r"[^\W\d_]{2,}")
 _TAG = re.compile(r"<[^<>]{0,200}>")
 _HEADING = re.compile(r"^\s*(?:=+ .* =+|[^.\n]{3,60})\n")
-SOURCES = ["scope_note", "finding_aid", "accession_file", "admin_history", "eac_bioghist", "authority_note"]
-LANGUAGES = ["en", "de", "ge", "fr", "es", "sp"]
+#: A source or language is a feature of its own if at least so many labelled documents have it.
+LEAST_BEARERS = 5
 
 
 #: Function words by which the language of a document is told.
@@ -78,13 +79,23 @@ def sentences(text: str) -> list[list[str]]:
     return [w for w in out if w]
 
 
-def structure(text: str, source: str | None, lang: str | None, n_sentences: int) -> list[float]:
-    """Structure, source and language of a document."""
+def code(lang: str | None) -> str:
+    """The first two letters of a language's code or name."""
+    return (lang or "")[:2].lower()
+
+
+def structure(text: str, source: str | None, lang: str | None, n_sentences: int, kinds: tuple[list[str], list[str]]) -> list[float]:
+    """Structure, source and language of a document; ``kinds`` are the sources and languages that have a feature."""
     paragraphs = text.count("\n") + 1
     out = [np.log1p(n_sentences), np.log1p(len(text)) / 5, np.log1p(paragraphs), float(bool(_HEADING.match(text))), float("<" in text)]
-    out += [float(source == s) for s in SOURCES]
-    code = (lang or "")[:2].lower()
-    return out + [float(code == x) for x in LANGUAGES]
+    out += [float(source == s) for s in kinds[0]]
+    return out + [float(code(lang) == x) for x in kinds[1]]
+
+
+def kinds_of(rows: list[tuple[str, str | None, str | None, list[str]]]) -> tuple[list[str], list[str]]:
+    """Sources and languages that enough of the labelled documents have."""
+    often = lambda values: sorted(v for v, n in Counter(values).items() if v and n >= LEAST_BEARERS)
+    return often(r[1] for r in rows), often(code(r[2]) for r in rows)
 
 
 @dataclass
@@ -284,11 +295,12 @@ class SubjectModel:
     codes: list[str]
     terms: TermModel
     chain: Chain | None
+    kinds: tuple[list[str], list[str]] = ([], [])
 
     def predict(self, texts: list[str], sources: list[str | None], langs: list[str | None]) -> np.ndarray:
         """Documents x subjects, 1 where a document is mainly about it."""
         docs = [sentences(t) for t in texts]
-        other = np.array([structure(t, s, g, len(d)) for t, s, g, d in zip(texts, sources, langs, docs, strict=True)])
+        other = np.array([structure(t, s, g, len(d), self.kinds) for t, s, g, d in zip(texts, sources, langs, docs, strict=True)])
         n = evidence(self.terms, docs)
         own, shared = features(n, other)
         out = self.chain.decode(own, shared)
@@ -306,7 +318,8 @@ def fit(rows: list[tuple[str, str | None, str | None, list[str]]], codes: list[s
             labels[i, at[c]] = 1
     if not rows or not codes:
         return SubjectModel(codes, TermModel([], [], []), None)
-    other = np.array([structure(r[0], r[1], r[2], len(d)) for r, d in zip(rows, docs, strict=True)])
+    kinds = kinds_of(rows)
+    other = np.array([structure(r[0], r[1], r[2], len(d), kinds) for r, d in zip(rows, docs, strict=True)])
     # evidence of labelled documents comes from folds, else it would look better than that of new documents
     n = np.zeros((len(rows), len(codes)))
     fold = np.arange(len(rows)) % FOLDS
@@ -315,7 +328,7 @@ def fit(rows: list[tuple[str, str | None, str | None, list[str]]], codes: list[s
         rest = np.flatnonzero(fold != f)
         if len(held) and len(rest):
             n[held] = evidence(fit_terms([docs[i] for i in rest], labels[rest]), [docs[i] for i in held])
-    return SubjectModel(codes, fit_terms(docs, labels), fit_chain(n, other, labels))
+    return SubjectModel(codes, fit_terms(docs, labels), fit_chain(n, other, labels), kinds)
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> list[tuple[str, str | None, str | None, list[str]]]:
