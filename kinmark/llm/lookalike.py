@@ -31,35 +31,40 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Letters of the Cyrillic and Greek scripts that look like a Latin letter.
-CYRILLIC = "аеорсухіѕјһԁԛԝАВЕКМНОРСТУХІЅЈ"
-CYRILLIC_AS_LATIN = "aeopcyxisjhdqwABEKMHOPCTYXISJ"
-GREEK = "ονΑΒΕΖΗΙΚΜΝΟΡΤΥΧ"
-GREEK_AS_LATIN = "ovABEZHIKMNOPTYX"
+# Letters of other scripts that look like a Latin letter, and that letter.
+CYRILLIC = "аеорсухіѕјһԁԛԝӏүѵАВЕКМНОРСТУХІЅЈӀҮѴԌԚԜ"
+CYRILLIC_AS_LATIN = "aeopcyxisjhdqwlyvABEKMHOPCTYXISJIYVGQW"
+GREEK = "ονρυικγαΑΒΕΖΗΙΚΜΝΟΡΤΥΧϲϹϳͿ"
+GREEK_AS_LATIN = "ovpuikyaABEZHIKMNOPTYXcCjJ"
+ARMENIAN = "օոսհցզյՕՍՏ"
+ARMENIAN_AS_LATIN = "onuhgqjOUS"
 # Characters that look like a hyphen or an apostrophe.
 HYPHENS = "‐‑‒–−­"
 APOSTROPHES = "‘’ʼ′"
 
-SCRIPTS = "LCG"
+SCRIPTS = "LCGA"
 SWITCH_IN_WORD, SWITCH_BETWEEN_WORDS, FOREIGN = 14.0, 2.0, 40.0
 
 _ALIKE: dict[str, dict[str, str]] = {}
-for _own, _latin, _script in ((CYRILLIC, CYRILLIC_AS_LATIN, "C"), (GREEK, GREEK_AS_LATIN, "G")):
+for _own, _latin, _script in ((CYRILLIC, CYRILLIC_AS_LATIN, "C"), (GREEK, GREEK_AS_LATIN, "G"), (ARMENIAN, ARMENIAN_AS_LATIN, "A")):
     for _c, _l in zip(_own, _latin, strict=True):
-        _ALIKE.setdefault(_l, {"L": _l})[_script] = _c
-for _group in list(_ALIKE.values()):
-    for _c in list(_group.values()):
-        _ALIKE[_c] = _group
+        _ALIKE.setdefault(_l, {"L": _l}).setdefault(_script, _c)
+# a letter that is not its script's first look-alike of a Latin one stays itself in its own script
+for _own, _latin, _script in ((CYRILLIC, CYRILLIC_AS_LATIN, "C"), (GREEK, GREEK_AS_LATIN, "G"), (ARMENIAN, ARMENIAN_AS_LATIN, "A")):
+    for _c, _l in zip(_own, _latin, strict=True):
+        _ALIKE[_c] = {**_ALIKE[_l], _script: _c}
 _FOLD = {ord(c): "-" for c in HYPHENS if c != "­"} | {ord(c): "'" for c in APOSTROPHES}
 
 
 def script_of(c: str) -> str:
-    """L, C or G for letters of these scripts, else empty."""
+    """L, C, G or A for letters of these scripts, else empty."""
     o = ord(c)
     if o < 0x250 or 0x1E00 <= o < 0x1F00:
         return "L" if c.isalpha() else ""
     if 0x400 <= o < 0x530:
         return "C"
+    if 0x530 <= o < 0x590:
+        return "A" if c.isalpha() else ""
     return "G" if 0x370 <= o < 0x400 and c.isalpha() else ""
 
 
@@ -94,7 +99,7 @@ class LetterModel:
         if s.isascii():
             return s
         scripts = {script_of(c) for c in s} - {""}
-        if not scripts & {"C", "G"}:
+        if not scripts - {"L"}:
             return s
         return unicodedata.normalize("NFC", self._search(s))
 
@@ -149,6 +154,7 @@ def fit(names: DataFrame, *columns: str) -> LetterModel:
     """Letter statistics over all texts of the columns of ``names``."""
     only_cyrillic = f"[\\p{{IsCyrillic}}&&[^{CYRILLIC}]]"
     only_greek = f"[\\p{{IsGreek}}&&[^{GREEK}]]"
+    only_armenian = f"[\\p{{IsArmenian}}&&[^{ARMENIAN}]]"
     texts = reduce(DataFrame.unionByName, [names.select(F.col(c).alias("t")) for c in columns]).where("t IS NOT NULL")
     bare = F.regexp_replace("t", r"\p{Cf}", "")
     words = texts.select(F.explode(F.regexp_extract_all(bare, F.lit(r"(?U)\p{L}+"), F.lit(0))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
@@ -156,6 +162,7 @@ def fit(names: DataFrame, *columns: str) -> LetterModel:
         F.when(F.col("w").rlike(r"^\p{IsLatin}+$"), "L")
         .when(F.col("w").rlike(rf"^\p{{IsCyrillic}}+$") & F.col("w").rlike(only_cyrillic), "C")
         .when(F.col("w").rlike(rf"^\p{{IsGreek}}+$") & F.col("w").rlike(only_greek), "G")
+        .when(F.col("w").rlike(rf"^\p{{IsArmenian}}+$") & F.col("w").rlike(only_armenian), "A")
     )
     padded = F.concat(F.lit("^"), F.lower("w"))
     pairs = F.transform(F.sequence(F.lit(1), F.length("w")), lambda i: F.substring(padded, i, F.lit(2)))

@@ -82,3 +82,13 @@ def test_column_and_pairs(spark, model):
     want = {(a, b) for a, b in itertools.combinations(sorted(forms), 2) if forms[a][0] is not None and forms[b][0] is not None and forms[a][1] == forms[b][1] and forms[a][0] != forms[b][0]}
     assert got == want
     assert L.alike_pairs(df.limit(0), "id", "canon", "name").count() == 0
+
+
+def test_wider_alphabets(model):
+    assert model.canonical("Dοe, Jαnε") != "Doe, Jane"  # epsilon looks like no Latin letter
+    assert model.canonical("Dοe, Jαne ρeterυs") == "Doe, Jane peterus"
+    assert model.canonical("Jοhոsօn, Mӏlsοn") == "Johnson, Mllson"
+    assert model.canonical("Саймон, Отто") == "Саймон, Отто" and model.canonical("Παπας, Νίκος") == "Παπας, Νίκος"
+    assert model.canonical("Պետրոսյան, Օսկան") == "Պետրոսյան, Օսկան"
+    for own, latin in ((L.CYRILLIC, L.CYRILLIC_AS_LATIN), (L.GREEK, L.GREEK_AS_LATIN), (L.ARMENIAN, L.ARMENIAN_AS_LATIN)):
+        assert len(own) == len(latin) == len(set(own)) and latin.isascii()
