@@ -119,7 +119,13 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.linked_pairs(forms, materialize(variants.entities(forms), "p4-entities"))
 
 
-QUERIES = {"p1_matches": p1_matches, "p1_found": p1_found, "p4_found": p4_found, "p3_found": p3_found, "p3_fused": p3_fused, "p5_canonical": p5_canonical, "p5_found": p5_found, "p6_packs": p6_packs, "p6_usage": p6_usage, "p6_placed": p6_placed, "p7_evidence": p7_evidence, "p7_found": p7_found, "p8_found": p8_found, "p8_composition": p8_composition}
+def p4_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pending records with the entity they belong to: the links without all their pairs."""
+    forms = _forms(spark, sf_dir, "p4")
+    return variants.members(forms, materialize(variants.entities(forms), "p4-entities"))
+
+
+QUERIES = {"p1_matches": p1_matches, "p1_found": p1_found, "p4_found": p4_found, "p4_members": p4_members, "p3_found": p3_found, "p3_fused": p3_fused, "p5_canonical": p5_canonical, "p5_found": p5_found, "p6_packs": p6_packs, "p6_usage": p6_usage, "p6_placed": p6_placed, "p7_evidence": p7_evidence, "p7_found": p7_found, "p8_found": p8_found, "p8_composition": p8_composition}
 
 _P3 = """
 WITH src AS (

@@ -2,28 +2,33 @@
 
 1. Every name (of a record, of its name entries, of an authority cluster) is
    taken apart into a core, given names or the kind of body, and years.
-2. Cores (not records) are blocked by their token suffixes: all suffixes above
-   ``LEAST`` letters are counted, and each core goes into the block of its
-   shortest suffix that at most ``COMMON`` cores share; longer ones would give
-   parts of that block.  Common suffixes decide nothing: every core is blocked
-   by what is left of it without any one letter as well, so that no pair one
-   error apart is missed, wherever the error lies and however large the input.
-   Pairs with two errors meet by the given name's suffix, the year of birth and
-   the core's beginning.  Pairs inside a block are compared by their
-   longest-common-subsequence ratio; one typing error apart is one spelling,
-   and every spelling follows its most frequent neighbour.
-3. Persons with one family name are told apart by given names (nicknames,
-   initials and typing errors allowed) and years; a name that fits several
-   persons with different years is linked to none of them.  Bodies must agree
-   in kind and unit; a family is its name.
-4. Links are closed transitively over records and clusters.
-
-Scale: the pairs of step 2 are pairs of distinct spellings in bounded blocks;
-those of step 3 are pairs of distinct (given names, years) of one family name
+2. Cores (not records) are blocked by their token suffixes.  All suffixes of
+   ``LEAST`` letters and more are counted; a core's block is its shortest suffix
+   that at most ``COMMON`` cores share (longer ones would give parts of that
+   block).  A suffix that is more common, or shorter, makes no block by itself:
+   it is refined with the rest of the core less one letter, so that two cores
+   one error apart meet however common their ending is and wherever the error
+   lies, whatever the size of the input.  Common suffixes are refined with
+   other fields as well, the given name's suffix and the year of birth; there
+   two errors may lie between the cores.
+3. Pairs inside a block are compared by their longest-common-subsequence ratio.
+   It has to leave at most one letter of the longer core unmatched, and that in
+   its place or changed for its neighbour; within a block refined with given
+   name and year it has to reach ``DATED_RATIO``.  Every spelling follows its
+   most frequent neighbour, to the end of the chain.
+4. Persons with one family name are told apart by given names (nicknames and
+   initials allowed, typing errors by the same ratio) and years; a name that
+   fits several persons with different years is linked to none of them.  Bodies
+   must agree in kind and unit; a family is its name.
+5. Links are closed transitively over records and clusters.
+
+Scale: the pairs of step 3 are pairs of distinct spellings in bounded blocks;
+those of step 4 are pairs of distinct (given names, years) of one family name
 and initial that share a year, or lack one.  The work is aggregated to distinct
 spellings and profiles before anything meets, so repeated rows cost nothing
-there.  Components are labelled by rounds of joins, written to the shared
-folder; nothing is gathered in the driver.
+there; the result's pairs are found between distinct names of an entity, and
+rows come back only for these.  Components are labelled by rounds of joins,
+written to the shared folder; nothing is gathered in the driver.
 
 Edge cases: NULL, empty and nobody's names ("Anonymous") are never linked;
 NULL dates are unknown; repeated records are linked when their names differ
@@ -37,11 +42,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinmark.llm.lookalike import LetterModel
-from kinmark.llm.names import agree, error_keys, lcs_ratio, near, parts_column
+from kinmark.llm.names import agree, lcs_ratio, parts_column
+from kinmark.operators.grouping import connected_components as components
 from kinmark.session import materialize
 
 LEAST = 4
-LONGEST = 10
+#: Suffixes of longer cores, which would make many keys, are taken up to this length.
+LONG = 26
 COMMON = 40
 RATIO = 0.8
 #: For spellings whose bearers share given name and year of birth, two errors may lie between them.
@@ -84,39 +91,78 @@ def parts(names: DataFrame, model: LetterModel) -> DataFrame:
     )
 
 
-def spelling_classes(forms: DataFrame) -> DataFrame:
-    """core, cls: each spelling of a core and the spelling it follows."""
-    cores = forms.where("core IS NOT NULL").groupBy("core").agg(F.countDistinct("node").alias("n"))
-    cores = materialize(cores, "p4-cores")
-    long_enough = cores.where(F.length("core") > LEAST)
-    suffixes = long_enough.select("core", "n", F.explode(F.transform(F.sequence(F.lit(LEAST), F.least(F.length("core"), F.lit(LONGEST))), lambda k: F.right("core", k))).alias("suffix"))
-    shared = suffixes.groupBy("suffix").agg(F.count("*").alias("df")).where(F.col("df").between(2, COMMON))
-    rare = suffixes.join(shared, "suffix").groupBy("core").agg(F.min_by("suffix", F.length("suffix")).alias("suffix")).select("core", F.concat(F.lit("s|"), "suffix").alias("key"))
-    begins = lambda k: F.substring("core", 1, k)
-    spelled = long_enough.select("core", F.explode(error_keys(F.col("core"))).alias("key")).select("core", F.concat(F.lit("n|"), "key").alias("key"))
-    with_given = forms.where(F.length("core") > LEAST)
+def suffix_blocks(cores: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(core, key) of the blocks of rare suffixes, and of common or short suffixes refined with the rest of the core."""
+    n = F.length("core")
+    # a core that is itself a common ending has no rare suffix: its length stands one beyond
+    suffixes = cores.select("core", F.explode(F.transform(F.sequence(F.lit(LEAST), F.least(n, F.lit(LONG))), lambda k: F.right("core", k))).alias("suffix"))
+    shared = suffixes.groupBy("suffix").agg(F.count("*").alias("df")).where(F.col("df") <= COMMON)
+    shortest = suffixes.join(shared, "suffix").groupBy("core").agg(F.min(F.struct(F.length("suffix").alias("r"), "df")).alias("s"))
+    found = materialize(cores.select("core").join(shortest, "core", "left").select("core", F.coalesce("s.r", n + 1).alias("r"), F.coalesce("s.df", F.lit(0)).alias("df")), "p4-suffixes")
+    rare = found.where("df > 1").select("core", F.concat(F.lit("s|"), F.expr("right(core, r)")).alias("key"))
+    # what precedes a suffix shorter than the rare one, less one letter, and that suffix: the core less a letter near its end
+    less = F.transform(F.sequence(F.greatest(F.lit(1), n - F.col("r")), n), lambda i: F.concat(F.substring("core", F.lit(1), i - 1), F.substring("core", i + 1, n)))
+    ends = F.array(F.concat(F.lit("<"), F.left("core", F.lit(LONG // 2 - 1))), F.concat(F.lit(">"), F.right("core", F.lit(LONG // 2 - 1))))
+    none = F.array().cast("array<string>")
+    keys = F.concat(F.when(n <= LONG, F.concat(F.array("core"), less)).otherwise(none), F.when(n >= LONG - 2, ends).otherwise(none))
+    refined = found.select("core", F.explode(F.array_distinct(keys)).alias("key")).select("core", F.concat(F.lit("r|"), "key").alias("key"))
+    return rare, refined
+
+
+def one_spelling(x: str, y: str, dated: bool) -> bool:
+    """Whether two cores are spellings of one, by their longest common subsequence."""
+    ratio = lcs_ratio(x, y)
+    if dated and ratio >= DATED_RATIO and min(len(x), len(y)) >= 7:
+        return True
+    if ratio < max(RATIO, 1 - 1 / max(len(x), len(y)) - 1e-9):
+        return False
+    i = 0
+    while i < min(len(x), len(y)) and x[i] == y[i]:
+        i += 1
+    j = 0
+    while j < min(len(x), len(y)) - i and x[-1 - j] == y[-1 - j]:
+        j += 1
+    p, q = x[i : len(x) - j], y[i : len(y) - j]
+    return max(len(p), len(q)) < 2 or p == q[::-1] or len(p) != len(q) and len(p) + len(q) < 4
+
+
+def spelling_pairs(forms: DataFrame, cores: DataFrame) -> DataFrame:
+    """x, y: pairs of cores that are spellings of one."""
+    rare, refined = suffix_blocks(cores.where(F.length("core") > LEAST))
     given = F.when(F.length("first") >= LEAST, F.right("first", F.lit(LEAST)))
-    dated = with_given.where("kind = 'person' AND b IS NOT NULL").select("core", F.concat_ws("|", F.lit("g"), given, "b", begins(3)).alias("key"))
-    keys = rare.unionByName(spelled).unionByName(dated).where("key IS NOT NULL").distinct()
+    person = forms.where((F.col("kind") == "person") & (F.length("core") > LEAST) & F.col("b").isNotNull() & given.isNotNull())
+    halves = F.explode(F.array(F.concat(F.lit("<"), F.substring("core", 1, 3)), F.concat(F.lit(">"), F.right("core", F.lit(LEAST)))))
+    dated = person.select("core", given.alias("g"), "b", halves.alias("half")).select("core", F.concat_ws("|", F.lit("g"), "g", "b", "half").alias("key"))
+    keys = rare.unionByName(refined).unionByName(dated).distinct()
     a, b = keys.alias("a"), keys.alias("b")
     pairs = a.join(b, "key").where(F.col("a.core") < F.col("b.core")).select(F.col("a.core").alias("x"), F.col("b.core").alias("y"), F.col("key").startswith("g|").alias("dated"))
-    pairs = pairs.where(F.levenshtein("x", "y", 2) >= 0).groupBy("x", "y").agg(F.max("dated").alias("dated"))
+    pairs = pairs.groupBy("x", "y").agg(F.max("dated").alias("dated"))
 
     @F.pandas_udf("boolean")
-    def one_spelling(x: pd.Series, y: pd.Series, dated: pd.Series) -> pd.Series:
-        return pd.Series([(r := lcs_ratio(p, q)) >= RATIO and near(p, q) or bool(t) and r >= DATED_RATIO and min(len(p), len(q)) >= 7 for p, q, t in zip(x, y, dated, strict=True)])
+    def same(x: pd.Series, y: pd.Series, dated: pd.Series) -> pd.Series:
+        return pd.Series([one_spelling(p, q, bool(t)) for p, q, t in zip(x, y, dated, strict=True)], dtype=bool)
 
-    alike = pairs.where(one_spelling("x", "y", "dated"))
-    alike = alike.select("x", "y")
+    return pairs.where(same("x", "y", "dated")).select("x", "y")
+
+
+def spelling_classes(forms: DataFrame) -> DataFrame:
+    """core, cls: each spelling of a core and the spelling it follows, to the end of the chain."""
+    cores = forms.where("core IS NOT NULL").groupBy("core").agg(F.countDistinct("node").alias("n"))
+    cores = materialize(cores, "p4-cores")
+    alike = spelling_pairs(forms, cores)
     both = alike.unionByName(alike.select(F.col("y").alias("x"), F.col("x").alias("y")))
     sizes = cores.select(F.col("core").alias("y"), F.col("n").alias("ny"))
     best = both.join(sizes, "y").groupBy("x").agg(F.max(F.struct("ny", "y")).alias("up"))
-    parent = cores.join(best, cores["core"] == best["x"], "left").select(
+    at = cores.join(best, cores["core"] == best["x"], "left").select(
         "core", F.when(F.struct(F.col("up.ny"), F.col("up.y")) > F.struct("n", "core"), F.col("up.y")).otherwise(F.col("core")).alias("cls")
     )
-    parent = materialize(parent, "p4-parents")
-    up = parent.select(F.col("core").alias("cls"), F.col("cls").alias("cls2"))
-    return parent.join(up, "cls", "left").select("core", F.coalesce("cls2", "cls").alias("cls"))
+    at = materialize(at, "p4-parents")
+    while True:  # every round halves the way to the end of a chain; a chain has an end, as it only leads to more frequent spellings
+        up = at.where("core <> cls").select(F.col("core").alias("cls"), F.col("cls").alias("further"))
+        new = materialize(at.join(up, "cls", "left").select("core", F.coalesce("further", "cls").alias("cls"), F.col("further").isNotNull().alias("moved")), "p4-parents")
+        at = new.select("core", "cls")
+        if not new.where("moved").limit(1).count():
+            return at
 
 
 def profiles(forms: DataFrame, classes: DataFrame) -> DataFrame:
@@ -184,29 +230,6 @@ def same_person(pairs: DataFrame) -> DataFrame:
     return kept.where(fits).select(F.col("vertex_v").alias("v"), F.col("vertex_w").alias("w"))
 
 
-def components(edges: DataFrame, label: str, rounds: int = 30) -> DataFrame:
-    """id, component of the graph of ``edges`` (a, b: bigint), by least labels with pointer jumping.
-
-    Each round is one join and one aggregation, written to the shared folder.
-    """
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
-    both = materialize(both, f"{label}-edges")
-    labels = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("c")), f"{label}-0")
-    for n in range(1, rounds):
-        of = labels.select(F.col("a").alias("b"), F.col("c").alias("cb"))
-        least = both.join(of, "b").groupBy("a").agg(F.min("cb").alias("m"))
-        hop = labels.select(F.col("a").alias("c"), F.col("c").alias("cc"))
-        new = labels.join(least, "a").join(hop, "c", "left").select("a", F.least("c", "m", F.coalesce("cc", "c")).alias("c"), F.col("c").alias("old"))
-        new = materialize(new, f"{label}-{n}")
-        done = new.where("c <> old").limit(1).count() == 0
-        labels = new.select("a", "c")
-        if done:
-            break
-    else:
-        raise RuntimeError(f"components have not settled after {rounds} rounds")
-    return labels.select(F.col("a").alias("id"), F.col("c").alias("component"))
-
-
 def entities(forms: DataFrame) -> DataFrame:
     """node, component of all records and clusters that have a name."""
     classes = materialize(spelling_classes(forms), "p4-classes")
@@ -227,13 +250,23 @@ def conflict(x: str, y: str) -> Column:
 
 
 def linked_pairs(forms: DataFrame, component: DataFrame) -> DataFrame:
-    """record_a, record_b: records of one entity whose names differ visibly."""
+    """record_a, record_b: records of one entity whose names differ visibly.
+
+    Distinct (name, years) of an entity meet, not its records: a name borne by a
+    million of them is one row until it is part of the result.
+    """
     mains = forms.where("main AND core IS NOT NULL").select("node", "kind", "form", "b", "d")
-    rows = mains.join(component, "node").withColumn("id", F.expr("cast(substring(node, 2) as bigint)"))
-    # a component with several spellings only; equal names meet no other row in vain
-    several = rows.groupBy("component").agg(F.count_distinct("form").alias("k")).where("k > 1").select("component")
-    live = rows.join(several, "component")
-    a = live.select("component", F.col("id").alias("record_a"), F.col("form").alias("fa"), F.col("kind").alias("ka"), F.col("b").alias("ba"), F.col("d").alias("da"))
-    b = live.select("component", F.col("id").alias("record_b"), F.col("form").alias("fb"), F.col("kind").alias("kb"), F.col("b").alias("bb"), F.col("d").alias("db"))
-    pairs = a.join(b, "component").where("record_a < record_b AND fa <> fb AND ka = kb")
-    return pairs.where(~conflict("ba", "bb") & ~conflict("da", "db")).select("record_a", "record_b")
+    rows = mains.join(component, "node").select("component", "kind", "form", "b", "d", F.expr("cast(substring(node, 2) as bigint)").alias("id"))
+    rows = materialize(rows.withColumn("variant", F.xxhash64("component", "kind", "form", F.coalesce("b", F.lit(0)), F.coalesce("d", F.lit(0)))), "p4-rows")
+    variant = rows.groupBy("variant").agg(*[F.first(c).alias(c) for c in ("component", "kind", "form", "b", "d")])
+    side = lambda p: variant.select("component", "kind", *[F.col(c).alias(f"{c}{p}") for c in ("variant", "form", "b", "d")])
+    pairs = side("a").join(side("b"), ["component", "kind"]).where("forma < formb").where(~conflict("ba", "bb") & ~conflict("da", "db")).select("varianta", "variantb")
+    x = rows.select(F.col("variant").alias("varianta"), F.col("id").alias("x"))
+    y = rows.select(F.col("variant").alias("variantb"), F.col("id").alias("y"))
+    return pairs.join(x, "varianta").join(y, "variantb").select(F.least("x", "y").alias("record_a"), F.greatest("x", "y").alias("record_b"))
+
+
+def members(forms: DataFrame, component: DataFrame) -> DataFrame:
+    """record_id, entity: the entity of each record that has a name; entities are told by number only."""
+    mains = forms.where("main AND core IS NOT NULL").select("node").distinct()
+    return mains.join(component, "node").select(F.expr("cast(substring(node, 2) as bigint)").alias("record_id"), F.col("component").alias("entity"))

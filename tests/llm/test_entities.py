@@ -217,3 +217,56 @@ def test_components_never_come_out_split(spark):
         assert {r.component for r in f(chain, "test-chain").collect()} == {0}
         with pytest.raises(RuntimeError):
             f(chain, "test-short", rounds=3)
+
+
+def _meet(keys):
+    a, b = keys.alias("a"), keys.alias("b")
+    return {(r.x, r.y) for r in a.join(b, "key").where("a.core < b.core").selectExpr("a.core AS x", "b.core AS y").distinct().collect()}
+
+
+@pytest.mark.parametrize("common", [2, 40])
+def test_blocks_miss_no_spelling(spark, monkeypatch, common):
+    """Whatever counts as common: every two cores of one spelling meet; without the blocks of rare suffixes many do not."""
+    monkeypatch.setattr(variants, "COMMON", common)
+    rng = random.Random(12)
+    cores = set()
+    for n in range(150):
+        c = surname(rng) if n % 3 else "".join(rng.choice("abcd") for _ in range(rng.choice([5, 6, 24, 25, 26, 27, 30])))
+        cores |= {c, typo(c, rng), typo(c, rng), c + "x", "x" + c, c[:-1]}
+    cores = sorted(c for c in cores if len(c) > variants.LEAST)
+    want = {(a, b) for a, b in itertools.combinations(cores, 2) if variants.one_spelling(a, b, False)}
+    rare, refined = variants.suffix_blocks(spark.createDataFrame([(c,) for c in cores], "core string"))
+    by_suffix, by_rest = _meet(rare), _meet(refined)
+    assert want <= by_suffix | by_rest and len(want) > 300
+    if common > 2:
+        assert len(want - by_rest) > 0.25 * len(want)  # the blocks of rare suffixes carry a large share
+        assert len((by_suffix | by_rest) - want) > 0.5 * len(want)  # and the common subsequence refuses many
+
+
+@given(st.text("abc", min_size=5, max_size=9), st.text("abc", min_size=5, max_size=9))
+@settings(max_examples=300, deadline=None)
+def test_one_spelling(a, b):
+    assert variants.one_spelling(a, b, False) == names.near(a, b)
+    assert variants.one_spelling(a + "stan", b + "stan", True) >= (2 * lcs(a, b) + 8 >= variants.DATED_RATIO * (len(a) + len(b) + 8))
+
+
+def test_chains_are_followed_to_the_end(spark):
+    chain = ["kalavorin", "kalavarin", "kalabarin", "kalabarim", "talabarim", "talabaram", "telabaram"]
+    rows = [(f"r{i}-{k}", "person", c, "iane", None) for i, c in enumerate(chain) for k in range(20 - i)]
+    forms = spark.createDataFrame(rows, "node string, kind string, core string, first string, b int")
+    assert {r.cls for r in variants.spelling_classes(forms).collect()} == {chain[0]}
+
+
+def test_two_errors_with_given_name_and_year(spark):
+    rows = [(f"r{i}", "person", c, "margaret", b) for i, (c, b) in enumerate([("kalavorinsk", 1850), ("kelavorinst", 1850), ("kalavarenst", 1850), ("kelavorinst", 1850), ("holumbetrak", 1851), ("halumbotrak", 1852)])]
+    forms = spark.createDataFrame(rows, "node string, kind string, core string, first string, b int")
+    cls = {r.core: r.cls for r in variants.spelling_classes(forms).collect()}
+    assert cls["kalavarenst"] == cls["kalavorinsk"] and cls["holumbetrak"] != cls["halumbotrak"]
+
+
+def test_pairs_of_a_hot_entity_meet_by_name(spark):
+    forms = spark.createDataFrame([(f"r{i}", "person", "doe", "Doe, J." if i else "Doe, Jane", None, None, True) for i in range(3000)], "node string, kind string, core string, form string, b int, d int, main boolean")
+    component = forms.selectExpr("node", "7 AS component")
+    got = variants.linked_pairs(forms, component)
+    assert {(r.record_a, r.record_b) for r in got.collect()} == {(0, i) for i in range(1, 3000)}
+    assert variants.members(forms, component).select("entity").distinct().count() == 1
