@@ -2,11 +2,12 @@
 
 1. Attributes.  Records and clusters get composite attributes from every name
    form, the years, the works and the kind (family name with initial and year,
-   beginning or end of the family name with given name, a work's title ...).
-   A cluster also gets the attributes of records whose core is one error away
-   from its own, wherever the error lies; only such as some record has.
-   Where a node has years they are part of its attributes, so that a family
-   name borne by a third of all rows makes no block of its own.
+   with formal given name or the given name less one letter, with the initials
+   of two given names, with initial and a work's title ...).  A cluster also
+   gets the attributes of records whose core is one error away from its own,
+   wherever the error lies; only such as some record has.  Every attribute says
+   more than a family name with an initial, which alone could never be accepted
+   and would make blocks of a hot family name's rows.
 2. Candidate graph.  An edge joins a record and a cluster that share an
    attribute, weighted by the sum of ln(N / df) of what they share: rare shared
    attributes count most.
@@ -14,18 +15,26 @@
    largest weight at one of its ends.
 4. Similarity.  Names (longest-common-subsequence ratio of the family names,
    given names with nicknames and initials), years and works give each edge a
-   score; different kinds or years are a contradiction.
-5. Propagation.  Records that share an identifying attribute (family name,
-   initial and year, or full given names) are neighbours: an edge gains from its
+   score, of which up to ``COMMON_COST`` goes where all that is shared is
+   common; different kinds or years are a contradiction.
+5. Propagation.  Records are neighbours if they share an identifying attribute
+   (family name, initial and year, or full given names), or family name and
+   initial together with a related record or a work: an edge gains from its
    neighbours' edges to the same cluster and loses from their stronger edges to
    others, round after round, until no score moves by more than ``STABLE``.
+   This decides where names and years leave several clusters, or none, open.
 6. A record takes its best clusters above ``ACCEPT``; if clusters with
    different years are equally good, it takes none.  The score is the
    confidence.
 
+Scale: the graph's edges are what propagation works on; neighbours meet at
+their shared attribute, where the best score of each cluster is one row, and
+never in pairs.
+
 Edge cases: NULL, empty or nobody's names have no candidates; NULL dates and
 works say nothing; repeated records are matched each; clusters without names or
-id take no part; an empty table gives no rows.
+id take no part; an empty table gives no rows; scores that have not settled
+after ``ROUNDS`` rounds raise an error.
 """
 
 from __future__ import annotations
@@ -34,18 +43,22 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinmark.llm.names import agree, error_keys, lcs_ratio, near
+from kinmark.llm.names import agree, error_keys, formal, lcs_ratio, near
 from kinmark.session import materialize
 
 KEEP = 0.5
-ACCEPT = 0.6
+ACCEPT = 0.55
+COMMON_COST = 0.15
 STABLE = 0.02
-ROUNDS = 20  # the scores settle after two or three
+ROUNDS = 50  # the scores settle after two or three
 SHARE = 0.25  # of a score that neighbours can give or take
 
 _RELATION = r"<(?:\w+:)?resourceRelation\b[^>]*>\s*<(?:\w+:)?relationEntry[^>]*>\s*(?:<!\[CDATA\[)?\s*([^<\]]*?)\s*(?:\]\]>)?\s*</"
 
 
+_TARGET = r"""<(?:\w+:)?cpfRelation\b[^>]*\shref\s*=\s*["']([^"']+)["']|<(?:\w+:)?cpfRelation\b[^>]*:href\s*=\s*["']([^"']+)["']"""
+
+
 def plain(text: Column) -> Column:
     """A title's words in lower case."""
     return F.trim(F.regexp_replace(F.lower(text), r"(?:&\w+;|[^\p{L}\p{N}])+", " "))
@@ -57,24 +70,39 @@ def record_works(records: DataFrame) -> DataFrame:
     return records.where("record_data IS NOT NULL").select(F.concat(F.lit("r"), "id").alias("node"), F.explode(F.array_distinct(F.transform(found, plain))).alias("work")).where("work <> ''")
 
 
+def record_relations(records: DataFrame) -> DataFrame:
+    """node, target: addresses of what a record is related to."""
+    found = F.regexp_extract_all("record_data", F.lit(_TARGET), F.lit(2))
+    return records.where("record_data IS NOT NULL").select(F.concat(F.lit("r"), "id").alias("node"), F.explode(F.array_distinct(found)).alias("target")).where("target <> ''")
+
+
 def cluster_works(clusters: DataFrame) -> DataFrame:
     """node, work: titles of a cluster."""
     rows = clusters.where("viaf_id IS NOT NULL").select(F.concat(F.lit("v"), "viaf_id").alias("node"), F.explode("titles").alias("t"))
     return rows.select("node", plain(F.col("t")).alias("work")).where("work <> ''").distinct()
 
 
-def attributes(forms: DataFrame) -> DataFrame:
+def letters_of(forms: DataFrame) -> DataFrame:
+    """Forms of persons, a row for each part of the family name and each letter the given name may begin with."""
+    person = forms.where("kind = 'person' AND core IS NOT NULL").withColumn("core", F.explode(F.array_compact(F.array("core", "core2"))))
+    return person.withColumn("i", F.explode(F.when(F.col("initials") == "", F.array(F.lit("?"))).otherwise(F.split("initials", "")))).where("i <> ''")
+
+
+def attributes(forms: DataFrame, works: DataFrame | None = None) -> DataFrame:
     """node, kind, attr (64 bits), firm: composite attributes of every form; firm ones identify."""
     years = forms.groupBy("node").agg(F.min("b").alias("b"), F.min("d").alias("d"))
     f = forms.where("core IS NOT NULL").drop("b", "d", "form", "main").distinct().join(years, "node")
     is_record = F.col("node").startswith("r")
     starts, ends = F.substring("core", 1, 5), F.right("core", F.lit(5))
 
-    person = f.where("kind = 'person'").withColumn("core", F.explode(F.array_compact(F.array("core", "core2")))).withColumn("i", F.explode(F.when(F.col("initials") == "", F.array(F.lit("?"))).otherwise(F.split("initials", ""))))
-    person = person.where("i <> ''")
-    undated = F.col("b").isNull() & F.col("d").isNull()
-    given = F.length("first") > 1
     none = F.lit(None).cast("int")
+    person = letters_of(f)
+    if works is None:
+        person = person.withColumn("works", F.lit(None).cast("array<string>"))
+    else:
+        person = person.join(works.groupBy("node").agg(F.collect_set("work").alias("works")), "node", "left")
+    person = person.withColumn("formals", formal_names(F.col("first")))
+    undated = F.col("b").isNull() & F.col("d").isNull()
 
     def key(tag: str, core: str | Column, rest: str | Column, year: str | Column = none) -> Column:
         """An attribute; ``whole`` are its parts if it has the whole core, else NULL."""
@@ -85,25 +113,36 @@ def attributes(forms: DataFrame) -> DataFrame:
         whole = F.lit(None).cast("struct<tag:string,core:string,rest:string,year:int>") if len(tag) > 1 else parts
         return F.struct(F.xxhash64(F.lit(tag), core, rest, year.cast("int")).alias("attr"), F.lit(tag[0].isupper()).alias("firm"), whole.alias("whole"))
 
-    when = lambda cond, k: F.when(cond, k)
+    when = lambda cond, k: F.when(cond, F.array(k))
     has_b, has_d = F.col("b").isNotNull(), F.col("d").isNotNull()
+    full, second = F.length("first") > 1, F.substring("second", 1, 1)
     # a record without years is compared with all, one with years with those of the same year and those without
-    open_side = ~is_record | undated
-    closed = undated | is_record
-    keys = F.array_compact(
-        F.array(
-            when(has_b, key("B", "core", "i", "b")),
-            when(has_d, key("D", "core", "i", "d")),
-            when(has_b, key("b1", starts, "i", "b")),
-            when(has_d, key("d1", starts, "i", "d")),
-            when(has_b, key("b2", ends, "i", "b")),
-            when(has_d, key("d2", ends, "i", "d")),
-            when(open_side & given, key("G", "core", "first")),
-            when(open_side & given, key("g1", starts, "first")),
-            when(open_side & given, key("g2", ends, "first")),
-            when(open_side, key("i", "core", "i")),
-            when(closed & given, key("u", "core", "first")),
-            when(closed, key("v", "core", "i")),
+    sides = [("Gehw12", ~is_record | undated), ("ufgx", undated | is_record)]
+    undated_keys = []
+    for tags, side in sides:
+        each = lambda tag, arr: F.transform(arr, lambda x: key(tag, "core", x))
+        undated_keys += [
+            F.when(side & full, each(tags[0], F.col("formals"))),
+            F.when(side & (F.length("first") > 3), each(tags[1], error_keys(F.col("first")))),
+            F.when(side & (second != ""), F.array(key(tags[2], "core", F.concat(F.col("i"), F.lit("."), second)))),
+            F.when(side & F.col("works").isNotNull(), F.transform("works", lambda w: key(tags[3], "core", F.concat(F.col("i"), F.lit(" "), w)))),
+        ]
+    open_side = sides[0][1]
+    keys = F.array_distinct(
+        F.flatten(
+            F.array_compact(
+                F.array(
+                    when(has_b, key("B", "core", "i", "b")),
+                    when(has_d, key("D", "core", "i", "d")),
+                    when(has_b, key("b1", starts, "i", "b")),
+                    when(has_d, key("d1", starts, "i", "d")),
+                    when(has_b, key("b2", ends, "i", "b")),
+                    when(has_d, key("d2", ends, "i", "d")),
+                    when(open_side & full, key("g1", starts, "first")),
+                    when(open_side & full, key("g2", ends, "first")),
+                    *undated_keys,
+                )
+            )
         )
     )
     people = person.select("node", "kind", F.explode(keys).alias("k"))
@@ -115,6 +154,25 @@ def attributes(forms: DataFrame) -> DataFrame:
     return exact.select("node", "attr", "firm").unionByName(one_error(exact)).distinct()
 
 
+def formal_names(first: Column) -> Column:
+    """Column of the formal given names a typed one may stand for."""
+
+    @F.pandas_udf("array<string>")
+    def names(first: pd.Series) -> pd.Series:
+        return pd.Series([sorted(formal(x)) if x else [] for x in first], dtype=object)
+
+    return names(first)
+
+
+def neighbour_keys(forms: DataFrame, works: DataFrame, relations: DataFrame | None) -> DataFrame:
+    """rec, attr: records of one family name and initial that share a work or what they are related to."""
+    told = works.where(F.col("node").startswith("r")).select("node", F.xxhash64(F.lit("w"), "work").alias("e"))
+    if relations is not None:
+        told = told.unionByName(relations.select("node", F.xxhash64(F.lit("t"), "target").alias("e")))
+    names = letters_of(forms.where(F.col("node").startswith("r"))).select("node", "core", "i").distinct()
+    return names.join(told, "node").select(F.col("node").alias("rec"), F.xxhash64(F.lit("n"), "core", "i", "e").alias("attr")).distinct()
+
+
 def one_error(exact: DataFrame) -> DataFrame:
     """node, attr, firm: attributes of records that clusters would have but for one error in the core.
 
@@ -137,7 +195,7 @@ def one_error(exact: DataFrame) -> DataFrame:
 
 
 def candidates(attrs: DataFrame, works: DataFrame, sizes: int) -> DataFrame:
-    """rec, clu, weight: edges of the candidate graph after meta-blocking."""
+    """rec, clu, weight, common, titles: edges of the candidate graph after meta-blocking; ``common`` is 0 for what only two share, 1 for what all do."""
     title = works.select("node", F.xxhash64(F.lit("w"), "work").alias("attr"))
     both = attrs.select("node", "attr").unionByName(title)
     df = both.groupBy("attr").agg(F.count("*").alias("df"), F.max(F.col("node").startswith("v")).alias("v"), F.max(F.col("node").startswith("r")).alias("r")).where("v AND r")
@@ -145,15 +203,15 @@ def candidates(attrs: DataFrame, works: DataFrame, sizes: int) -> DataFrame:
     worth = F.log(F.lit(float(max(sizes, 2))) / F.col("df"))
     named = attrs.select("node", "attr").join(df.select("attr", worth.alias("w")), "attr")
     rec, clu = named.where(F.col("node").startswith("r")), named.where(F.col("node").startswith("v"))
-    edges = rec.select("attr", F.col("node").alias("rec"), "w").join(clu.select("attr", F.col("node").alias("clu")), "attr").groupBy("rec", "clu").agg(F.sum("w").alias("weight"))
+    edges = rec.select("attr", F.col("node").alias("rec"), "w").join(clu.select("attr", F.col("node").alias("clu")), "attr").groupBy("rec", "clu").agg(F.sum("w").alias("weight"), F.max("w").alias("rarest"))
     titled = title.join(df.select("attr", worth.alias("w")), "attr")
     tr, tc = titled.where(F.col("node").startswith("r")), titled.where(F.col("node").startswith("v"))
     by_title = tr.select("attr", F.col("node").alias("rec"), "w").join(tc.select("attr", F.col("node").alias("clu")), "attr").join(edges.select("rec", "clu"), ["rec", "clu"], "left_semi").groupBy("rec", "clu").agg(F.sum("w").alias("tw"), F.count("*").alias("titles"))
-    edges = edges.join(by_title, ["rec", "clu"], "left").select("rec", "clu", (F.col("weight") + F.coalesce("tw", F.lit(0.0))).alias("weight"), F.coalesce("titles", F.lit(0)).cast("int").alias("titles"))
+    edges = edges.join(by_title, ["rec", "clu"], "left").select("rec", "clu", (F.col("weight") + F.coalesce("tw", F.lit(0.0))).alias("weight"), (1 - F.col("rarest") / F.log(F.lit(float(max(sizes, 2))))).alias("common"), F.coalesce("titles", F.lit(0)).cast("int").alias("titles"))
     edges = materialize(edges, "p1-graph")
     most_r = edges.groupBy("rec").agg(F.max("weight").alias("mr"))
     most_c = edges.groupBy("clu").agg(F.max("weight").alias("mc"))
-    return edges.join(most_r, "rec").join(most_c, "clu").where(f"weight >= {KEEP} * mr OR weight >= {KEEP} * mc").select("rec", "clu", "weight", "titles")
+    return edges.join(most_r, "rec").join(most_c, "clu").where(f"weight >= {KEEP} * mr OR weight >= {KEEP} * mc").select("rec", "clu", "weight", "common", "titles")
 
 
 def described(forms: DataFrame) -> DataFrame:
@@ -198,28 +256,31 @@ def scored(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     same = lambda x, y: F.coalesce((F.col(x) == F.col(y)).cast("double"), F.lit(0.0))
     extra = 0.2 * same("rb", "cb") + 0.15 * same("rd", "cd") + 0.2 * F.least("titles", F.lit(2))
     with_names = e.withColumn("n", names("rf", "cf", "rk")).where("n > 0")
-    return with_names.select("rec", "clu", "weight", F.least(F.lit(1.0), F.col("n") + extra).alias("s0"), F.col("cb").alias("b"), F.col("cd").alias("d"))
+    own = F.least(F.lit(1.0), F.col("n") + extra) - COMMON_COST * F.greatest(F.lit(0.0), F.col("common"))
+    return with_names.select("rec", "clu", "weight", own.alias("s0"), F.col("cb").alias("b"), F.col("cd").alias("d"))
 
 
-def propagated(edges: DataFrame, attrs: DataFrame) -> DataFrame:
+def propagated(edges: DataFrame, attrs: DataFrame, neighbours: DataFrame) -> DataFrame:
     """Scores after the neighbours' support has settled: rec, clu, s, b, d."""
-    firm = attrs.where("firm").select(F.col("node").alias("rec"), "attr").join(edges.select("rec").distinct(), "rec", "left_semi")
+    firm = attrs.where("firm").select(F.col("node").alias("rec"), "attr").unionByName(neighbours).join(edges.select("rec").distinct(), "rec", "left_semi")
     shared = firm.groupBy("attr").agg(F.count("*").alias("k")).where("k > 1").select("attr")
-    star = materialize(firm.join(shared, "attr"), "p1-neighbours")
+    star = firm.join(shared, "attr")
     now = materialize(edges.withColumn("s", F.col("s0")), "p1-score-0")
+    # each edge at each of its record's attributes
+    seats = materialize(star.join(now.select("rec", "clu"), "rec"), "p1-neighbours")
     for n in range(1, ROUNDS + 1):
         # at an attribute: the best score of each cluster and the best of all, over the records that have it
-        at = star.join(now.select("rec", "clu", "s"), "rec").groupBy("attr", "clu").agg(F.max("s").alias("m"))
+        at = seats.join(now.select("rec", "clu", "s"), ["rec", "clu"]).groupBy("attr", "clu").agg(F.max("s").alias("m"))
         top = at.groupBy("attr").agg(F.max("m").alias("t"))
-        support = star.join(at.join(top, "attr"), "attr").groupBy("rec", "clu").agg(F.max("m").alias("m"), F.max(F.col("t") - F.col("m")).alias("lost"))
+        support = seats.join(at.join(top, "attr"), ["attr", "clu"]).groupBy("rec", "clu").agg(F.max("m").alias("m"), F.max(F.col("t") - F.col("m")).alias("lost"))
         new = now.join(support, ["rec", "clu"], "left").withColumn(
             "new", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("s0") + SHARE * F.greatest(F.lit(0.0), F.coalesce("m", "s") - F.col("s0")) - SHARE * F.coalesce("lost", F.lit(0.0))))
         )
         new = materialize(new.select("rec", "clu", "s0", "b", "d", F.col("s").alias("old"), F.col("new").alias("s")), f"p1-score-{n}")
         now = new.drop("old")
         if new.where(F.abs(F.col("s") - F.col("old")) > STABLE).limit(1).count() == 0:
-            break
-    return now
+            return now
+    raise RuntimeError(f"scores have not settled after {ROUNDS} rounds")
 
 
 def accepted(scores: DataFrame) -> DataFrame:
@@ -230,10 +291,10 @@ def accepted(scores: DataFrame) -> DataFrame:
     return near_best.join(years.where("nb <= 1 AND nd <= 1"), "rec").select("rec", "clu", F.round("s", 4).alias("confidence"))
 
 
-def link(forms: DataFrame, works: DataFrame) -> DataFrame:
-    """record_id, viaf_id, confidence."""
-    attrs = materialize(attributes(forms), "p1-attributes")
+def link(forms: DataFrame, works: DataFrame, relations: DataFrame | None = None) -> DataFrame:
+    """record_id, viaf_id, confidence; ``works`` (node, work) and ``relations`` (node, target) are further evidence."""
+    attrs = materialize(attributes(forms, works), "p1-attributes")
     nodes = materialize(described(forms), "p1-nodes")
-    edges = candidates(attrs, works, nodes.count())
-    scores = propagated(scored(edges, nodes), attrs)
+    edges = materialize(scored(candidates(attrs, works, nodes.count()), nodes), "p1-scored")
+    scores = propagated(edges, attrs, neighbour_keys(forms, works, relations))
     return accepted(scores).select(F.expr("cast(substring(rec, 2) AS bigint)").alias("record_id"), F.expr("substring(clu, 2)").alias("viaf_id"), "confidence")

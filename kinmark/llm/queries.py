@@ -105,7 +105,7 @@ def p1_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pending records with their clusters and the confidence of each match."""
     pending = table(spark, sf_dir, "original_records").where("record_group_id IS NULL")
     works = linkage.record_works(pending).unionByName(linkage.cluster_works(table(spark, sf_dir, "viaf_clusters")))
-    return linkage.link(_forms(spark, sf_dir, "p1"), materialize(works, "p1-works"))
+    return linkage.link(_forms(spark, sf_dir, "p1"), materialize(works, "p1-works"), linkage.record_relations(pending))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
