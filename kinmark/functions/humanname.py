@@ -76,14 +76,15 @@ def match_quality(x: str, y: str) -> float:
 
     Different family names, middle names or initials give 0; equal full names 1;
     an initial that stands for a full middle name 0.99; anything else the Jaro
-    similarity, of which 0.9 and more counts as 0.89999 (a maybe).
+    similarity, of which 0.9 and more counts as 0.89999 (a maybe).  A family
+    name of one letter in the first name, the heading, decides nothing.
     """
     x, y = cleaned(x), cleaned(y)
     whole = jaro_bytes(x.encode(), y.encode())
     a, b = split_name(x), split_name(y)
     verdict: float | None = None
     if a.parts() > 1 and b.parts() > 1:
-        if len(b.last) > 1:
+        if len(a.last) > 1:
             verdict = _by_parts(a, b)
     elif a.parts() == 1 and b.parts() == 1 and a.first and a.first == b.first:
         verdict = 1.0
@@ -98,7 +99,8 @@ def _by_parts(a: HumanName, b: HumanName) -> float | None:
     if a.first == b.first and len(a.first) > 1:
         if not a.middle or not b.middle:
             return None
-        if (a.title == "Mrs") != (b.title == "Mrs"):
+        # a married woman's name may be her husband's; of the first name's title alone, of the second's if the titles differ
+        if a.title.lower() == "mrs" or (b.title.lower() == "mrs" and a.title != b.title):
             return None
         if len(a.middle) > 1 and len(b.middle) > 1:
             return 1.0 if a.middle == b.middle else 0.0
@@ -114,7 +116,13 @@ def _by_parts(a: HumanName, b: HumanName) -> float | None:
 
 @F.pandas_udf(T.DoubleType())
 def _quality(x: pd.Series, y: pd.Series) -> pd.Series:
-    return pd.Series([None if a is None or b is None else match_quality(a, b) for a, b in zip(x, y, strict=True)], dtype="float64")
+    known: dict[tuple[str, str], float] = {}
+    out: list[float | None] = []
+    for k in zip(x, y, strict=True):
+        if k not in known:
+            known[k] = None if k[0] is None or k[1] is None else match_quality(*k)
+        out.append(known[k])
+    return pd.Series(out, dtype="float64")
 
 
 def name_match_quality(x: Column, y: Column) -> Column:

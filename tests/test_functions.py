@@ -119,3 +119,26 @@ def test_namespaces(one):
 def test_better_existence(one, old, old_type, new, new_type, born, want):
     f = lambda *c: dates.better_existence(*[x.cast("string") for x in c], born=born)
     assert one(f, old, old_type, new, new_type) == want
+
+
+@pytest.mark.parametrize(
+    ("heading", "name", "want"),
+    [
+        ("D, Jane", "Doe, Jane", None),
+        ("Doe, Jane", "D, Jane", 0.0),
+        ("Smith, Mrs Jane Anna", "Smith, Mrs Jane Anna", 0.89999),
+        ("Smith, MRS Jane Anna", "Smith, Jane Anna", None),
+        ("Smith, Jane Anna", "Smith, mrs Jane Anna", None),
+        ("Smith, Jane Anna", "Smith, Jane Anna", 1.0),
+        ("Doe, Jane Q", "Doe, Jane Quincy", 0.99),
+        ("Doe, J Quincy", "Doe, Jane Quincy", 1.0),
+        ("Plato", "Plato", 1.0),
+        ("", "", None),
+    ],
+)
+def test_names_by_parts(heading, name, want):
+    from kinmark.functions.humanname import MAYBE, cleaned, match_quality
+    from kinmark.functions.similarity import jaro_bytes
+
+    whole = jaro_bytes(cleaned(heading).encode(), cleaned(name).encode())
+    assert match_quality(heading, name) == (want if want is not None else MAYBE if whole >= 0.9 else whole)
