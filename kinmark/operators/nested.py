@@ -1,18 +1,25 @@
 """Nested records to related flat tables by Merkle subtree identities.
 
 Every element of a record's XML is canonicalised and hashed bottom-up: its
-digest covers the qualified name, the sorted attributes, the trimmed text and
-the digests of its children in order.  Equal subtrees therefore have equal
-digests wherever they occur, in one record or in millions.  The operator gives
-
-* ``objects``: one row per distinct digest and kind, with the content, and
-* ``bridge``: one row per occurrence, with the owner, the digests of parent and
-  child, and both ordinals, so that the tree of every record can be rebuilt.
+digest covers the qualified name, the sorted attributes, the text (trimmed,
+unless text and elements are mixed) and the digests of its children in order.
+Equal subtrees therefore have equal digests wherever they occur, in one record
+or in millions.  Two operators use them:
+
+* ``shred`` gives the children of stated kinds as flat rows: ``objects``, one
+  row per distinct digest and kind with its key text, and ``bridge``, one row
+  per occurrence with the owner, the digests of parent and child, and both
+  ordinals.
+* ``store`` keeps everything: one row per distinct subtree with its name,
+  attributes, text and the digests of its children, and the root's digest of
+  every owner.  ``occurrences_in`` are its bridge rows; ``rebuilt`` makes every
+  owner's XML from it again.
 
 Edge cases: NULL or malformed XML gives no row at all; an element without the
 expected content gives a row whose ``child_key`` is NULL; an empty table gives
 empty tables; repeated owners keep one occurrence per input row; depth is not
-limited (no recursion).
+limited (no recursion).  Comments, instructions and blanks between elements are
+no content.
 """
 
 from __future__ import annotations
@@ -24,7 +31,7 @@ from functools import reduce
 from hashlib import blake2b
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,25 +108,38 @@ _ARROW = pa.schema(
 )
 
 
-def digests(root: ET.Element) -> dict[ET.Element, bytes]:
-    """Digest of every element, bottom-up."""
-    out: dict[ET.Element, bytes] = {}
+@dataclass(frozen=True)
+class Node:
+    """What an element consists of."""
+
+    digest: bytes
+    text: str
+    tails: tuple[str, ...]
+    height: int
+
+
+def nodes(root: ET.Element) -> dict[ET.Element, Node]:
+    """Every element's content and digest, bottom-up."""
+    out: dict[ET.Element, Node] = {}
     for e in reversed(list(root.iter())):
-        if not isinstance(e.tag, str):  # comments and instructions carry no content
-            out[e] = b""
-            continue
+        mixed = len(e) and ((e.text or "").strip(_BLANK) or any(c.tail and c.tail.strip(_BLANK) for c in e))
+        text = (e.text or "") if mixed else (e.text or "").strip(_BLANK)
+        tails = tuple(c.tail or "" if mixed else "" for c in e)
         parts = [e.tag.encode()]
         for k, v in sorted(e.attrib.items()):
             parts.append(f"\x1e{k}\x1d{v}".encode())
-        text = (e.text or "").strip(_BLANK)
-        if len(e) and (text or any(c.tail and c.tail.strip(_BLANK) for c in e)):
-            text = "".join(e.itertext())  # mixed content: blanks inside it count
         parts.append(b"\x1c" + text.encode())
-        parts.extend(b"\x1b" + out[c] for c in e)
-        out[e] = blake2b(b"".join(parts), digest_size=16).digest()
+        for c, tail in zip(e, tails, strict=True):
+            parts.append(b"\x1b" + out[c].digest + tail.encode())
+        out[e] = Node(blake2b(b"".join(parts), digest_size=16).digest(), text, tails, 1 + max((out[c].height for c in e), default=-1))
     return out
 
 
+def digests(root: ET.Element) -> dict[ET.Element, bytes]:
+    """Digest of every element."""
+    return {e: n.digest for e, n in nodes(root).items()}
+
+
 def _qualify(path: str, ns: str) -> str:
     return "/".join(p if p in ("", ".", "*") else ns + p for p in path.split("/"))
 
@@ -208,3 +228,89 @@ def nested_children(tables: dict[str, tuple[DataFrame, str, str, tuple[Kind, ...
         keep = ~F.col("child").isin(*hidden)
         parts.append(flat_children(bridge.where(keep), objects.where(keep)).select(F.lit(name).alias("owner_table"), "*"))
     return reduce(DataFrame.unionByName, parts).select("owner_table", "owner_id", "child", "parent_no", "child_no", "child_key")
+
+
+SUBTREE = "owner_id bigint, digest binary, tag string, attributes map<string,string>, text string, height int, children array<struct<digest:binary,tail:string>>"
+_SUBTREE = pa.schema(
+    [
+        ("owner_id", pa.int64()), ("digest", pa.binary()), ("tag", pa.string()), ("attributes", pa.map_(pa.string(), pa.string())), ("text", pa.string()), ("height", pa.int32()),
+        ("children", pa.list_(pa.struct([("digest", pa.binary()), ("tail", pa.string())]))),
+    ]
+)
+
+
+def store(df: DataFrame, owner_id: str, xml: str, label: str) -> tuple[DataFrame, DataFrame]:
+    """``(roots, subtrees)`` of the records in column ``xml``: nothing of their content is lost.
+
+    roots: owner_id, digest.  subtrees: digest, tag, attributes, text, height,
+    children (digest and following text of each, in order), once for every
+    distinct subtree.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            rows: list[tuple] = []
+            for owner, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                try:
+                    root = ET.fromstring(text)
+                except (ET.ParseError, ValueError):
+                    continue
+                all_nodes = nodes(root)
+                rows.append((owner, all_nodes[root].digest, None, None, None, None, None))
+                for e, n in all_nodes.items():
+                    if n.digest not in seen:
+                        if len(seen) > 1_000_000:  # bounds the task's memory; a repeat is merged by the aggregation
+                            seen.clear()
+                        seen.add(n.digest)
+                        rows.append((None, n.digest, e.tag, sorted(e.attrib.items()), n.text, n.height, [{"digest": all_nodes[c].digest, "tail": t} for c, t in zip(e, n.tails, strict=True)]))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_SUBTREE)], schema=_SUBTREE)
+
+    source = df.where(F.col(xml).isNotNull()).select(F.col(owner_id).cast("long").alias("owner_id"), F.col(xml).alias("xml"))
+    rows = materialize(source.mapInArrow(run, SUBTREE), label)
+    roots = rows.where("tag IS NULL").select("owner_id", "digest")
+    subtrees = rows.where("tag IS NOT NULL").drop("owner_id").groupBy("digest").agg(*[F.first(c).alias(c) for c in ("tag", "attributes", "text", "height", "children")])
+    return roots, subtrees
+
+
+def occurrences_in(subtrees: DataFrame) -> DataFrame:
+    """parent, ordinal (from 1), child: the bridge rows of the distinct subtrees."""
+    return subtrees.select(F.col("digest").alias("parent"), F.posexplode("children").alias("n", "c")).select("parent", (F.col("n") + 1).alias("ordinal"), F.col("c.digest").alias("child"))
+
+
+def _escaped(c: Column, quote: bool = False) -> Column:
+    pairs = [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\r", "&#13;")] + ([('"', "&quot;"), ("\n", "&#10;"), ("\t", "&#9;")] if quote else [])
+    for old, new in pairs:
+        c = F.replace(c, F.lit(old), F.lit(new))
+    return c
+
+
+def rebuilt(roots: DataFrame, subtrees: DataFrame, label: str) -> DataFrame:
+    """owner_id, xml: every record's XML made of its distinct subtrees, level by level from the leaves.
+
+    A subtree's text is made once, however many records hold it; every element
+    declares its own namespace.
+    """
+    local = lambda c: F.regexp_extract(c, r"^(?:\{[^}]*\})?(.*)$", 1)
+    space = lambda c: F.regexp_extract(c, r"^\{([^}]*)\}", 1)
+    xml_space = "http://www.w3.org/XML/1998/namespace"
+
+    def attribute(a: Column, i: Column) -> Column:
+        name, value = a["key"], F.concat(F.lit('="'), _escaped(a["value"], quote=True), F.lit('"'))
+        prefix = F.concat(F.lit("a"), i.cast("string"))
+        own = F.concat(F.lit(" xmlns:"), prefix, F.lit('="'), _escaped(space(name), quote=True), F.lit('" '), prefix, F.lit(":"), local(name), value)
+        return F.when(space(name) == "", F.concat(F.lit(" "), name, value)).when(space(name) == xml_space, F.concat(F.lit(" xml:"), local(name), value)).otherwise(own)
+
+    declared = F.concat(F.lit(' xmlns="'), _escaped(space("tag"), quote=True), F.lit('"'))
+    begin = F.concat(F.lit("<"), local("tag"), declared, F.array_join(F.transform(F.map_entries("attributes"), attribute), ""), F.lit(">"), _escaped(F.col("text")))
+    parts = materialize(subtrees.select("digest", "height", "children", begin.alias("begin"), F.concat(F.lit("</"), local("tag"), F.lit(">")).alias("end")), f"{label}-parts")
+    highest = parts.agg(F.max("height")).first()[0]
+    texts = [materialize(parts.where("height = 0").select("digest", F.concat("begin", "end").alias("xml")), f"{label}-0")]
+    for h in range(1, (highest or 0) + 1):
+        level = parts.where(F.col("height") == h)
+        below = level.select("digest", F.posexplode("children").alias("n", "c")).select("digest", "n", F.col("c.digest").alias("child"), "c.tail")
+        known = reduce(DataFrame.unionByName, texts).select(F.col("digest").alias("child"), "xml")
+        inner = below.join(known, "child").groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("n", F.concat("xml", _escaped(F.col("tail"))).alias("xml")))).alias("l"))
+        made = level.select("digest", "begin", "end").join(inner, "digest").select("digest", F.concat("begin", F.array_join(F.transform("l", lambda x: x["xml"]), ""), "end").alias("xml"))
+        texts.append(materialize(made, f"{label}-{h}"))
+    return roots.join(reduce(DataFrame.unionByName, texts), "digest").select("owner_id", "xml")

@@ -47,3 +47,35 @@ def test_depth_is_not_limited_and_bad_input_gives_nothing():
 
 def test_empty_table(spark):
     assert nested_children({"x": (tables(spark, []), "id", "record_data", RECORD_KINDS)}).count() == 0
+
+
+MIXED = """<a xmlns="u" xmlns:x="v" x:k="1 &lt; 2" k="&quot;q&quot;" xml:lang="en"><!-- note --><p>One <b>two</b> three &amp; <i/>four</p><p>One <b>two</b> three &amp; <i/>four</p>
+<q xmlns=""> t </q></a>"""
+
+
+def test_nothing_is_lost_in_the_store(spark):
+    from kinmark.operators.nested import occurrences_in, rebuilt, store
+
+    texts = {1: REC, 2: CLU, 3: MIXED, 4: REC, 5: "<deep>" + "<d>" * 30 + "</d>" * 30 + "</deep>"}
+    rows = [*texts.items(), (6, None), (7, "<a>"), (8, "")]
+    roots, subtrees = store(spark.createDataFrame([(*r, "clash") for r in rows], "id bigint, record_data string, digest string"), "id", "record_data", "t")
+    back = {r.owner_id: r.xml for r in rebuilt(roots, subtrees, "t").collect()}
+    assert set(back) == set(texts)
+    for i, t in texts.items():
+        before, after = ET.fromstring(t), ET.fromstring(back[i])
+        assert digests(before)[before] == digests(after)[after]
+        assert [(e.tag, e.attrib) for e in before.iter()] == [(e.tag, e.attrib) for e in after.iter()]
+    assert back[1] == back[4] and roots.select("digest").distinct().count() == 4
+    distinct = {n for t in texts.values() for n in digests(ET.fromstring(t)).values()}
+    assert subtrees.count() == len(distinct)
+    edges = {(r.parent, r.ordinal): r.child for r in occurrences_in(subtrees).collect()}
+    root = ET.fromstring(MIXED)
+    d = digests(root)
+    assert [edges[d[root], n] for n in (1, 2, 3)] == [d[c] for c in root] and d[root[0]] == d[root[1]]
+
+
+def test_store_of_nothing(spark):
+    from kinmark.operators.nested import rebuilt, store
+
+    roots, subtrees = store(tables(spark, []), "id", "record_data", "t")
+    assert rebuilt(roots, subtrees, "t").count() == 0
