@@ -1,9 +1,9 @@
 """Command line: load, match, merge, export and postprocess over a folder of parquet tables.
 
     python -m kinmark.cli load     --tables T --out O --collection NAME --base FOLDER
-    python -m kinmark.cli match    --tables T --out O [--type person|corporateBody|family] [--start N] [--end N]
+    python -m kinmark.cli match    --tables T --out O [--type person|corporateBody|family] [--start N] [--end N] [--stating NAME ...]
     python -m kinmark.cli merge    --tables T --out O [--identifiers FILE]
-    python -m kinmark.cli export   --tables T --out O [--since TIME] [--collection NAME ...] [--id ARK ...]
+    python -m kinmark.cli export   --tables T --out O [--since TIME] [--collection NAME ...] [--id ARK ...] [--listing FOLDER]
     python -m kinmark.cli postprocess --tables T --out O (reload | problems) [--start N] [--end N]
 
 Every command reads tables and writes new ones; nothing is changed in place, so
@@ -42,8 +42,10 @@ def match(spark: SparkSession, a: argparse.Namespace) -> dict[str, DataFrame]:
     todo = _between(lookup.unprocessed(records), a)
     if a.type:
         todo = todo.where(F.col("r_type") == a.type)
-    decisions = materialize(matching.cascade(todo, groups, records, merged, clusters), "cli-decisions")
-    return {"decisions": decisions, "groups": grouping.group_records(todo, decisions)}
+    stated = record_source.same_as(todo.where(F.col("collection_id").isin(a.stating or [])))
+    decisions = materialize(matching.cascade(todo, groups, records, merged, clusters, stated), "cli-decisions")
+    grouped = materialize(grouping.group_records(todo, decisions, groups), "cli-groups")
+    return {"decisions": decisions, "groups": grouped, "new_candidates": grouping.maybe_rows(grouped)}
 
 
 def merge(spark: SparkSession, a: argparse.Namespace) -> dict[str, DataFrame]:
@@ -64,6 +66,8 @@ def export(spark: SparkSession, a: argparse.Namespace) -> dict[str, DataFrame]:
         wanted = lookup.changed_since(wanted, records, a.since)
     if a.collection:
         wanted = lookup.of_collections(wanted, records, a.collection)
+    if a.listing:
+        wanted = wanted.join(files.listed_identifiers(spark, a.listing), "canonical_id", "left_semi")
     if a.id:
         wanted = wanted.where(F.col("canonical_id").isin(a.id))
     texts = r_combined(spark, a.tables).select("canonical_id", "record_data").unionByName(r_tombstone_texts(spark, a.tables))
@@ -100,6 +104,8 @@ def main(args: list[str] | None = None) -> None:
     p.add_argument("--identifiers")
     p.add_argument("--since")
     p.add_argument("--id", nargs="*")
+    p.add_argument("--listing", help="export again the records by whose identifiers the files of this folder are named")
+    p.add_argument("--stating", nargs="*", help="collections whose records state an authority's identifier")
     a = p.parse_args(args)
     spark = SparkSession.builder.appName("kinmark").getOrCreate()
     run = {"load": load, "match": match, "merge": merge, "export": export, "postprocess": post}[a.command]

@@ -13,6 +13,8 @@ tokens count once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,8 +72,20 @@ def ranked(queries: DataFrame, docs: DataFrame, k: int = 10, rare: int = 1) -> D
     """
     doc_terms = docs.select("part", "did", F.explode("terms").alias("term"))
     df = doc_terms.groupBy("part", "term").agg(F.count("*").alias("df"))
-    q = queries.select("qid", "part", F.explode("terms").alias("term")).join(df, ["part", "term"])
-    return _best(queries, docs, doc_terms, top_k(q, ["qid"], [F.col("df"), F.col("term")], rare), k)
+    sets, back = _term_sets(queries)
+    q = sets.select("qid", "part", F.explode("terms").alias("term")).join(df, ["part", "term"])
+    return back(_best(sets, docs, doc_terms, top_k(q, ["qid"], [F.col("df"), F.col("term")], rare), k))
+
+
+def _term_sets(queries: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Distinct sets of terms as queries, and how their results come back to those who asked: equal queries are searched once."""
+    keyed = queries.withColumn("set_no", F.xxhash64(F.col("part").isNull(), "part", F.array_sort("terms")))
+    sets = materialize(keyed.groupBy("set_no").agg(F.first("part").alias("part"), F.first("terms").alias("terms")).withColumnRenamed("set_no", "qid"), "term-sets")
+
+    def back(found: DataFrame) -> DataFrame:
+        return keyed.select("qid", "set_no").join(found.withColumnRenamed("qid", "set_no"), "set_no").drop("set_no")
+
+    return sets, back
 
 
 def ranked_all(queries: DataFrame, docs: DataFrame, k: int = 10, rare: int = RARE) -> DataFrame:
@@ -84,6 +98,7 @@ def ranked_all(queries: DataFrame, docs: DataFrame, k: int = 10, rare: int = RAR
     """
     doc_terms = docs.select("part", "did", F.explode("terms").alias("term"))
     df = doc_terms.groupBy("part", "term").agg(F.count("*").alias("df"))
+    queries, back = _term_sets(queries)
     q = queries.select("qid", "part", F.explode("terms").alias("term")).join(df, ["part", "term"])
     q = materialize(q.withColumn("place", F.row_number().over(Window.partitionBy("qid").orderBy("df", "term"))), "ranked-terms")
     first = _best(queries, docs, doc_terms, q.where(F.col("place") <= rare), k)
@@ -91,7 +106,7 @@ def ranked_all(queries: DataFrame, docs: DataFrame, k: int = 10, rare: int = RAR
     low = F.coalesce("bound", F.lit(1))
     extra = F.least(F.lit(RARE), low - 1)
     size = q.groupBy("qid").agg(F.max("place").alias("n")).join(bound, "qid", "left").select("qid", (F.col("n") - low + 1 + extra).alias("upto"), (extra + 1).alias("least"))
-    return _best(queries, docs, doc_terms, q.join(size, "qid").where("place <= upto"), k, F.col("least"))
+    return back(_best(queries, docs, doc_terms, q.join(size, "qid").where("place <= upto"), k, F.col("least")))
 
 
 def _best(queries: DataFrame, docs: DataFrame, doc_terms: DataFrame, keys: DataFrame, k: int, least: Column | None = None) -> DataFrame:
@@ -133,18 +148,18 @@ def close_names(names: DataFrame, bound: int = 5, cut: int | None = 254) -> Data
 
     Blocking without loss: at most ``bound - 1`` edits leave one of ``bound``
     pieces of the shorter text unchanged, shifted by at most as many places.
-    Texts shorter than ``2 * bound`` meet by length instead.
+    Texts shorter than ``bound``, all of which are within reach of each other, meet by length instead.
     """
     edits = bound - 1
     t = names.select((F.col("name") if cut is None else F.substring("name", 1, cut)).alias("t")).where("t IS NOT NULL").distinct().withColumn("n", F.length("t"))
-    long = t.where(F.col("n") >= 2 * bound)
+    long = t.where(F.col("n") >= bound)
     # pieces of a text of length n: cut at n * i / bound; a text of length m is searched at every shift for every n within reach
     cut = lambda n, i: F.floor(n * i / bound).cast("int")
     piece_rows = [long.select("t", F.col("n").alias("len"), F.lit(i).alias("i"), F.substring(F.col("t"), cut(F.col("n"), i) + 1, cut(F.col("n"), i + 1) - cut(F.col("n"), i)).alias("piece")) for i in range(bound)]
     pieces = piece_rows[0]
     for p in piece_rows[1:]:
         pieces = pieces.unionByName(p)
-    reach = long.select("t", "n", F.explode(F.sequence(F.greatest(F.col("n") - edits, F.lit(2 * bound)), F.col("n"))).alias("len"))
+    reach = long.select("t", "n", F.explode(F.sequence(F.greatest(F.col("n") - edits, F.lit(bound)), F.col("n"))).alias("len"))
     rows = []
     for i in range(bound):
         at = cut(F.col("len"), i)
@@ -155,8 +170,8 @@ def close_names(names: DataFrame, bound: int = 5, cut: int | None = 254) -> Data
     for p in rows[1:]:
         probes = probes.unionByName(p)
     found = pieces.alias("p").join(probes.alias("q"), ["len", "i", "piece"]).where(F.col("p.t") != F.col("q.t")).select(F.least("p.t", "q.t").alias("a"), F.greatest("p.t", "q.t").alias("b")).distinct()
-    short = t.where(F.col("n") < 2 * bound)
-    near = t.where(F.col("n") < 2 * bound + edits)
+    short = t.where(F.col("n") < bound)
+    near = t.where(F.col("n") < bound + edits)
     banded = near.select("t", F.explode(F.sequence(F.greatest(F.lit(0), F.col("n") - edits), F.col("n") + edits)).alias("n"))
     small = short.alias("x").join(banded.alias("y"), "n").where(F.col("x.t") != F.col("y.t")).select(F.least("x.t", "y.t").alias("a"), F.greatest("x.t", "y.t").alias("b")).distinct()
     pairs = found.unionByName(small).distinct()

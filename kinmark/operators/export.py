@@ -1,8 +1,9 @@
 """The merged record of each group as one XML text, and the tombstones of cancelled ones.
 
 Every block is built from its field's flat rows: lines with their place in the
-block, concatenated per group by one aggregation.  What is gathered per group is
-its merged result, which the export has to hold as one text anyway.
+block.  The lines of all blocks meet in one aggregation by group, so that a
+record costs one shuffle of its text.  What is gathered per group is its merged
+result, which the export has to hold as one text anyway.
 
 Edge cases: groups without a block get none; NULL texts are left out; names and
 terms are escaped; timestamps come from a parameter, so that equal input gives
@@ -28,12 +29,6 @@ def element(tag: str, text: Column, **attributes: Column) -> Column:
     return F.concat(F.lit(f"<{tag}"), *attrs, F.lit(">"), escape_xml(text.cast("string")), F.lit(f"</{tag}>"))
 
 
-def block(lines: DataFrame, name: str) -> DataFrame:
-    """group_id, <name>: lines (group_id, place, line) of each group in order of place and text."""
-    joined = lines.where("line IS NOT NULL").groupBy("group_id").agg(F.sort_array(F.collect_list(F.struct("place", "line"))).alias("l"))
-    return joined.select("group_id", F.array_join(F.transform("l", lambda x: x["line"]), "").alias(name))
-
-
 def _lines(df: DataFrame, place: Column, line: Column) -> DataFrame:
     return df.select("group_id", place.cast("double").alias("place"), line.alias("line"))
 
@@ -54,7 +49,7 @@ def control(merged: DataFrame, records: DataFrame, groups: DataFrame, sources: D
     opened = _lines(from_where.select("group_id").distinct(), F.lit(5), F.lit("<sources>"))
     listed = _lines(from_where, F.lit(6), F.concat(F.lit("<source>"), element("sourceEntry", F.col("source")), F.lit("</source>")))
     closed = _lines(from_where.select("group_id").distinct(), F.lit(7), F.lit("</sources>"))
-    return block(reduce(DataFrame.unionByName, [own, others, merged_ids, authority, status, opened, listed, closed]), "control")
+    return reduce(DataFrame.unionByName, [own, others, merged_ids, authority, status, opened, listed, closed])
 
 
 def identity(groups: DataFrame, names: DataFrame) -> DataFrame:
@@ -68,7 +63,7 @@ def identity(groups: DataFrame, names: DataFrame) -> DataFrame:
     rows = head.join(scores, ["group_id", "name_key"]).join(forms, ["group_id", "name_key"], "left")
     attrs = [F.coalesce(F.concat(F.lit(f' {a}="'), escape_attribute(F.col(c)), F.lit('"')), F.lit("")) for a, c in (("xml:lang", "lang"), ("scriptCode", "script_code"))]
     text = F.concat(F.lit('<nameEntry preferenceScore="'), F.lpad(F.col("score").cast("string"), 2, "0"), F.lit('"'), *attrs, F.lit(">"), element("part", F.col("name")), F.coalesce("forms", F.lit("")), F.coalesce(element("useDates", F.col("use_dates")), F.lit("")), F.lit("</nameEntry>"))
-    return block(types.unionByName(_lines(rows, -F.col("score"), text)), "identity")
+    return types.unionByName(_lines(rows, -F.col("score"), text))
 
 
 def description(groups: DataFrame, clusters: DataFrame, records: DataFrame, fields: dict[str, DataFrame], term: str) -> DataFrame:
@@ -97,14 +92,17 @@ def description(groups: DataFrame, clusters: DataFrame, records: DataFrame, fiel
     histories = _lines(cited, F.lit(9.1), F.concat("biog_text", F.array_join("citations", ""))).unionByName(_lines(plain, F.lit(9.2), F.col("biog_data")))
     has = histories.select("group_id").distinct()
     lines += [_lines(has, F.lit(9), F.lit("<biogHist>")), histories, _lines(has, F.lit(9.3), F.lit("</biogHist>"))]
-    return block(reduce(DataFrame.unionByName, lines), "description")
+    return reduce(DataFrame.unionByName, lines)
+
 
+def relations(groups: DataFrame, clusters: DataFrame, records: DataFrame, merged: DataFrame, maybes: DataFrame, fields: dict[str, DataFrame], hosts: dict[str, str], term: str) -> DataFrame:
+    """Relations of a group, outside addresses, what it may be the same as, resources and the authority's titles.
 
-def relations(groups: DataFrame, clusters: DataFrame, merged: DataFrame, maybes: DataFrame, fields: dict[str, DataFrame], hosts: dict[str, str], term: str) -> DataFrame:
-    """Relations of a group, outside addresses, what it may be the same as, resources and the authority's titles."""
+    Relations to records point to the merged records' identifiers, once each.
+    """
     from kinmark.operators.lookup import maybe_edges
 
-    own = fusion.relations(fields["relations"], "group_id")
+    own = fusion.resolved_relations(fields["relations"], records, merged, "group_id")
     lines = [_lines(own, F.lit(0), F.concat(F.lit("<cpfRelation"), *[F.coalesce(F.concat(F.lit(f' xlink:{a}="'), escape_attribute(F.col(a)), F.lit('"')), F.lit("")) for a in ("href", "role", "arcrole")], F.lit(">"), F.coalesce(element("relationEntry", F.col("entry")), F.lit("")), F.lit("</cpfRelation>")))]
     kind = groups.select(F.col("id").alias("group_id"), capitalize(F.col("g_type")).alias("kind"))
     link = lambda arc, entry: F.concat(F.lit(f'<cpfRelation xlink:type="simple" xlink:arcrole="{term}{arc}" xlink:href="'), escape_attribute(F.col("href")), F.lit(f'" xlink:role="{term}'), "kind", F.lit('">'), entry, F.lit("</cpfRelation>"))
@@ -117,16 +115,26 @@ def relations(groups: DataFrame, clusters: DataFrame, merged: DataFrame, maybes:
     lines.append(_lines(fields["resources"].where("entry IS NOT NULL"), F.lit(3), resource(F.col("entry"))))
     titles = groups.where("viaf_id IS NOT NULL").select(F.col("id").alias("group_id"), "viaf_id").join(clusters.select("viaf_id", F.explode("titles").alias("t")), "viaf_id")
     lines.append(_lines(titles, F.lit(4), resource(F.col("t"))))
-    return block(reduce(DataFrame.unionByName, lines), "relations")
+    return reduce(DataFrame.unionByName, lines)
 
 
-def combined(groups: DataFrame, blocks: list[DataFrame], merged: DataFrame) -> DataFrame:
-    """canonical_id, group_id, record_data: the XML of every valid merged record with an identifier."""
+def combined(blocks: dict[str, DataFrame], merged: DataFrame) -> DataFrame:
+    """canonical_id, group_id, record_data: the XML of every valid merged record with an identifier.
+
+    ``blocks``: lines (group_id, place, line) of control, identity, description
+    and relations, in this order.  All lines of a group meet once.
+    """
     m = merged.where("valid AND canonical_id IS NOT NULL AND record_group_id IS NOT NULL").select(F.col("record_group_id").alias("group_id"), "canonical_id")
-    out = reduce(lambda acc, b: acc.join(b, "group_id", "left"), blocks, m)
-    part = lambda tag, c: F.coalesce(F.concat(F.lit(f"<{tag}>"), c, F.lit(f"</{tag}>")), F.lit(""))
-    body = F.concat(part("identity", F.col("identity")), part("description", F.col("description")), part("relations", F.col("relations")))
-    text = F.concat(F.lit(f"<eac-cpf {NAMESPACES}>"), part("control", F.col("control")), F.lit("<cpfDescription>"), body, F.lit("</cpfDescription></eac-cpf>"))
+    lines = reduce(DataFrame.unionByName, [df.where("line IS NOT NULL").select("group_id", F.lit(n).alias("block"), "place", "line") for n, df in enumerate(blocks.values())])
+    gathered = lines.groupBy("group_id").agg(F.sort_array(F.collect_list(F.struct("block", "place", "line"))).alias("l"))
+    out = m.join(gathered, "group_id", "left").withColumn("l", F.coalesce("l", F.array().cast("array<struct<block:int,place:double,line:string>>")))
+
+    def part(n: int, tag: str) -> Column:
+        own = F.transform(F.filter("l", lambda x: x["block"] == n), lambda x: x["line"])
+        return F.when(F.size(own) > 0, F.concat(F.lit(f"<{tag}>"), F.array_join(own, ""), F.lit(f"</{tag}>"))).otherwise("")
+
+    first, *rest = [part(n, tag) for n, tag in enumerate(blocks)]
+    text = F.concat(F.lit(f"<eac-cpf {NAMESPACES}>"), first, F.lit("<cpfDescription>"), *rest, F.lit("</cpfDescription></eac-cpf>"))
     return out.select("canonical_id", "group_id", text.alias("record_data"))
 
 

@@ -157,6 +157,24 @@ def relations(rows: DataFrame, entity: str) -> DataFrame:
     return targeted.unionByName(rows.where("href IS NULL OR arcrole IS NULL"), allowMissingColumns=True)
 
 
+def resolved_relations(rows: DataFrame, records: DataFrame, merged: DataFrame, entity: str) -> DataFrame:
+    """``relations`` after those that name a record (source_id) point to its merged record's identifier.
+
+    A relation to a record without group or merged record is left out; one to an
+    unknown record, or to merged records of which none is valid, stays as it
+    was; one to a merged record without identifier gets an empty target.  Of an
+    entity's relations to one identifier the first stays, whatever its role.
+    """
+    from kinmark.operators.lookup import relation_targets
+
+    named = relation_targets(rows.where("source_id IS NOT NULL"), records, merged)
+    known = named.where(F.col("outcome").isin("resolved", "no identifier")).withColumn("href", F.coalesce("canonical_id", F.lit("")))
+    once = first_wins(known, [entity, "href"], ["record_id", "relation_no"])
+    asis = named.where(F.col("outcome").isin("unknown record", "no valid record"))
+    own = relations(rows.where("source_id IS NULL"), entity)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [own, asis.drop("canonical_id", "outcome"), once.drop("canonical_id", "outcome")])
+
+
 def same_as(groups: DataFrame, clusters: DataFrame, hosts: dict[str, str]) -> DataFrame:
     """group_id, href: outside addresses of a group's authority and its headings; ``hosts`` gives the address by kind."""
     g = groups.where("g_type IN ('person', 'corporateBody')").select(F.col("id").alias("group_id"), "viaf_id").join(clusters.select("viaf_id", "headings", "heading_ids"), "viaf_id")

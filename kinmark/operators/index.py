@@ -17,13 +17,21 @@ from kinmark.functions.normalize import name_key
 from kinmark.operators.blocking import ngrams, tokens
 
 
-def _all_names() -> Column:
-    none = F.array().cast("array<string>")
-    forms = lambda c: F.coalesce(F.transform(c, lambda x: x["name"]), none)
-    return F.array_distinct(F.concat(F.coalesce("headings", none), forms("auth_forms"), forms("alt_forms")))
+def _none() -> Column:
+    return F.array().cast("array<string>")
 
 
-def _variants() -> Column:
+def _see_also(clusters: DataFrame) -> Column:
+    """Names of related entities, where the table states them (``see_also``)."""
+    return F.coalesce("see_also", _none()) if "see_also" in clusters.columns else _none()
+
+
+def _all_names(clusters: DataFrame) -> Column:
+    forms = lambda c: F.coalesce(F.transform(c, lambda x: x["name"]), _none())
+    return F.array_distinct(F.concat(F.coalesce("headings", _none()), forms("auth_forms"), forms("alt_forms"), _see_also(clusters)))
+
+
+def _variants(clusters: DataFrame) -> Column:  # noqa: ARG001
     return F.transform("alt_forms", lambda x: x["name"])
 
 
@@ -33,28 +41,29 @@ def _exact(c: Column) -> Column:
 
 #: index name: (values of a cluster, keys of a value)
 INDEXES = {
-    "idnumber": (lambda: F.col("sources"), lambda c: F.array(F.replace(c, F.lit("|"), F.lit(" ")))),
-    "viafid": (lambda: F.array("viaf_id"), _exact),
-    "xmainname": (lambda: F.col("headings"), lambda c: F.array(name_key(c))),
-    "mainname": (lambda: F.col("headings"), tokens),
+    "idnumber": (lambda _: F.col("sources"), lambda c: F.array(F.replace(c, F.lit("|"), F.lit(" ")))),
+    "viafid": (lambda _: F.array("viaf_id"), _exact),
+    "xmainname": (lambda _: F.col("headings"), lambda c: F.array(name_key(c))),
+    "mainname": (lambda _: F.col("headings"), tokens),
     "seerefs": (_variants, tokens),
-    "birthdate": (lambda: F.array(F.when(F.col("birth") != "0", F.col("birth"))), _exact),
-    "deathdate": (lambda: F.array(F.when(F.col("death") != "0", F.col("death"))), _exact),
-    "xmainnamenn": (lambda: F.col("headings"), _exact),
-    "mainnamenn": (lambda: F.col("headings"), lambda c: F.split(c, r"\s+")),
+    "seealso": (_see_also, tokens),
+    "birthdate": (lambda _: F.array(F.when(F.col("birth") != "0", F.col("birth"))), _exact),
+    "deathdate": (lambda _: F.array(F.when(F.col("death") != "0", F.col("death"))), _exact),
+    "xmainnamenn": (lambda _: F.col("headings"), _exact),
+    "mainnamenn": (lambda _: F.col("headings"), lambda c: F.split(c, r"\s+")),
     "xallnames": (_all_names, lambda c: F.array(name_key(c))),
     "allnames": (_all_names, tokens),
     "allnamesngram": (_all_names, ngrams),
-    "mainnamengram": (lambda: F.col("headings"), ngrams),
-    "nametype": (lambda: F.array(F.lower("name_type")), _exact),
-    "spirit": (lambda: F.array(F.coalesce(F.col("spirit"), F.lit(False)).cast("int").cast("string")), _exact),
+    "mainnamengram": (lambda _: F.col("headings"), ngrams),
+    "nametype": (lambda _: F.array(F.lower("name_type")), _exact),
+    "spirit": (lambda _: F.array(F.coalesce(F.col("spirit"), F.lit(False)).cast("int").cast("string")), _exact),
 }
 
 
 def keys(clusters: DataFrame, name: str) -> DataFrame:
     """viaf_id, key: the keys of one index."""
     values, split = INDEXES[name]
-    flat = clusters.where("viaf_id IS NOT NULL").select("viaf_id", F.explode(values()).alias("value")).where("value IS NOT NULL")
+    flat = clusters.where("viaf_id IS NOT NULL").select("viaf_id", F.explode(values(clusters)).alias("value")).where("value IS NOT NULL")
     return flat.select("viaf_id", F.explode(split(F.col("value"))).alias("key")).where("key IS NOT NULL AND key <> ''").distinct()
 
 

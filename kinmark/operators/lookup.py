@@ -121,9 +121,9 @@ def merged_by_authority(merged: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def changed_since(merged: DataFrame, records: DataFrame, since: datetime | str) -> DataFrame:
-    """Merged records of groups that got a record after a moment (a semi-join: no row twice)."""
+    """Merged records of groups that got a record after a moment (a semi-join: no row twice), in order of id."""
     recent = records.where(F.col("record_group_id").isNotNull() & (F.col("created_at") > F.lit(since).cast("timestamp"))).select("record_group_id")
-    return merged.join(recent, "record_group_id", "left_semi")
+    return merged.join(recent, "record_group_id", "left_semi").orderBy("id")
 
 
 def of_collections(merged: DataFrame, records: DataFrame, names: list[str]) -> DataFrame:
@@ -153,16 +153,19 @@ def relation_targets(relations: DataFrame, records: DataFrame, merged: DataFrame
     valid merged record of the lowest id.
     """
     one = records.where("source_id IS NOT NULL").groupBy("source_id").agg(F.min_by(F.struct("id", "record_group_id"), "id").alias("o")).select("source_id", F.col("o.id").alias("target_record"), F.col("o.record_group_id").alias("target_group"))
-    valid = merged.where("valid AND record_group_id IS NOT NULL").groupBy(F.col("record_group_id").alias("target_group")).agg(F.min_by(F.struct("canonical_id"), "id").alias("m")).select("target_group", F.col("m.canonical_id").alias("canonical_id"), F.lit(True).alias("has_merge"))
+    valid = merged.where("record_group_id IS NOT NULL").groupBy(F.col("record_group_id").alias("target_group")).agg(F.min_by(F.struct("canonical_id"), F.when(F.col("valid"), F.col("id"))).alias("m"))
+    valid = valid.select("target_group", F.col("m.canonical_id").alias("canonical_id"), F.col("m").isNotNull().alias("has_merge"))
     out = relations.join(one, "source_id", "left").join(valid, "target_group", "left")
     outcome = (
         F.when(F.col("target_record").isNull(), "unknown record")
         .when(F.col("target_group").isNull(), "no group")
         .when(F.col("has_merge").isNull(), "no merged record")
+        .when(~F.col("has_merge"), "no valid record")
         .when(F.col("canonical_id").isNull(), "no identifier")
         .otherwise("resolved")
     )
-    return out.select("record_id", "relation_no", "source_id", "canonical_id", outcome.alias("outcome"))
+    rest = [c for c in relations.columns if c not in ("record_id", "relation_no", "source_id", "canonical_id", "outcome")]
+    return out.select("record_id", "relation_no", "source_id", *rest, "canonical_id", outcome.alias("outcome"))
 
 
 def maybe_edges(merged: DataFrame, groups: DataFrame, maybes: DataFrame) -> DataFrame:

@@ -12,6 +12,8 @@ repeated records are matched each.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,9 +22,11 @@ from kinmark.functions.humanname import name_match_quality
 from kinmark.functions.normalize import has_digits, letters_key, strip_accents, strip_corporate_abbreviations
 from kinmark.functions.similarity import jaro, relative_length
 from kinmark.operators.blocking import exact_heading, headings, keyword_candidates, ngram_candidates, similar_names
-from kinmark.operators.lookup import first_by
+from kinmark.operators.lookup import first_by, top_k
 from kinmark.session import materialize
 
+#: What is compared of a record.
+COMPARED = ["r_type", "name", "name_norm", "from_date", "from_date_type", "to_date", "to_date_type"]
 FUZZY, PERSON_ACCEPT, CORPORATE_ACCEPT = 0.85, 0.9, 0.95
 
 
@@ -81,6 +85,33 @@ def exact_corporate(records: DataFrame, groups: DataFrame, index: DataFrame) ->
     return first.unionByName(by_heading)
 
 
+def told_apart() -> Column:
+    """One number for records alike in all that is compared."""
+    return F.xxhash64(*[x for c in COMPARED for x in (F.col(c).isNull(), F.col(c))])
+
+
+def by_kind(records: DataFrame, match: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``match`` finds (record_id, ...), asked once for all records alike in type, name and dates.
+
+    A name borne by a third of all records is searched for as often as it has
+    dates.
+    """
+    keyed = records.withColumn("kind_no", told_apart())
+    first = materialize(keyed.groupBy("kind_no").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in COMPARED]), "kinds")
+    found = match(first).join(first.select(F.col("id").alias("record_id"), "kind_no"), "record_id").drop("record_id")
+    return found.join(keyed.select("kind_no", F.col("id").alias("record_id")), "kind_no").drop("kind_no")
+
+
+def keyword_person(records: DataFrame, index: DataFrame) -> DataFrame:
+    """record_id, viaf_id, quality: persons by keyword candidates."""
+    return by_kind(records, lambda r: first_acceptable(r, keyword_candidates(r, index, whole=True), index))
+
+
+def ngram_person(records: DataFrame, index: DataFrame) -> DataFrame:
+    """record_id, viaf_id, quality: persons by n-gram candidates."""
+    return by_kind(records, lambda r: first_acceptable(r, ngram_candidates(r, index, whole=True), index))
+
+
 def first_acceptable(records: DataFrame, candidates: DataFrame, index: DataFrame) -> DataFrame:
     """record_id, viaf_id, quality: for persons the first candidate in rank order that is acceptable.
 
@@ -93,7 +124,7 @@ def first_acceptable(records: DataFrame, candidates: DataFrame, index: DataFrame
     pairs = candidates.select("qid", F.col("did").alias("viaf_id"), "rank").join(r, "qid").join(with_authority_dates(index), "viaf_id").where((begin != 0) & (end != 0))
     pairs = pairs.join(index.select("viaf_id", "pos", "heading"), "viaf_id").withColumn("exact", (begin == 3) & (end == 3))
     starts = F.startswith(F.col("name"), F.substring("heading", 1, 5))
-    shortcut = F.col("exact") & (F.col("pos") == 0) & starts
+    shortcut = F.coalesce(F.col("exact") & (F.col("pos") == 0) & starts, F.lit(False))
     q = name_match_quality(strip_accents(F.col("heading")), strip_accents(F.col("name")))
     scored = pairs.select("qid", "viaf_id", "rank", F.when(shortcut, -1).otherwise(F.col("pos")).alias("pos"), F.when(shortcut, F.lit(1.0)).otherwise(q).alias("quality")).where(F.col("quality") >= FUZZY)
     best = scored.groupBy("qid").agg(F.min_by(F.struct("viaf_id", "quality"), F.struct("rank", "pos")).alias("m"))
@@ -107,19 +138,27 @@ def in_database(records: DataFrame, grouped: DataFrame, bound: float = 0.75) ->
     match by ``FUZZY`` or more: persons by name quality, bodies by Jaro, others
     by their lengths.
     """
-    cols = ["id", "r_type", "name", "name_norm", "from_date", "from_date_type", "to_date", "to_date_type"]
+    # records alike in all that is compared are one row: a name borne by a third of all records meets as often as it has dates
+    usable = lambda df: df.where("name_norm IS NOT NULL AND r_type IS NOT NULL").withColumn("mine", told_apart())
     names = records.select("name_norm").unionByName(grouped.select("name_norm")).where("name_norm IS NOT NULL").distinct()
     near = similar_names(names.select(F.col("name_norm").alias("name")), bound)
     same = names.select(F.col("name_norm").alias("a"), F.col("name_norm").alias("b"), F.lit(1.0).alias("similarity"))
     both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity")).unionByName(same)
-    other = grouped.select(*[F.col(c).alias(f"o_{c}") for c in cols])
-    pairs = records.select(*cols).join(both, records["name_norm"] == both["a"]).join(other, (F.col("b") == F.col("o_name_norm")) & (F.col("r_type") == F.col("o_r_type"))).where("id <> o_id")
+    mine = usable(records).groupBy("mine").agg(*[F.first(c).alias(c) for c in COMPARED])
+    # of the grouped ones the two lowest ids stay, as one may be the record itself
+    lowest = top_k(usable(grouped).select("mine", "id", *COMPARED), ["mine"], [F.col("id")], 2)
+    other = lowest.groupBy("mine").agg(F.collect_list("id").alias("o_ids"), *[F.first(c).alias(f"o_{c}") for c in COMPARED]).drop("mine")
+    pairs = mine.join(both, F.col("name_norm") == F.col("a")).join(other, (F.col("b") == F.col("o_name_norm")) & (F.col("r_type") == F.col("o_r_type")))
     begin, end = record_quality(F.col("o_from_date"), F.col("o_to_date"))
     fits = pairs.where((begin != 0) & (end != 0))
     q = F.when(F.col("r_type") == "person", name_match_quality(strip_accents(F.col("o_name")), strip_accents(F.col("name")))).when(F.col("r_type") == "corporateBody", jaro(F.col("o_name_norm"), F.col("name_norm"))).otherwise(1 - relative_length(F.col("o_name_norm"), F.col("name_norm")))
-    scored = fits.select("id", "o_id", "similarity", q.alias("quality")).where(F.col("quality") >= FUZZY)
-    best = scored.groupBy("id").agg(F.max_by(F.struct("o_id", "quality"), F.struct("similarity", -F.col("o_id"))).alias("m"))
-    return best.select(F.col("id").alias("record_id"), F.col("m.o_id").alias("other_id"), F.round("m.quality", 6).alias("quality"))
+    scored = fits.select("mine", "similarity", F.explode("o_ids").alias("o_id"), q.alias("quality")).where(F.col("quality") >= FUZZY)
+    # the two best for each kind of record: where the first is the record itself, the second is its match
+    two = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("similarity")).alias("s"), "o_id", "quality"))), 1, 2)
+    best = top_k(scored, ["mine"], [F.desc("similarity"), F.col("o_id")], 2).groupBy("mine").agg(two.alias("two"))
+    found = usable(records).select("id", "mine").join(best, "mine")
+    first = F.filter("two", lambda t: t["o_id"] != F.col("id"))
+    return found.where(F.size(first) > 0).select(F.col("id").alias("record_id"), first[0]["o_id"].alias("other_id"), F.round(first[0]["quality"], 6).alias("quality"))
 
 
 def corporate_key(c: Column) -> Column:
@@ -131,7 +170,12 @@ def corporate_keyword(records: DataFrame, index: DataFrame, whole: bool = False)
     """record_id, viaf_id, quality: bodies by keyword candidates, first heading whose Jaro similarity is ``FUZZY`` or more."""
     bodies = records.where("r_type = 'corporateBody'")
     key = corporate_key(F.col("name_norm"))
-    found = keyword_candidates(bodies, index, query=key, whole=whole)
+    if whole:
+        return by_kind(bodies, lambda b: _first_heading(b, keyword_candidates(b, index, query=key, whole=True), index, key))
+    return _first_heading(bodies, keyword_candidates(bodies, index, query=key), index, key)
+
+
+def _first_heading(bodies: DataFrame, found: DataFrame, index: DataFrame, key: Column) -> DataFrame:
     pairs = found.select("qid", F.col("did").alias("viaf_id"), "rank").join(bodies.select(F.col("id").alias("qid"), key.alias("q")), "qid").join(index.select("viaf_id", "pos", "heading"), "viaf_id")
     scored = pairs.select("qid", "viaf_id", "rank", "pos", jaro(F.col("q"), corporate_key(F.col("heading"))).alias("quality")).where(F.col("quality") >= FUZZY)
     best = scored.groupBy("qid").agg(F.min_by(F.struct("viaf_id", "quality"), F.struct("rank", "pos")).alias("m"))
@@ -146,23 +190,31 @@ def identifier_match(records: DataFrame, identifiers: DataFrame, authority_ids:
     return hits.join(records.select(F.col("id").alias("record_id")), "record_id", "left_semi")
 
 
-def cascade(records: DataFrame, groups: DataFrame, members: DataFrame, merged: DataFrame, clusters: DataFrame) -> DataFrame:
+def cascade(records: DataFrame, groups: DataFrame, members: DataFrame, merged: DataFrame, clusters: DataFrame, identifiers: DataFrame | None = None) -> DataFrame:
     """record_id, stage, decision (accept, maybe, new), group_id, viaf_id, quality for every record.
 
-    Persons: group by name, heading, keywords, then n-grams where keywords gave
-    no sure match.  Bodies: group or heading, then keywords.  Families always
-    begin a group of their own.  What a stage found is written once, so that the
-    next stage's residual is one anti-join and no stage is computed again.
+    First, for all types, the authority that carries a record's outside
+    identifier (``identifiers``: record_id, href; of records whose collection
+    states such).  Persons: group by name, heading, keywords, then n-grams where
+    keywords gave no sure match.  Bodies: group or heading, then keywords.
+    Families stay in their group or begin one of their own.  What a stage found
+    is written once, so that the next stage's residual is one anti-join and no
+    stage is computed again.
     """
     index = materialize(headings(clusters), "cascade-index")
     none_long, none_text, sure = F.lit(None).cast("bigint"), F.lit(None).cast("string"), F.lit(1.0)
-    records = records.select("id", "r_type", "name", "name_norm", "from_date", "from_date_type", "to_date", "to_date_type")
+    records = records.select("id", "r_type", "name", "name_norm", "from_date", "from_date_type", "to_date", "to_date_type", "record_group_id")
     left = lambda df, found: df.join(found.select(F.col("record_id").alias("id")), "id", "left_anti")
     rows: list[DataFrame] = []
 
     def add(df: DataFrame, stage: str, decision: Column, group: Column, viaf: Column, q: Column) -> None:
         rows.append(df.select("record_id", F.lit(stage).alias("stage"), decision.alias("decision"), group.alias("group_id"), viaf.alias("viaf_id"), q.alias("quality")))
 
+    if identifiers is not None:
+        codes = clusters.where("viaf_id IS NOT NULL").select(F.explode("sources").alias("code"), "viaf_id").select(F.substring_index("code", "|", -1).alias("nsid"), "viaf_id")
+        stated = materialize(identifier_match(records, identifiers, codes), "cascade-identifier")
+        add(stated, "identifier", F.lit("accept"), none_long, F.col("viaf_id"), sure)
+        records = left(records, stated)
     persons = records.where("r_type = 'person'")
     grouped = materialize(in_group(persons, groups, members, merged), "cascade-group")
     add(grouped, "group", F.lit("accept"), F.col("group_id"), none_text, sure)
@@ -170,10 +222,10 @@ def cascade(records: DataFrame, groups: DataFrame, members: DataFrame, merged: D
     exact = materialize(exact_person(persons, index), "cascade-heading")
     add(exact, "heading", F.lit("accept"), none_long, F.col("viaf_id"), sure)
     persons = left(persons, exact)
-    by_word = materialize(first_acceptable(persons, keyword_candidates(persons, index, whole=True), index).where(F.col("quality") > PERSON_ACCEPT), "cascade-keyword")
+    by_word = materialize(keyword_person(persons, index).where(F.col("quality") > PERSON_ACCEPT), "cascade-keyword")
     add(by_word, "keyword", F.lit("accept"), none_long, F.col("viaf_id"), F.col("quality"))
     persons = left(persons, by_word)
-    by_gram = materialize(first_acceptable(persons, ngram_candidates(persons, index, whole=True), index), "cascade-ngram")
+    by_gram = materialize(ngram_person(persons, index), "cascade-ngram")
     add(by_gram, "ngram", F.when(F.col("quality") > PERSON_ACCEPT, "accept").otherwise("maybe"), none_long, F.col("viaf_id"), F.col("quality"))
     rest = left(persons, by_gram).select(F.col("id").alias("record_id"))
     add(rest, "none", F.lit("new"), none_long, none_text, F.lit(None).cast("double"))
@@ -186,8 +238,9 @@ def cascade(records: DataFrame, groups: DataFrame, members: DataFrame, merged: D
     add(worded, "keyword", F.when(F.col("quality") >= CORPORATE_ACCEPT, "accept").otherwise("maybe"), none_long, F.col("viaf_id"), F.col("quality"))
     add(left(bodies, worded).select(F.col("id").alias("record_id")), "none", F.lit("new"), none_long, none_text, F.lit(None).cast("double"))
 
-    families = records.where("r_type = 'family'").select(F.col("id").alias("record_id"))
-    add(families, "family", F.lit("new"), none_long, none_text, F.lit(None).cast("double"))
+    families = records.where("r_type = 'family'").select(F.col("id").alias("record_id"), "record_group_id")
+    own = F.col("record_group_id").isNotNull()
+    add(families, "family", F.when(own, "accept").otherwise("new"), F.col("record_group_id"), none_text, F.when(own, sure))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)

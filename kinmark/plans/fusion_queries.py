@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinmark.functions.identifiers import SUBFIELD_ORDER
 from kinmark.operators import audit, export, fusion, grouping, lineage, lookup, matching
 from kinmark.operators.blocking import headings
 from kinmark.plans import sqltext as S
-from kinmark.plans.lookup_queries import _DOCS, _RANK, _SPIRIT, _TOK, _TYPE
+from kinmark.plans import matchsql, xmlsql
+from kinmark.plans.lookup_queries import _DOCS, _GRAM, _RANK, _SPIRIT, _TOK, _TRI, _TYPE
 from kinmark.session import materialize, table
 from kinmark.sources import clusters as cluster_source
 from kinmark.sources import files
@@ -18,6 +20,10 @@ from kinmark.sources import records as record_source
 HOSTS = {"viaf": "http://authority.example/cluster/", "worldcat": "http://catalogue.example/identities/", "loc": "http://names.example/authorities/", "wiki": "http://wiki.example/"}
 
 
+#: Fixed value: the collection whose records state an authority's identifier.
+STATING = ["ead_bnf"]
+
+
 def _t(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     return [table(spark, sf_dir, n) for n in names]
 
@@ -47,19 +53,19 @@ def m_exact_corporate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def m_corporate_keyword(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pending bodies by keyword candidates and Jaro similarity."""
-    return matching.corporate_keyword(_pending(spark, sf_dir), headings(table(spark, sf_dir, "viaf_clusters")))
+    return matching.corporate_keyword(_pending(spark, sf_dir), headings(table(spark, sf_dir, "viaf_clusters")), whole=True)
 
 
 def m_keyword_person(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pending persons: first acceptable keyword candidate."""
     index, r = headings(table(spark, sf_dir, "viaf_clusters")), _pending(spark, sf_dir).where("r_type = 'person'")
-    return matching.first_acceptable(r, matching.keyword_candidates(r, index, whole=True), index)
+    return matching.keyword_person(r, index)
 
 
 def m_ngram_person(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pending persons: first acceptable n-gram candidate."""
     index, r = headings(table(spark, sf_dir, "viaf_clusters")), _pending(spark, sf_dir).where("r_type = 'person'")
-    return matching.first_acceptable(r, matching.ngram_candidates(r, index, whole=True), index)
+    return matching.ngram_person(r, index)
 
 
 def m_in_database(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,12 +83,18 @@ def f_namespaces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def m_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decision of the whole cascade for every pending record."""
     records, groups, merged, clusters = _t(spark, sf_dir, "original_records", "record_groups", "merged_records", "viaf_clusters")
-    return matching.cascade(_pending(spark, sf_dir), groups, records, merged, clusters)
+    pending = _pending(spark, sf_dir)
+    return matching.cascade(pending, groups, records, merged, clusters, record_source.same_as(pending.where(F.col("collection_id").isin(STATING))))
 
 
 def m_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of the pending records from the cascade's decisions."""
-    return grouping.group_records(_pending(spark, sf_dir), materialize(m_cascade(spark, sf_dir), "cascade"))
+    return grouping.group_records(_pending(spark, sf_dir), materialize(m_cascade(spark, sf_dir), "cascade"), table(spark, sf_dir, "record_groups"))
+
+
+def m_maybes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates to be looked at, of the pending records' groups."""
+    return grouping.maybe_rows(m_groups(spark, sf_dir))
 
 
 def m_identifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,6 +224,13 @@ def u_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fusion.relations(_children(spark, sf_dir, "relations").where("group_id IS NOT NULL").drop("child_no"), "group_id")
 
 
+def u_by_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Relations of every group after they were resolved, once for each merged record."""
+    records, merged = _t(spark, sf_dir, "original_records", "merged_records")
+    rows = _children(spark, sf_dir, "relations").where("group_id IS NOT NULL").drop("child_no")
+    return fusion.resolved_relations(rows, records, merged, "group_id").select("group_id", "record_id", "relation_no", "href", "role", "arcrole", "entry")
+
+
 def j_relation_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What becomes of every relation that names a record."""
     records, merged = _t(spark, sf_dir, "original_records", "merged_records")
@@ -359,13 +378,13 @@ def r_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields["biographies"] = rows.select("record_id", "group_id", "biog_citation", "biog_text", "biog_data")
     names = materialize(fusion.merged_names(_origin_entries(spark, sf_dir), "group_id"), "combined-names")
     sources = field("sources").select("group_id", F.col("term").alias("source"))
-    blocks = [
-        export.control(merged, records, groups, sources, TERM, AGENCY, STAMP),
-        export.identity(groups, names),
-        export.description(groups, clusters, records, fields, TERM),
-        export.relations(groups, clusters, merged, maybes, fields, HOSTS, TERM),
-    ]
-    return export.combined(groups, [materialize(b, "combined-block") for b in blocks], merged)
+    blocks = {
+        "control": export.control(merged, records, groups, sources, TERM, AGENCY, STAMP),
+        "identity": export.identity(groups, names),
+        "description": export.description(groups, clusters, records, fields, TERM),
+        "relations": export.relations(groups, clusters, records, merged, maybes, fields, HOSTS, TERM),
+    }
+    return export.combined(blocks, merged)
 
 
 def r_tombstone_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -377,9 +396,9 @@ def r_tombstone_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _FUNCTIONS = [
-    r_combined, r_tombstone_texts, m_in_group, m_exact_person, m_exact_corporate, m_corporate_keyword, m_keyword_person, m_ngram_person, m_in_database, f_namespaces, m_cascade, m_groups, m_identifier,
+    r_combined, r_tombstone_texts, m_in_group, m_exact_person, m_exact_corporate, m_corporate_keyword, m_keyword_person, m_ngram_person, m_in_database, f_namespaces, m_cascade, m_groups, m_maybes, m_identifier,
     a_subjects, a_places, a_occupations, a_functions, a_label_frequency, a_distinct_values, a_first_wins, a_untyped_preferred, a_citations, a_merged_names, a_name_scores, a_array_scores, a_exist_dates,
-    u_languages, u_relations, j_relation_targets, r_printed_sources, r_same_as, r_sources, r_new_merged, r_identifiers, r_split, r_absorb, r_tombstones, r_origins, r_refresh, r_remapped, r_audit,
+    u_languages, u_relations, u_by_target, j_relation_targets, r_printed_sources, r_same_as, r_sources, r_new_merged, r_identifiers, r_split, r_absorb, r_tombstones, r_origins, r_refresh, r_remapped, r_audit,
     s_loaded, s_clusters, s_cluster_names, s_cluster_addresses, s_backfill, s_files,
 ]
 QUERIES = {f.__name__: f for f in _FUNCTIONS}
@@ -437,7 +456,7 @@ r AS (
   UNION ALL
   SELECT gone.id, CASE WHEN found.new IS NULL THEN 'lost' WHEN holder IS NOT NULL THEN 'merge' ELSE 'repoint' END, found.new, holder FROM gone LEFT JOIN found USING (id) LEFT JOIN holder ON holder.new = found.new)"""
 _WORDS_OF_BODY = _TOK.format(S.collapse(_ck("name_norm")))
-_BODY_RANK = _RANK.format(docs=_DOCS, dterms=_TOK.format(S.collapse("text")), qterms=_WORDS_OF_BODY, type=_TYPE.format("r_type"), spirit=_SPIRIT, rare=1).replace("WHERE name_norm IS NOT NULL", "WHERE name_norm IS NOT NULL AND record_group_id IS NULL AND r_type = 'corporateBody'").replace("SELECT qid, did, shared, rank FROM k WHERE rank <= 10", "")
+_BODY_RANK = _RANK.format(docs=_DOCS, dterms=_TOK.format(S.collapse("text")), qterms=_WORDS_OF_BODY, type=_TYPE.format("r_type"), spirit=_SPIRIT).replace("WHERE name_norm IS NOT NULL", "WHERE name_norm IS NOT NULL AND record_group_id IS NULL AND r_type = 'corporateBody'").replace("SELECT qid, did, shared, rank FROM k WHERE rank <= 10", "")
 ORACLE = {
     "m_corporate_keyword": _BODY_RANK
     + f""", hd AS (SELECT viaf_id, unnest(range(0, len(headings))) AS pos, unnest(headings) AS heading FROM viaf_clusters),
@@ -495,4 +514,22 @@ UNION ALL SELECT group_id, '{HOSTS['loc']}' || h.lccn_lcid FROM h WHERE h.lccn_l
     "r_remapped": f"WITH {_REFRESH} SELECT c.id, coalesce(r.into_group, c.record_group_id) AS record_group_id, c.candidate_type, c.candidate_id FROM maybe_candidates c LEFT JOIN r ON r.id = c.record_group_id AND r.action = 'merge'",
     "s_backfill": "WITH t AS (SELECT path, min_by(record_data, id) AS d FROM original_records WHERE record_data IS NOT NULL GROUP BY 1) SELECT o.id, length(coalesce(o.record_data, t.d)) AS n FROM original_records o LEFT JOIN t ON t.path = o.path",
     "s_files": "SELECT replace(regexp_replace(canonical_id, '^ark:/', ''), '/', '-') || '.xml' AS file_name, record_data AS xml FROM merged_records WHERE canonical_id IS NOT NULL AND record_data IS NOT NULL",
-}
+} | xmlsql.FIELDS
+
+_PENDING = "WHERE name_norm IS NOT NULL AND record_group_id IS NULL AND r_type = 'person'"
+_BEGIN, _END = _QF.format("a.af", "a.at"), _QT.format("a.af", "a.at")
+
+
+def _person_rank(doc: str, query: str) -> str:
+    sql = _RANK.format(docs=_DOCS, dterms=doc.format(S.collapse("text")), qterms=query.format(S.collapse("name_norm")), type=_TYPE.format("r_type"), spirit=_SPIRIT)
+    return matchsql.acceptable(sql.replace("WHERE name_norm IS NOT NULL", _PENDING).rsplit("SELECT qid", 1)[0].rstrip(), _AUTH, _BEGIN, _END)
+
+
+ORACLE |= {"m_keyword_person": _person_rank(_TOK, _TOK), "m_ngram_person": _person_rank(_GRAM, _GRAM), "r_audit": matchsql.AUDIT}
+ORACLE["m_in_database"] = matchsql.in_database(_TRI, _QF.format("x.from_date", "x.to_date"), _QT.format("x.from_date", "x.to_date"))
+ORACLE["m_cascade"] = matchsql.cascade(*[ORACLE[k] for k in ("m_in_group", "m_exact_person", "m_keyword_person", "m_ngram_person", "m_exact_corporate", "m_corporate_keyword")])
+ORACLE["m_groups"] = matchsql.groups(ORACLE["m_cascade"])
+ORACLE["m_maybes"] = f"SELECT group_no, group_id, 'viaf' AS candidate_type, maybe_viaf_id AS candidate_id FROM ({ORACLE['m_groups']}) WHERE maybe_viaf_id IS NOT NULL"
+ORACLE["s_loaded"] = xmlsql.loaded(S.name_key("name"), S.authority_date("bt", False), S.authority_date("et", True))
+ORACLE["s_cluster_names"] = xmlsql.cluster_names(SUBFIELD_ORDER)
+ORACLE["r_tombstone_texts"] = xmlsql.tombstones(export.NAMESPACES, TERM, AGENCY, STAMP)

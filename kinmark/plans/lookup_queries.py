@@ -117,13 +117,13 @@ def j_exact_heading(spark: SparkSession, sf_dir: str) -> DataFrame:
 def j_keyword(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten best clusters of every record by words."""
     records, clusters = _t(spark, sf_dir, "original_records", "viaf_clusters")
-    return blocking.keyword_candidates(records, blocking.headings(clusters))
+    return blocking.keyword_candidates(records, blocking.headings(clusters), whole=True)
 
 
 def j_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten best clusters of every record by trigrams."""
     records, clusters = _t(spark, sf_dir, "original_records", "viaf_clusters")
-    return blocking.ngram_candidates(records, blocking.headings(clusters))
+    return blocking.ngram_candidates(records, blocking.headings(clusters), whole=True)
 
 
 def j_close_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,7 +217,7 @@ q AS (SELECT id AS qid, {type} AS name_type, {spirit} AS spirit, {qterms} AS ter
 dt AS (SELECT did, name_type, spirit, unnest(terms) AS term FROM d),
 df AS (SELECT name_type, spirit, term, count(*) AS df FROM dt GROUP BY 1, 2, 3),
 qt AS (SELECT q.qid, q.name_type, q.spirit, q.term, row_number() OVER (PARTITION BY qid ORDER BY df.df, q.term) AS r FROM (SELECT qid, name_type, spirit, unnest(terms) AS term FROM q) q JOIN df USING (name_type, spirit, term)),
-c AS (SELECT DISTINCT qt.qid, dt.did FROM qt JOIN dt USING (name_type, spirit, term) WHERE r <= {rare}),
+c AS (SELECT DISTINCT qt.qid, dt.did FROM qt JOIN dt USING (name_type, spirit, term)),
 s AS (SELECT c.qid, c.did, len(list_intersect(q.terms, d.terms)) AS shared, len(q.terms) + len(d.terms) AS total FROM c JOIN q USING (qid) JOIN d USING (did)),
 k AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY shared DESC, shared / (total - shared) DESC, did) AS rank FROM s)
 SELECT qid, did, shared, rank FROM k WHERE rank <= 10
@@ -244,8 +244,8 @@ ORACLE = {
     "j_of_collections": f"SELECT {_M} FROM merged_records m WHERE record_group_id IN (SELECT record_group_id FROM original_records WHERE record_group_id IS NOT NULL AND collection_id IN ('nordlach', 'tobra2'))",
     "j_same_name": "SELECT o.id AS record_id, min(g.id) AS group_id FROM original_records o JOIN record_groups g ON g.g_type = o.r_type AND g.name = o.name_norm GROUP BY 1",
     "j_exact_heading": f"WITH h AS (SELECT {S.name_key('heading')} AS key, name_type, spirit, min(viaf_id) AS viaf_id FROM (SELECT viaf_id, name_type, coalesce(spirit, false) AS spirit, unnest(headings) AS heading FROM viaf_clusters) GROUP BY 1, 2, 3) SELECT o.id AS record_id, h.viaf_id FROM original_records o JOIN h ON h.key = o.name_norm AND h.name_type = {_TYPE.format('o.r_type')} AND h.spirit = coalesce(contains(lower(o.name), '(spirit)'), false)",
-    "j_keyword": _RANK.format(docs=_DOCS, dterms=_TOK.format(S.collapse("text")), qterms=_TOK.format(S.collapse("name_norm")), type=_TYPE.format("r_type"), spirit=_SPIRIT, rare=1),
-    "j_ngram": _RANK.format(docs=_DOCS, dterms=_GRAM.format(S.collapse("text")), qterms=_GRAM.format(S.collapse("name_norm")), type=_TYPE.format("r_type"), spirit=_SPIRIT, rare=3),
+    "j_keyword": _RANK.format(docs=_DOCS, dterms=_TOK.format(S.collapse("text")), qterms=_TOK.format(S.collapse("name_norm")), type=_TYPE.format("r_type"), spirit=_SPIRIT),
+    "j_ngram": _RANK.format(docs=_DOCS, dterms=_GRAM.format(S.collapse("text")), qterms=_GRAM.format(S.collapse("name_norm")), type=_TYPE.format("r_type"), spirit=_SPIRIT),
     "j_close_names": "WITH t AS (SELECT DISTINCT substr(name, 1, 254) AS t FROM record_groups WHERE name IS NOT NULL) SELECT a.t AS a, b.t AS b, levenshtein(a.t, b.t) AS distance FROM t a JOIN t b ON a.t < b.t AND abs(length(a.t) - length(b.t)) < 5 WHERE levenshtein(a.t, b.t) < 5",
     "j_similar_names": f"WITH t AS (SELECT name AS t, {_TRI} AS g FROM (SELECT DISTINCT name FROM record_groups WHERE name IS NOT NULL)) SELECT a.t AS a, b.t AS b, round(len(list_intersect(a.g, b.g)) / len(list_distinct(list_concat(a.g, b.g))), 6) AS similarity FROM t a JOIN t b ON a.t < b.t AND len(a.g) > 0 AND least(len(a.g), len(b.g)) > 0.75 * greatest(len(a.g), len(b.g)) WHERE len(list_intersect(a.g, b.g)) / len(list_distinct(list_concat(a.g, b.g))) > 0.75",
     "j_source_code": "WITH k AS (SELECT source, min(viaf_id) AS viaf_id FROM (SELECT viaf_id, unnest(sources) AS source FROM viaf_clusters) GROUP BY 1), c AS (SELECT g.id, unnest(range(0, len(v.sources))) AS pos, unnest(v.sources) AS source FROM record_groups g JOIN viaf_clusters v ON v.viaf_id = g.viaf_id) SELECT c.id, min_by(k.viaf_id, c.pos) AS viaf_id FROM c JOIN k USING (source) GROUP BY 1",
@@ -263,3 +263,21 @@ SELECT id, mid AS other_id, 'forward' AS direction FROM fwd WHERE r_type = mtype
     "t_newest": "SELECT record_group_id, entry_id, rank FROM (SELECT record_group_id, entry_id, row_number() OVER (PARTITION BY record_group_id ORDER BY updated_at DESC, entry_id) AS rank FROM merged_name_entries) WHERE rank <= 3",
     "s_arrivals": "SELECT collection_id, cast(floor(epoch(created_at) / 2592000) * 2592000 AS BIGINT) AS from_s, count(*) AS n FROM original_records GROUP BY 1, 2",
 }
+
+_ALL = "list_concat(coalesce(headings, []), list_concat(coalesce(list_transform(auth_forms, lambda x: x.name), []), coalesce(list_transform(alt_forms, lambda x: x.name), [])))"
+
+
+def _keys(name: str, values: str, key: str) -> str:
+    return f"SELECT '{name}' AS name, viaf_id, {key} AS key FROM (SELECT viaf_id, unnest({values}) AS v FROM viaf_clusters WHERE viaf_id IS NOT NULL) WHERE v IS NOT NULL"
+
+
+_V = "list_transform(alt_forms, lambda x: x.name)"
+_WORDS_OF, _GRAMS_OF = f"unnest({_TOK.format(S.collapse('v'))})", f"unnest({_GRAM.format(S.collapse('v'))})"
+_INDEX = " UNION ALL ".join(
+    [
+        _keys("idnumber", "sources", "replace(v, '|', ' ')"), _keys("viafid", "[viaf_id]", "v"), _keys("xmainname", "headings", S.name_key("v")), _keys("mainname", "headings", _WORDS_OF), _keys("seerefs", _V, _WORDS_OF),
+        _keys("birthdate", "[CASE WHEN birth <> '0' THEN birth END]", "v"), _keys("deathdate", "[CASE WHEN death <> '0' THEN death END]", "v"), _keys("xmainnamenn", "headings", "v"), _keys("mainnamenn", "headings", "unnest(regexp_split_to_array(v, '\\s+'))"),
+        _keys("xallnames", _ALL, S.name_key("v")), _keys("allnames", _ALL, _WORDS_OF), _keys("allnamesngram", _ALL, _GRAMS_OF), _keys("mainnamengram", "headings", _GRAMS_OF), _keys("nametype", "[lower(name_type)]", "v"), _keys("spirit", "[CASE WHEN spirit THEN '1' ELSE '0' END]", "v"),
+    ]
+)
+ORACLE["x_index_sizes"] = f"SELECT name AS index, count(DISTINCT key) AS keys, count(DISTINCT (viaf_id, key)) AS entries FROM ({_INDEX}) WHERE key <> '' GROUP BY 1 UNION ALL SELECT 'seealso', 0, 0"

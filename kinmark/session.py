@@ -12,9 +12,6 @@ import zipfile
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-#: A side may be broadcast when its estimated size stays below this many bytes.
-BROADCAST_BYTES = 8 << 20
-
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once for each Spark context.

@@ -18,9 +18,9 @@ from kinmark.functions.identifiers import assembled_name, gender, lc_id, lc_numb
 FIELDS = """
 viaf_id string, name_type string, headings array<string>, heading_sources array<struct<name:string,sources:array<string>>>, heading_ids array<struct<id:string,source:string>>,
 variants array<struct<tag:string,dtype:string,subfields:array<struct<code:string,value:string>>>>,
-gender_code string, birth string, death string, titles array<string>, languages array<string>, nationalities array<string>, sources array<string>
+gender_code string, birth string, death string, titles array<string>, languages array<string>, nationalities array<string>, sources array<string>, see_also array<string>
 """
-_NAMES = ["viaf_id", "name_type", "headings", "heading_sources", "heading_ids", "variants", "gender_code", "birth", "death", "titles", "languages", "nationalities", "sources"]
+_NAMES = ["viaf_id", "name_type", "headings", "heading_sources", "heading_ids", "variants", "gender_code", "birth", "death", "titles", "languages", "nationalities", "sources", "see_also"]
 
 
 def _text(e: ET.Element | None) -> str | None:
@@ -45,10 +45,12 @@ def fields(xml: str | None) -> tuple | None:
         f = x.find(q("datafield"))
         if f is not None:
             variants.append((f.get("tag"), f.get("dtype"), [(s.get("code"), _text(s)) for s in f.findall(q("subfield"))]))
+    # names of related entities, subfields in their order
+    related = [" ".join(t for s in f.findall(q("subfield")) if (t := _text(s))) for x in root.findall(q("x500s/x500")) for f in x.findall(q("datafield"))]
     one = lambda p: _text(root.find(q(p)))
     return (
         one("viafID"), one("nameType"), [n for n, _ in data if n], data, ids, variants, one("fixed/gender"), one("birthDate"), one("deathDate"),
-        texts("titles//data/text"), texts("languageOfEntity//data/text"), texts("nationalityOfEntity//data/text"), texts("sources/source"),
+        texts("titles//data/text"), texts("languageOfEntity//data/text"), texts("nationalityOfEntity//data/text"), texts("sources/source"), [r for r in related if r],
     )
 
 

@@ -7,6 +7,7 @@ written; writing an empty table makes an empty folder.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,19 +47,44 @@ def file_rows(records: DataFrame, xml: str = "record_data") -> DataFrame:
     return records.where(F.col("canonical_id").isNotNull() & F.col(xml).isNotNull()).select(ark_file_name(F.col("canonical_id")).alias("file_name"), F.col(xml).alias("xml"))
 
 
+def shared_folder(spark: SparkSession, folder: str) -> str:
+    """The folder as an address that all executors understand.
+
+    A path without scheme belongs to the default file system of the cluster; a
+    machine's own disk is refused there, as every executor would write to its own.
+    """
+    if "://" not in folder:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        base = str(jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(conf)).rstrip("/")
+        folder = f"file://{os.path.abspath(folder)}" if base.startswith("file:") else f"{base}/{folder.lstrip('/')}"
+    if folder.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or ""
+        if not shared.startswith("file:") or not folder.startswith(shared.rstrip("/") + "/"):
+            raise ValueError(f"{folder} is a machine's own disk: name a folder that all executors share")
+    return folder
+
+
 def write_files(rows: DataFrame, folder: str) -> DataFrame:
-    """Write one file per row (file_name, xml) from the executors, each under a temporary name first; gives file_name, bytes."""
+    """Write one file per row (file_name, xml) from the executors into a shared folder; gives file_name, bytes.
+
+    Each file is written whole under a name of its own attempt and then moved to
+    its place, so that a repeated task does no harm.
+    """
+    folder = shared_folder(rows.sparkSession, folder)
 
     def run(batches: Iterator) -> Iterator:
-        os.makedirs(folder, exist_ok=True)
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(folder)
+        system.create_dir(base, recursive=True)
         for batch in batches:
             sizes = []
             for name, text in zip(batch["file_name"], batch["xml"], strict=True):
                 data = text.encode()
-                part = os.path.join(folder, f".{name}.{os.getpid()}")
-                with open(part, "wb") as f:
+                part = f"{base}/.{name}.{uuid.uuid4().hex}"
+                with system.open_output_stream(part) as f:
                     f.write(data)
-                os.replace(part, os.path.join(folder, name))
+                system.move(part, f"{base}/{name}")
                 sizes.append(len(data))
             yield batch[["file_name"]].assign(bytes=sizes)
 

@@ -20,6 +20,8 @@ from kinmark.functions.normalize import name_key
 from kinmark.operators.lookup import loadable
 from kinmark.operators.nested import XLINK_HREF
 
+# Fixed value: the role of a relation to the same entity elsewhere.
+SAME_AS = "http://www.w3.org/2002/07/owl#sameAs"
 TYPES = ("person", "corporateBody", "family")
 _LANG = "{http://www.w3.org/XML/1998/namespace}lang"
 _XLINK = "{http://www.w3.org/1999/xlink}"
@@ -187,6 +189,12 @@ def load_collection(spark: SparkSession, name: str, registry: dict[str, str], ba
     return loadable(named, list(strict)).withColumn("id", F.shiftrightunsigned(F.xxhash64("path"), 1)).withColumn("processed", F.lit(False))
 
 
+def same_as(records: DataFrame) -> DataFrame:
+    """record_id, href: the first address of each record that its XML declares to be the same."""
+    rows = parsed(records, ["id"], "record_data").select(F.col("id").alias("record_id"), F.filter("relations", lambda r: r["arcrole"] == SAME_AS)[0]["href"].alias("href"))
+    return rows.where("href IS NOT NULL AND href <> ''")
+
+
 def backfilled(records: DataFrame, texts: DataFrame) -> DataFrame:
     """Records whose text is missing get that of their path."""
     found = texts.select("path", F.col("record_data").alias("_text"))

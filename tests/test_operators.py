@@ -251,3 +251,87 @@ def test_records_with_close_and_similar_names(spark, names):
     assert {tuple(r) for r in blocking.close_records(df).collect()} == {(x[0], y[0], d) for x, y in pairs if (d := levenshtein(x[1], y[1][:254])) < 5}
     score = lambda a, b: len(trigrams(a) & trigrams(b)) / max(1, len(trigrams(a) | trigrams(b)))
     assert {(r.record_id, r.other_id) for r in blocking.similar_records(df, 0.4).collect()} == {(x[0], y[0]) for x, y in pairs if score(x[1], y[1]) > 0.4}
+
+
+def test_records_go_to_groups_that_are_there(spark, world):
+    schema = "record_id bigint, decision string, group_id bigint, viaf_id string"
+    decisions = [(2, "accept", 77, None), (3, "accept", 77, None), (4, "accept", None, "v2"), (5, "maybe", None, "v2"), (6, "accept", None, "v3"), (7, "accept", None, "v3"), (8, "accept", None, "v2")]
+    groups = spark.createDataFrame([(77, "doe", "person", None), (78, "roe", "person", "v2"), (79, "roe", "person", "v2"), (70, "gone", "invalid", "v3")], "id bigint, name string, g_type string, viaf_id string")
+    out = grouping.group_records(world[0], spark.createDataFrame(decisions, schema), groups)
+    got = {r.record_id: r for r in out.collect()}
+    assert [(got[i].group_id, got[i].group_no) for i in (2, 3)] == [(77, 2)] * 2 and got[2].viaf_id is None
+    assert (got[4].group_id, got[4].viaf_id) == (78, "v2") and got[8].group_id == 78
+    assert got[5].group_id is None and got[5].viaf_id is None and got[5].maybe_viaf_id == "v2"
+    assert got[6].group_no == got[7].group_no == 6 and got[6].group_id is None and got[6].viaf_id == "v3"
+    assert [(r.group_no, r.candidate_type, r.candidate_id) for r in grouping.maybe_rows(out).collect()] == [(5, "viaf", "v2")]
+    assert len(got) == 10 and grouping.group_records(world[0].limit(0), spark.createDataFrame([], schema), groups.limit(0)).count() == 0
+
+
+def test_a_group_keeps_its_authority(spark, world):
+    groups = spark.createDataFrame([(77, "doe", "person", "v5")], "id bigint, name string, g_type string, viaf_id string")
+    decisions = spark.createDataFrame([(2, "accept", 77, "v1"), (3, "accept", 77, None)], "record_id bigint, decision string, group_id bigint, viaf_id string")
+    got = {r.record_id: (r.group_id, r.viaf_id) for r in grouping.group_records(world[0], decisions, groups).collect()}
+    assert got[2] == got[3] == (77, "v5")
+
+
+def test_new_groups_by_name(spark):
+    rows = [record(i, kind, name, f=f) for i, (kind, name, f) in enumerate([("person", "Doe, J.", None), ("person", "Doe, J.", None), ("person", "Doe, Jane Quincy", 1900), ("person", "Doe, Jane Quincy", 1900), ("person", "Doe, Jane Quincy", 1901), ("corporateBody", "Acme Widget Manufacturing", None), ("corporateBody", "Acme Widget Manufacturing", None), ("family", "Doe Roe Poe family of Leeds and York", None), ("family", "Doe Roe Poe family of Leeds and York", None), ("person", None, None), ("person", None, None)], 1)]
+    none = spark.createDataFrame([], "record_id bigint, decision string, viaf_id string")
+    got = {r.record_id: r.group_no for r in grouping.group_records(spark.createDataFrame(rows, RECORD), none).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 3, 5: 5, 6: 6, 7: 6, 8: 8, 9: 9, 10: 10, 11: 11}
+
+
+def test_cascade_begins_with_identifiers(spark, world):
+    records, groups, merged, clusters = world
+    clusters = clusters.withColumn("sources", F.when(F.col("viaf_id") == "v2", F.array(F.lit("BNF|cb12"))))
+    ids = spark.createDataFrame([(2, "http://x.example/ark/cb12/PUBLIC"), (8, "http://x.example/ark/cb12"), (4, "http://x.example/none")], "record_id bigint, href string")
+    got = {r.record_id: (r.stage, r.decision, r.viaf_id) for r in matching.cascade(records.where("record_group_id IS NULL"), groups, records, merged, clusters, ids).collect()}
+    assert got[2] == got[8] == ("identifier", "accept", "v2") and got[4] == ("keyword", "accept", "v2") and len(got) == 9
+
+
+def test_a_family_stays_in_its_group(spark, world):
+    rows = spark.createDataFrame([record(1, "family", "Doe family", group=5), record(2, "family", "Doe family")], RECORD)
+    got = {r.record_id: (r.decision, r.group_id) for r in matching.cascade(rows, *(t.limit(0) if n != 1 else rows for n, t in enumerate((world[1], None, world[2], world[3])))).collect()}
+    assert got == {1: ("accept", 5), 2: ("new", None)}
+
+
+def test_resolved_relations(spark):
+    rel = [(7, 1, 1, "old", "r", "knows", "s1"), (7, 1, 2, "old2", "r", "child", "s1"), (7, 2, 1, "x", "r", "knows", "s2"), (7, 2, 2, "y", "r", "knows", "s3"), (7, 2, 3, "keep", "r", "knows", "s9"), (7, 2, 4, "h", "r", "knows", None), (7, 2, 5, "h", "r", "knows", None), (7, 2, 6, None, "r", "knows", None), (7, 2, 7, "z", "r", "knows", "s4"), (7, 2, 8, "w", "r", "knows", "s5"), (8, 3, 1, "old", "r", "knows", "s1")]
+    rows = spark.createDataFrame(rel, "group_id bigint, record_id bigint, relation_no int, href string, role string, arcrole string, source_id string")
+    records = spark.createDataFrame([(1, "s1", 1), (3, "s2", None), (4, "s3", 7), (5, "s4", 2), (6, "s5", 3)], "id bigint, source_id string, record_group_id bigint")
+    merged = spark.createDataFrame([(5, 1, "ark5", True), (6, 2, None, True), (7, 3, "ark7", False)], "id bigint, record_group_id bigint, canonical_id string, valid boolean")
+    got = {(r.group_id, r.record_id, r.relation_no, r.href) for r in fusion.resolved_relations(rows, records, merged, "group_id").collect()}
+    # no group or no merged record: left out; unknown and invalid ones stay; one without identifier gets an empty target
+    assert got == {(7, 1, 1, "ark5"), (7, 2, 3, "keep"), (7, 2, 4, "h"), (7, 2, 6, None), (7, 2, 7, ""), (7, 2, 8, "w"), (8, 3, 1, "ark5")}
+
+
+def test_a_name_of_a_third_of_all_records_is_searched_once(spark, world):
+    """Equal records are one query: the searches see as many as there are different ones."""
+    _, _, _, clusters = world
+    rows = spark.createDataFrame([record(i, "person", "Roe, Richard Miles", f=1850, t=1900) for i in range(3000)] + [record(9000 + i, "person", f"Poe, Edgar {chr(97 + i)}") for i in range(5)], RECORD)
+    index = blocking.headings(clusters)
+    seen = []
+
+    def match(r):
+        seen.append(r.count())
+        return matching.first_acceptable(r, blocking.keyword_candidates(r, index, whole=True), index)
+
+    got = matching.by_kind(rows, match)
+    assert seen == [6] and got.where("viaf_id = 'v2'").count() == 3000
+    sets, back = blocking._term_sets(rows.select(F.col("id").alias("qid"), F.lit("p").alias("part"), blocking.tokens(F.col("name_norm")).alias("terms")))
+    assert sets.count() == 6 and back(sets.select("qid")).count() == 3005
+    other = matching.in_database(rows.where("id % 2 = 0"), rows.where("id % 2 = 1 OR id IN (0, 2)"))
+    lowest = {r.record_id: r.other_id for r in other.where("record_id < 9000").collect()}
+    assert lowest[0] == 1 and lowest[2] == 0 and set(lowest.values()) == {0, 1} and len(lowest) == 1500
+
+
+def test_unknown_dates_are_no_other_kind(spark):
+    rows = spark.createDataFrame([record(1, "person", "Doe", f=1900), record(2, "person", "Doe", t=1900), record(3, "person", "Doe")], RECORD)
+    assert rows.select(matching.told_apart()).distinct().count() == 3
+
+
+def test_short_names_at_every_distance(spark):
+    rng = random.Random(4)
+    words = sorted({"".join(rng.choice("abcdefg") for _ in range(rng.choice([0, 1, 3, 4, 5, 6, 8, 9, 11]))) for _ in range(160)})
+    got = {(r.a, r.b, r.distance) for r in blocking.close_names(spark.createDataFrame([(w,) for w in words], "name string")).collect()}
+    assert got == {(a, b, d) for a, b in itertools.combinations(words, 2) if (d := levenshtein(a, b)) < 5}
