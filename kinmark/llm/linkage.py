@@ -43,7 +43,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinmark.llm.names import agree, error_keys, formal, lcs_ratio, near
+from kinmark.llm.names import LONG_GIVEN, agree, error_keys, formal_names, lcs_ratio, near, near_keys
 from kinmark.session import materialize
 
 KEEP = 0.5
@@ -116,16 +116,18 @@ def attributes(forms: DataFrame, works: DataFrame | None = None) -> DataFrame:
     when = lambda cond, k: F.when(cond, F.array(k))
     has_b, has_d = F.col("b").isNotNull(), F.col("d").isNotNull()
     full, second = F.length("first") > 1, F.substring("second", 1, 1)
+    once = full & (F.col("i") == F.substring("initials", 1, 1))  # what does not depend on the letter, of one of a name's rows only
     # a record without years is compared with all, one with years with those of the same year and those without
-    sides = [("Gehw12", ~is_record | undated), ("ufgx", undated | is_record)]
+    sides = [("Gehwl", ~is_record | undated), ("ufgxm", undated | is_record)]
     undated_keys = []
     for tags, side in sides:
         each = lambda tag, arr: F.transform(arr, lambda x: key(tag, "core", x))
         undated_keys += [
-            F.when(side & full, each(tags[0], F.col("formals"))),
-            F.when(side & (F.length("first") > 3), each(tags[1], error_keys(F.col("first")))),
+            F.when(side & once, each(tags[0], F.col("formals"))),
+            F.when(side & once, each(tags[1], near_keys(F.col("first")))),
             F.when(side & (second != ""), F.array(key(tags[2], "core", F.concat(F.col("i"), F.lit("."), second)))),
             F.when(side & F.col("works").isNotNull(), F.transform("works", lambda w: key(tags[3], "core", F.concat(F.col("i"), F.lit(" "), w)))),
+            F.when(side & (F.length("first") >= LONG_GIVEN), F.array(key(tags[4], "core", "i"))),
         ]
     open_side = sides[0][1]
     keys = F.array_distinct(
@@ -138,8 +140,8 @@ def attributes(forms: DataFrame, works: DataFrame | None = None) -> DataFrame:
                     when(has_d, key("d1", starts, "i", "d")),
                     when(has_b, key("b2", ends, "i", "b")),
                     when(has_d, key("d2", ends, "i", "d")),
-                    when(open_side & full, key("g1", starts, "first")),
-                    when(open_side & full, key("g2", ends, "first")),
+                    when(open_side & once, key("g1", starts, "first")),
+                    when(open_side & once, key("g2", ends, "first")),
                     *undated_keys,
                 )
             )
@@ -154,16 +156,6 @@ def attributes(forms: DataFrame, works: DataFrame | None = None) -> DataFrame:
     return exact.select("node", "attr", "firm").unionByName(one_error(exact)).distinct()
 
 
-def formal_names(first: Column) -> Column:
-    """Column of the formal given names a typed one may stand for."""
-
-    @F.pandas_udf("array<string>")
-    def names(first: pd.Series) -> pd.Series:
-        return pd.Series([sorted(formal(x)) if x else [] for x in first], dtype=object)
-
-    return names(first)
-
-
 def neighbour_keys(forms: DataFrame, works: DataFrame, relations: DataFrame | None) -> DataFrame:
     """rec, attr: records of one family name and initial that share a work or what they are related to."""
     told = works.where(F.col("node").startswith("r")).select("node", F.xxhash64(F.lit("w"), "work").alias("e"))

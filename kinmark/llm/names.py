@@ -73,6 +73,8 @@ _YEARS = re.compile(r"(?:(?<!\d)(\d{4})\s*-\s*(\d{4})?(?!\d))|(?:\bb\.?\s*(\d{4}
 _WORDS = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 _PAREN = re.compile(r"\(([^()]*)\)")
 _KIND_SOUND = {sound(w): w for w in KIND_WORDS}
+#: Given names of at least so many letters may differ by more than one error.
+LONG_GIVEN = 9
 _SKIP = frozenset("the and of for on in inc a s ltd".split())
 
 
@@ -214,7 +216,13 @@ def agree(a: str, b: str) -> int:
         return 1 if {x[0] for x in fa} & {x[0] for x in fb} or a[0] == b[0] else -1
     if fa & fb:
         return 2
-    return 2 if lcs_ratio(a, b) >= 0.8 else -1
+    return 2 if one_given(a, b) else -1
+
+
+def one_given(a: str, b: str) -> bool:
+    """Whether two given names are one with typing errors: four fifths are common, and but for long ones all letters of the longer save one."""
+    ratio = lcs_ratio(a, b)
+    return ratio >= 0.8 and (ratio >= 1 - 1 / max(len(a), len(b)) - 1e-9 or min(len(a), len(b)) >= LONG_GIVEN)
 
 
 def lcs_ratio(a: str, b: str) -> float:
@@ -253,6 +261,30 @@ def error_keys(word):  # noqa: ANN001, ANN201
     return F.array_distinct(F.concat(F.coalesce(short, none), F.coalesce(long, none)))
 
 
+def near_keys(first):  # noqa: ANN001, ANN201
+    """Column of few keys of a given name; two names one error apart have one in common.
+
+    One error leaves three letters at one end of a name of seven and more; of
+    shorter ones there are few keys in all.
+    """
+    from pyspark.sql import functions as F
+
+    none, n = F.array().cast("array<string>"), F.length(first)
+    ends = F.array(F.concat(F.lit("<"), F.left(first, F.lit(3))), F.concat(F.lit(">"), F.right(first, F.lit(3))))
+    return F.concat(F.when(n <= 6, error_keys(first)).otherwise(none), F.when(n >= 6, ends).otherwise(none))
+
+
+def formal_names(first):  # noqa: ANN001, ANN201
+    """Column of the formal given names a typed one may stand for."""
+    from pyspark.sql import functions as F
+
+    @F.pandas_udf("array<string>")
+    def names(first: pd.Series) -> pd.Series:
+        return pd.Series([sorted(formal(x)) if x else [] for x in first], dtype=object)
+
+    return names(first)
+
+
 PARTS = "form string, core string, core2 string, first string, second string, initials string, birth int, death int"
 
 

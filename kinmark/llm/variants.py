@@ -37,12 +37,14 @@ visibly; an empty table gives no rows; a record without entries counts alone.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinmark.llm.lookalike import LetterModel
-from kinmark.llm.names import agree, lcs_ratio, parts_column
+from kinmark.llm.names import LONG_GIVEN, agree, error_keys, formal_names, lcs_ratio, parts_column
 from kinmark.operators.grouping import connected_components as components
 from kinmark.session import materialize
 
@@ -177,7 +179,14 @@ def profiles(forms: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def compared(prof: DataFrame) -> DataFrame:
-    """Pairs of distinct profiles of one family name that may be one person: v, w, rank and the years of w."""
+    """Pairs of distinct profiles of one family name that may be one person: v, w, rank and the years of w.
+
+    Profiles with years meet by year.  One without meets those that have a
+    formal given name in common, or one letter left out, or of whose given name
+    only the initial is known; the initial of two full given names, which would
+    make one block of a hot family name, is a key for long ones only, between
+    which several errors may lie.
+    """
     p = prof.select("vertex", "cls", "first", "second", "initials", "b", "d").dropDuplicates(["vertex"])
     by_letter = p.withColumn("i", F.explode(F.split("initials", "")))
     keyed = by_letter.where("i <> ''")
@@ -187,9 +196,20 @@ def compared(prof: DataFrame) -> DataFrame:
     left = lambda df: df.select("key", *[F.col(c).alias(f"{c}_v") for c in cols])
     right = lambda df: df.select("key", *[F.col(c).alias(f"{c}_w") for c in cols])
     same_year = left(dated).join(right(dated), "key").where("vertex_v < vertex_w")
-    letter = keyed.withColumn("key", F.xxhash64("cls", "i"))
-    no_year = letter.where("b IS NULL AND d IS NULL")
-    lacking = left(no_year).join(right(letter), "key").where("vertex_v <> vertex_w AND (b_w IS NOT NULL OR d_w IS NOT NULL OR vertex_v < vertex_w)")
+    size = F.length("first")
+    tagged = lambda df, tag, value: df.withColumn("key", F.xxhash64(F.lit(tag), "cls", value))
+    full, short = keyed.where(size > 1), keyed.where(size == 1)
+    given = p.where(size > 1).withColumn("formals", formal_names(F.col("first")))
+    named = given.withColumn("x", F.explode("formals"))
+    erring = given.withColumn("x", F.explode(error_keys(F.col("first"))))
+    alike = [tagged(named, "f", "x").drop("formals", "x"), tagged(erring, "e", "x").drop("formals", "x"), tagged(full.where(size >= LONG_GIVEN), "l", "i").drop("i")]
+    alike = reduce(DataFrame.unionByName, [df.select("key", *cols) for df in alike])
+    undated = F.col("b").isNull() & F.col("d").isNull()
+    meetings = [(alike.where(undated), alike), (tagged(short, "i", "i").where(undated), tagged(keyed, "i", "i")), (tagged(full, "s", "i").where(undated), tagged(short, "s", "i"))]
+    lacking = reduce(DataFrame.unionByName, [left(v).join(right(w), "key") for v, w in meetings]).where("vertex_v <> vertex_w")
+    # of two without years each pair stays once, whichever came first
+    swapped = F.col("b_w").isNull() & F.col("d_w").isNull() & (F.col("vertex_v") > F.col("vertex_w"))
+    lacking = lacking.select("key", *[F.when(swapped, F.col(f"{c}_{y}")).otherwise(F.col(f"{c}_{x}")).alias(f"{c}_{x}") for x, y in ("vw", "wv") for c in cols])
     pairs = same_year.unionByName(lacking).drop("key")
     pairs = pairs.where("coalesce(b_v <> b_w, false) = false AND coalesce(d_v <> d_w, false) = false").dropDuplicates(["vertex_v", "vertex_w"])
 
