@@ -1,8 +1,8 @@
 """Command line: load, match, merge, export and postprocess over a folder of parquet tables.
 
     python -m kinmark.cli load     --tables T --out O --collection NAME --base FOLDER
-    python -m kinmark.cli match    --tables T --out O [--type person|corporateBody|family] [--start N] [--end N] [--stating NAME ...]
-    python -m kinmark.cli merge    --tables T --out O [--identifiers FILE]
+    python -m kinmark.cli match    --tables T --out O [--type person|corporateBody|family] [--start N] [--end N] [--stating NAME ...] [--candidates]
+    python -m kinmark.cli merge    --tables T --out O [--identifiers FILE | --service ADDRESS]
     python -m kinmark.cli export   --tables T --out O [--since TIME] [--collection NAME ...] [--id ARK ...] [--listing FOLDER]
     python -m kinmark.cli postprocess --tables T --out O (reload | problems) [--start N] [--end N]
 
@@ -45,14 +45,18 @@ def match(spark: SparkSession, a: argparse.Namespace) -> dict[str, DataFrame]:
     stated = record_source.same_as(todo.where(F.col("collection_id").isin(a.stating or [])))
     decisions = materialize(matching.cascade(todo, groups, records, merged, clusters, stated), "cli-decisions")
     grouped = materialize(grouping.group_records(todo, decisions, groups), "cli-groups")
-    return {"decisions": decisions, "groups": grouped, "new_candidates": grouping.maybe_rows(grouped)}
+    out = {"decisions": decisions, "groups": grouped}
+    return out | {"new_candidates": grouping.maybe_rows(grouped)} if a.candidates else out
 
 
 def merge(spark: SparkSession, a: argparse.Namespace) -> dict[str, DataFrame]:
     """Merged records for groups without one, and identifiers for records without one."""
     groups, merged = table(spark, a.tables, "record_groups"), table(spark, a.tables, "merged_records")
     need = lookup.without_canonical_id(merged).count()
-    stock = files.read_identifiers(spark, a.identifiers) if a.identifiers else files.mint(spark, merged.count(), need)
+    if a.service:
+        stock = files.service_identifiers(spark, a.service, need)
+    else:
+        stock = files.read_identifiers(spark, a.identifiers) if a.identifiers else files.mint(spark, merged.count(), need)
     return {"new_merged_records": fusion.new_merged(groups, merged), "identifiers": fusion.assign_identifiers(merged, stock)}
 
 
@@ -102,9 +106,11 @@ def main(args: list[str] | None = None) -> None:
     p.add_argument("--start", type=int)
     p.add_argument("--end", type=int)
     p.add_argument("--identifiers")
+    p.add_argument("--service", help="address of a service that mints identifiers, with {} for their number")
     p.add_argument("--since")
     p.add_argument("--id", nargs="*")
     p.add_argument("--listing", help="export again the records by whose identifiers the files of this folder are named")
+    p.add_argument("--candidates", action="store_true", help="write the rows that the table of candidates gets as well")
     p.add_argument("--stating", nargs="*", help="collections whose records state an authority's identifier")
     a = p.parse_args(args)
     spark = SparkSession.builder.appName("kinmark").getOrCreate()

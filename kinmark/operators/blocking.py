@@ -198,7 +198,7 @@ def similar_names(names: DataFrame, bound: float = 0.75) -> DataFrame:
 
 
 def close_records(records: DataFrame, bound: int = 5) -> DataFrame:
-    """record_id, other_id, distance: every record and the other grouped records at an edit distance below ``bound``.
+    """record_id, other_id, distance: every record and the other grouped records at an edit distance below ``bound``, nearest first.
 
     Whole names are compared with the first 254 letters of the grouped records'
     names, as stored; equal names are at distance 0.
@@ -209,7 +209,7 @@ def close_records(records: DataFrame, bound: int = 5) -> DataFrame:
 
 
 def similar_records(records: DataFrame, bound: float = 0.75) -> DataFrame:
-    """record_id, other_id, similarity: every record and the other grouped records whose trigram similarity exceeds ``bound``."""
+    """record_id, other_id, similarity: every record and the other grouped records whose trigram similarity exceeds ``bound``, most similar first."""
     r, o = _record_texts(records, F.col("name_norm"))
     texts = r.select(F.col("a").alias("name")).distinct()
     same = texts.where(F.size(trigrams(F.col("name"))) > 0).select(F.col("name").alias("a"), F.col("name").alias("b"), F.lit(1.0).alias("similarity"))
@@ -223,4 +223,5 @@ def _record_texts(records: DataFrame, stored: Column) -> tuple[DataFrame, DataFr
 
 def _by_record(r: DataFrame, o: DataFrame, pairs: DataFrame, same: DataFrame, value: str) -> DataFrame:
     both = pairs.select("a", "b", value).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), value)).unionByName(same)
-    return r.join(both, "a").join(o, "b").where("record_id <> other_id").select("record_id", "other_id", value)
+    nearest = F.col(value) if value == "distance" else F.desc(value)
+    return r.join(both, "a").join(o, "b").where("record_id <> other_id").select("record_id", "other_id", value).orderBy("record_id", nearest, "other_id")

@@ -108,38 +108,33 @@ _ARROW = pa.schema(
 )
 
 
-@dataclass(frozen=True)
-class Node:
-    """What an element consists of."""
-
-    digest: bytes
-    text: str
-    tails: tuple[str, ...]
-    height: int
+def content(e: ET.Element) -> tuple[str, list[str]]:
+    """Text of an element and the texts after its children, if there are any; blanks count only where text and elements are mixed."""
+    text = e.text or ""
+    if not len(e):
+        return text.strip(_BLANK), []
+    if text.strip(_BLANK) or any(c.tail and c.tail.strip(_BLANK) for c in e):
+        return text, [c.tail or "" for c in e]
+    return "", []
 
 
-def nodes(root: ET.Element) -> dict[ET.Element, Node]:
-    """Every element's content and digest, bottom-up."""
-    out: dict[ET.Element, Node] = {}
+def digests(root: ET.Element) -> dict[ET.Element, bytes]:
+    """Digest of every element, bottom-up."""
+    out: dict[ET.Element, bytes] = {}
     for e in reversed(list(root.iter())):
-        mixed = len(e) and ((e.text or "").strip(_BLANK) or any(c.tail and c.tail.strip(_BLANK) for c in e))
-        text = (e.text or "") if mixed else (e.text or "").strip(_BLANK)
-        tails = tuple(c.tail or "" if mixed else "" for c in e)
-        parts = [e.tag.encode()]
-        for k, v in sorted(e.attrib.items()):
-            parts.append(f"\x1e{k}\x1d{v}".encode())
-        parts.append(b"\x1c" + text.encode())
-        for c, tail in zip(e, tails, strict=True):
-            parts.append(b"\x1b" + out[c].digest + tail.encode())
-        out[e] = Node(blake2b(b"".join(parts), digest_size=16).digest(), text, tails, 1 + max((out[c].height for c in e), default=-1))
+        text, tails = content(e)
+        head = e.tag
+        if e.attrib:
+            head += "".join(f"\x1e{k}\x1d{v}" for k, v in sorted(e.attrib.items()))
+        data = f"{head}\x1c{text}".encode()
+        if tails:
+            data += b"".join([b"\x1b" + out[c] + t.encode() for c, t in zip(e, tails, strict=True)])
+        elif len(e):
+            data += b"\x1b" + b"\x1b".join([out[c] for c in e])
+        out[e] = blake2b(data, digest_size=16).digest()
     return out
 
 
-def digests(root: ET.Element) -> dict[ET.Element, bytes]:
-    """Digest of every element."""
-    return {e: n.digest for e, n in nodes(root).items()}
-
-
 def _qualify(path: str, ns: str) -> str:
     return "/".join(p if p in ("", ".", "*") else ns + p for p in path.split("/"))
 
@@ -256,14 +251,17 @@ def store(df: DataFrame, owner_id: str, xml: str, label: str) -> tuple[DataFrame
                     root = ET.fromstring(text)
                 except (ET.ParseError, ValueError):
                     continue
-                all_nodes = nodes(root)
-                rows.append((owner, all_nodes[root].digest, None, None, None, None, None))
-                for e, n in all_nodes.items():
-                    if n.digest not in seen:
+                known = digests(root)
+                rows.append((owner, known[root], None, None, None, None, None))
+                height: dict[ET.Element, int] = {}
+                for e, digest in known.items():  # children come first
+                    height[e] = 1 + max((height[c] for c in e), default=-1)
+                    if digest not in seen:
                         if len(seen) > 1_000_000:  # bounds the task's memory; a repeat is merged by the aggregation
                             seen.clear()
-                        seen.add(n.digest)
-                        rows.append((None, n.digest, e.tag, sorted(e.attrib.items()), n.text, n.height, [{"digest": all_nodes[c].digest, "tail": t} for c, t in zip(e, n.tails, strict=True)]))
+                        seen.add(digest)
+                        text, tails = content(e)
+                        rows.append((None, digest, e.tag, sorted(e.attrib.items()), text, height[e], [{"digest": known[c], "tail": t} for c, t in zip(e, tails or [""] * len(e), strict=True)]))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_SUBTREE)], schema=_SUBTREE)
 
     source = df.where(F.col(xml).isNotNull()).select(F.col(owner_id).cast("long").alias("owner_id"), F.col(xml).alias("xml"))

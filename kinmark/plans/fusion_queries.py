@@ -10,6 +10,7 @@ from kinmark.operators import audit, export, fusion, grouping, lineage, lookup,
 from kinmark.operators.blocking import headings
 from kinmark.plans import sqltext as S
 from kinmark.plans import matchsql, xmlsql
+from kinmark.plans.lookup_queries import ORACLE as _LOOKUPS
 from kinmark.plans.lookup_queries import _DOCS, _GRAM, _RANK, _SPIRIT, _TOK, _TRI, _TYPE
 from kinmark.session import materialize, table
 from kinmark.sources import clusters as cluster_source
@@ -387,6 +388,24 @@ def r_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.combined(blocks, merged)
 
 
+#: What is counted in a merged record's XML, and the mark of it.
+PARTS = {
+    "n_sources": "<source>", "n_names": "<nameEntry ", "n_languages": "<language ", "n_functions": "<function>", "n_subjects": 'AssociatedSubject">', "n_places": "<place>", "n_occupations": "<occupation>",
+    "n_relations": "<cpfRelation", "n_resources": "<resourceRelation",
+}
+
+
+def r_combined_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the XML of every merged record consists of: its identifier, type, dates, and the number of its parts."""
+    x = r_combined(spark, sf_dir)
+    one = lambda pattern: F.nullif(F.regexp_extract("record_data", pattern, 1), F.lit(""))
+    counts = [F.regexp_count("record_data", F.lit(mark)).alias(n) for n, mark in PARTS.items()]
+    return x.select(
+        "canonical_id", "group_id", one("<recordId>([^<]*)<").alias("record_id"), one("<entityType>([^<]*)<").alias("kind"), one('<fromDate standardDate="([^"]*)"').alias("from_text"), one('<toDate standardDate="([^"]*)"').alias("to_text"),
+        F.array_join(F.array_sort(F.array_distinct(F.regexp_extract_all("record_data", F.lit('preferenceScore="([0-9]+)"'), F.lit(1)))), " ").alias("scores"), *counts,
+    )
+
+
 def r_tombstone_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The XML of every cancelled record."""
     merged, removed, records = _t(spark, sf_dir, "merged_records", "removed_references", "original_records")
@@ -396,7 +415,7 @@ def r_tombstone_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _FUNCTIONS = [
-    r_combined, r_tombstone_texts, m_in_group, m_exact_person, m_exact_corporate, m_corporate_keyword, m_keyword_person, m_ngram_person, m_in_database, f_namespaces, m_cascade, m_groups, m_maybes, m_identifier,
+    r_combined, r_combined_parts, r_tombstone_texts, m_in_group, m_exact_person, m_exact_corporate, m_corporate_keyword, m_keyword_person, m_ngram_person, m_in_database, f_namespaces, m_cascade, m_groups, m_maybes, m_identifier,
     a_subjects, a_places, a_occupations, a_functions, a_label_frequency, a_distinct_values, a_first_wins, a_untyped_preferred, a_citations, a_merged_names, a_name_scores, a_array_scores, a_exist_dates,
     u_languages, u_relations, u_by_target, j_relation_targets, r_printed_sources, r_same_as, r_sources, r_new_merged, r_identifiers, r_split, r_absorb, r_tombstones, r_origins, r_refresh, r_remapped, r_audit,
     s_loaded, s_clusters, s_cluster_names, s_cluster_addresses, s_backfill, s_files,
@@ -533,3 +552,21 @@ ORACLE["m_maybes"] = f"SELECT group_no, group_id, 'viaf' AS candidate_type, mayb
 ORACLE["s_loaded"] = xmlsql.loaded(S.name_key("name"), S.authority_date("bt", False), S.authority_date("et", True))
 ORACLE["s_cluster_names"] = xmlsql.cluster_names(SUBFIELD_ORDER)
 ORACLE["r_tombstone_texts"] = xmlsql.tombstones(export.NAMESPACES, TERM, AGENCY, STAMP)
+
+
+def _counted(name: str, sql: str, where: str = "true") -> str:
+    return f"{name} AS (SELECT group_id, count(*) AS n FROM ({sql}) WHERE {where} GROUP BY 1)"
+
+
+_MAYBE = f"""SELECT DISTINCT e.id, e.other_id, m.record_group_id AS group_id FROM ({_LOOKUPS['j_maybe_edges']}) e JOIN merged_records m ON m.id = e.id JOIN merged_records o ON o.id = e.other_id WHERE o.canonical_id IS NOT NULL AND o.name IS NOT NULL"""
+_COUNTS = {
+    "n_sources": ORACLE["r_sources"], "n_names": f"SELECT DISTINCT group_id, name_key FROM ({ORACLE['a_merged_names']})", "n_languages": ORACLE["u_languages"], "n_functions": ORACLE["a_functions"], "n_subjects": ORACLE["a_subjects"],
+    "n_places": f"WITH {xmlsql.RECORDS}, {xmlsql.PLACES} SELECT group_id FROM places WHERE group_id IS NOT NULL", "n_occupations": ORACLE["a_occupations"],
+    "n_relations": f"SELECT group_id FROM ({ORACLE['u_by_target']}) UNION ALL SELECT group_id FROM ({ORACLE['r_same_as']}) UNION ALL SELECT group_id FROM ({_MAYBE})",
+    "n_resources": f"WITH {xmlsql.RECORDS}, {xmlsql.RESOURCES} SELECT group_id FROM resources WHERE group_id IS NOT NULL UNION ALL SELECT g.id FROM record_groups g JOIN (SELECT viaf_id, unnest(titles) AS t FROM viaf_clusters) v ON v.viaf_id = g.viaf_id WHERE v.t IS NOT NULL",
+}
+ORACLE["r_combined_parts"] = f"""WITH {', '.join(_counted(k, v) for k, v in _COUNTS.items())}, dt AS ({ORACLE['a_exist_dates']}),
+sc AS (SELECT group_id, string_agg(DISTINCT lpad(cast(score AS VARCHAR), 2, '0'), ' ' ORDER BY lpad(cast(score AS VARCHAR), 2, '0')) AS scores FROM ({ORACLE['a_name_scores']}) GROUP BY 1)
+SELECT m.canonical_id, m.record_group_id AS group_id, m.canonical_id AS record_id, g.g_type AS kind, dt.from_text, dt.to_text, coalesce(sc.scores, '') AS scores, {', '.join(f'coalesce({k}.n, 0) AS {k}' for k in _COUNTS)}
+FROM merged_records m LEFT JOIN record_groups g ON g.id = m.record_group_id LEFT JOIN dt ON dt.group_id = m.record_group_id LEFT JOIN sc ON sc.group_id = m.record_group_id {' '.join(f'LEFT JOIN {k} ON {k}.group_id = m.record_group_id' for k in _COUNTS)}
+WHERE m.valid AND m.canonical_id IS NOT NULL AND m.record_group_id IS NOT NULL"""

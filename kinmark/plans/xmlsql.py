@@ -74,6 +74,7 @@ _SPAN = text(first("el", "span"))
 RELATIONS = children(
     "relations", "rel", "cpfRelation", f"{attribute('el', 'xlink:href')} AS href, {attribute('el', 'xlink:role')} AS role, {attribute('el', 'xlink:arcrole')} AS arcrole, {_term('relationEntry')} AS entry, regexp_replace({_SPAN}, '^recordId: ', '') AS source_id"
 )
+RESOURCES = children("resources", "rel", "resourceRelation", f"{_term('relationEntry')} AS entry", "entry IS NOT NULL")
 _REL = "SELECT record_id, group_id, child_no + 1 AS relation_no, href, role, arcrole, entry, source_id FROM relations"
 TARGETS = f"""
 rel AS ({_REL}),

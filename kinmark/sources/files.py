@@ -7,6 +7,7 @@ written; writing an empty table makes an empty folder.
 from __future__ import annotations
 
 import os
+import urllib.request
 import uuid
 from collections.abc import Iterator
 
@@ -32,6 +33,20 @@ def mint(spark: SparkSession, start: int, n: int, shoulder: str = "ark:/00000/k"
     return spark.range(start, start + n).select(F.concat(F.lit(shoulder), F.lpad(F.col("id").cast("string"), 12, "0")).alias("canonical_id"))
 
 
+def service_identifiers(spark: SparkSession, address: str, n: int) -> DataFrame:
+    """canonical_id: ``n`` new identifiers from a minting service; ``{}`` in its address stands for their number.
+
+    The service answers with lines ``id: identifier``; others are left out.  An
+    answer other than success raises.
+    """
+    with urllib.request.urlopen(address.replace("{}", str(n))) as answer:  # noqa: S310 (the address is the operator's own)
+        if (answer.status or 200) >= 300:
+            raise RuntimeError(f"{address}: status {answer.status}")
+        lines = answer.read().decode().splitlines()
+    ids = [(x.split(": ", 1)[1].strip(),) for x in lines if ": " in x]
+    return spark.createDataFrame(ids, "v string").where("v <> ''").select(full_ark(F.col("v")).alias("canonical_id"))
+
+
 def append_identifiers(ids: DataFrame, path: str) -> None:
     """Append identifiers to a list, one a line."""
     ids.select("canonical_id").where("canonical_id IS NOT NULL").write.mode("append").text(path)

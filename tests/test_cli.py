@@ -15,6 +15,7 @@ DATA = "/root/testdata/sf0.001"
     ("args", "tables"),
     [
         (["match", "--type", "corporateBody"], {"decisions", "groups"}),
+        (["match", "--candidates", "--end", "400"], {"decisions", "groups", "new_candidates"}),
         (["merge"], {"new_merged_records", "identifiers"}),
         (["postprocess", "problems", "--start", "1"], {"problems"}),
         (["postprocess", "reload"], {"refreshed"}),
@@ -43,3 +44,24 @@ def test_indexes(spark):
     assert index.sizes(df).count() == len(index.INDEXES)
     with pytest.raises(KeyError):
         index.keys(df, "none")
+
+
+def test_export_of_a_listing(spark, tmp_path):
+    arks = [r.canonical_id for r in spark.read.parquet(f"{DATA}/merged_records.parquet").where("valid AND canonical_id IS NOT NULL").orderBy("id").limit(3).collect()]
+    listing = tmp_path / "listing"
+    listing.mkdir()
+    names = {a.removeprefix("ark:/").replace("/", "-") + ".xml" for a in arks}
+    for n in names | {"00000-none.xml", "notes.txt"}:
+        (listing / n).write_text("old")
+    cli.main(["export", "--listing", str(listing), "--tables", DATA, "--out", str(tmp_path / "out")])
+    assert {p.split("/")[-1] for p in glob.glob(f"{tmp_path}/out/xml/*")} == names
+
+
+def test_see_also(spark):
+    from kinmark.sources import clusters
+
+    xml = '<c xmlns="u"><viafID>7</viafID><mainHeadings><data><text>Doe</text></data></mainHeadings><x500s><x500><datafield tag="500"><subfield code="a">Roe, J.</subfield><subfield code="d">1900</subfield></datafield></x500><x500><datafield/></x500></x500s></c>'
+    rows = clusters.parsed(spark.createDataFrame([(1, xml), (2, None)], "id bigint, viaf_record string"), ["id"], "viaf_record")
+    assert [r.see_also for r in rows.collect()] == [["Roe, J. 1900"]]
+    df = rows.select("viaf_id", "headings", "see_also").selectExpr("*", "cast(null as array<struct<name:string>>) auth_forms", "cast(null as array<struct<name:string>>) alt_forms")
+    assert {r.key for r in index.keys(df, "seealso").collect()} == {"roe", "j", "1900"} and {r.key for r in index.keys(df, "allnames").collect()} == {"doe", "roe", "j", "1900"}

@@ -3,6 +3,7 @@
 import datetime
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from kinmark.sources import clusters, files, records
@@ -73,3 +74,24 @@ def test_files(spark, tmp_path):
     files.append_csv(df.select(F.lit(1).alias("a")), str(tmp_path / "csv"))
     files.append_csv(df.select(F.lit(1).alias("a")), str(tmp_path / "csv"))
     assert spark.read.csv(str(tmp_path / "csv")).count() == 8
+
+
+def test_identifiers_of_a_service(spark, tmp_path):
+    (tmp_path / "mint-3").write_text("id: 00000/a\nid: ark:/00000/b\n\nbye\nid: \n")
+    got = files.service_identifiers(spark, f"file://{tmp_path}/mint-{{}}", 3)
+    assert sorted(r.canonical_id for r in got.collect()) == ["ark:/00000/a", "ark:/00000/b"]
+    with pytest.raises(OSError):
+        files.service_identifiers(spark, f"file://{tmp_path}/none-{{}}", 3)
+
+
+def test_a_machine_s_own_disk_is_no_place_for_files_of_a_cluster(spark, tmp_path, monkeypatch):
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    assert files.shared_folder(spark, str(tmp_path)) == f"file://{tmp_path}" and files.shared_folder(spark, "hdfs://h/x") == "hdfs://h/x"
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://h:7077")
+    with pytest.raises(ValueError, match="own disk"):
+        files.shared_folder(spark, str(tmp_path))
+    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
+    try:
+        assert files.shared_folder(spark, f"{tmp_path}/out") == f"file://{tmp_path}/out"
+    finally:
+        spark.conf.unset("spark.checkpoint.dir") if shared is None else spark.conf.set("spark.checkpoint.dir", shared)
