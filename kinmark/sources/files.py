@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinmark.functions.identifiers import ark_file_name, file_name_ark, full_ark
+from kinmark.session import named_shared_dir
 
 
 def read_identifiers(spark: SparkSession, path: str) -> DataFrame:
@@ -68,13 +69,18 @@ def shared_folder(spark: SparkSession, folder: str) -> str:
     A path without scheme belongs to the default file system of the cluster; a
     machine's own disk is refused there, as every executor would write to its own.
     """
-    if "://" not in folder:
+
+    def whole(path: str) -> str:
+        if "://" in path:
+            return path.rstrip("/")
         jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        base = str(jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(conf)).rstrip("/")
-        folder = f"file://{os.path.abspath(folder)}" if base.startswith("file:") else f"{base}/{folder.lstrip('/')}"
+        base = jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(conf).toString().rstrip("/")
+        return f"file://{os.path.abspath(path)}" if base.startswith("file:") else f"{base}/{path.strip('/')}"
+
+    folder = whole(folder)
     if folder.startswith("file:") and not spark.sparkContext.master.startswith("local"):
-        shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or ""
-        if not shared.startswith("file:") or not folder.startswith(shared.rstrip("/") + "/"):
+        shared = named_shared_dir(spark)
+        if not shared or not folder.startswith(whole(shared) + "/"):
             raise ValueError(f"{folder} is a machine's own disk: name a folder that all executors share")
     return folder
 
