@@ -15,11 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinmark.functions.normalize import collapse, name_key
 from kinmark.functions.similarity import trigram_similarity, trigrams
+from kinmark.operators import setsearch
 from kinmark.operators.lookup import top_k
 from kinmark.session import materialize
 
@@ -89,30 +90,18 @@ def _term_sets(queries: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], Dat
 
 
 def ranked_all(queries: DataFrame, docs: DataFrame, k: int = 10, rare: int = RARE) -> DataFrame:
-    """As ``ranked``, over all documents that share a term with the query.
+    """As ``ranked``, over all documents that share a term with the query, however common (``rare`` has no effect).
 
-    The best documents with one of the ``rare`` rarest terms give a bound: where
-    the k-th shares s of the query's n terms, a document in front of it shares s
-    as well and so holds one of the n - s + 1 rarest, and 1 + e of e terms more
-    than these; no other term is joined, and only such documents are compared.
+    Equal sets are one query and one document; no row is made for a pair that
+    is not among the k best of a block of documents (``setsearch``).
     """
-    doc_terms = docs.select("part", "did", F.explode("terms").alias("term"))
-    df = doc_terms.groupBy("part", "term").agg(F.count("*").alias("df"))
-    queries, back = _term_sets(queries)
-    q = queries.select("qid", "part", F.explode("terms").alias("term")).join(df, ["part", "term"])
-    q = materialize(q.withColumn("place", F.row_number().over(Window.partitionBy("qid").orderBy("df", "term"))), "ranked-terms")
-    first = _best(queries, docs, doc_terms, q.where(F.col("place") <= rare), k)
-    bound = first.where(F.col("rank") == k).select("qid", F.col("shared").alias("bound"))
-    low = F.coalesce("bound", F.lit(1))
-    extra = F.least(F.lit(RARE), low - 1)
-    size = q.groupBy("qid").agg(F.max("place").alias("n")).join(bound, "qid", "left").select("qid", (F.col("n") - low + 1 + extra).alias("upto"), (extra + 1).alias("least"))
-    return back(_best(queries, docs, doc_terms, q.join(size, "qid").where("place <= upto"), k, F.col("least")))
-
-
-def _best(queries: DataFrame, docs: DataFrame, doc_terms: DataFrame, keys: DataFrame, k: int, least: Column | None = None) -> DataFrame:
-    """The k best of the documents that hold one (``least``) of the query's ``keys``."""
-    met = keys.select("qid", "part", "term", (F.lit(1) if least is None else least).alias("least")).join(doc_terms, ["part", "term"])
-    pairs = met.select("qid", "did").distinct() if least is None else met.groupBy("qid", "did", "least").count().where("count >= least").select("qid", "did")
+    sets, back = _term_sets(queries.where("part IS NOT NULL AND size(terms) > 0").select("qid", setsearch.part_no().alias("part"), setsearch.coded("terms").alias("terms")))
+    return back(setsearch.ranked(setsearch.document_sets(docs, k), sets, k)).select("qid", "did", "shared", "rank")
+
+
+def _best(queries: DataFrame, docs: DataFrame, doc_terms: DataFrame, keys: DataFrame, k: int) -> DataFrame:
+    """The k best of the documents that hold one of the query's ``keys``."""
+    pairs = keys.select("qid", "part", "term").join(doc_terms, ["part", "term"]).select("qid", "did").distinct()
     # 64-bit numbers instead of texts: the intersection of two sets runs on primitive arrays
     coded = F.transform("terms", lambda t: F.xxhash64(t))
     full = pairs.join(queries.select("qid", coded.alias("qt")), "qid").join(docs.select("did", coded.alias("dt")), "did")
