@@ -1,10 +1,11 @@
 """Search by shared terms: as brute force, and without a row for every pair that shares one."""
 
+import itertools
 import random
 
 import pytest
 
-from kinmark.operators import blocking, setsearch
+from kinmark.operators import blocking, matching, setsearch
 
 CLUSTER = "viaf_id string, name_type string, spirit boolean, headings array<string>, birth string, death string"
 
@@ -51,3 +52,20 @@ def test_ranking_over_blocks_and_equal_documents(spark, monkeypatch):
     q, d = spark.createDataFrame(qs, "qid int, part string, terms array<string>"), spark.createDataFrame(ds, "did string, part string, terms array<string>")
     want = best([(i, t) for i, _, t in qs], [(i, t) for i, _, t in ds], set, 7)
     assert {tuple(r) for r in blocking.ranked_all(q, d, 7).collect()} == want and (90, "x", 280, 1) in want
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    """Records and clusters that share a family's word: 360,000 pairs."""
+    rows = [(i, "person", f"{letters(i)} family", f"{letters(i)} family", None, None, None, None, None) for i in range(600)]
+    records = spark.createDataFrame(rows, "id bigint, r_type string, name string, name_norm string, from_date date, from_date_type string, to_date date, to_date_type string, record_group_id bigint")
+    return records, spark.createDataFrame([(f"v{i:04}", "Personal", False, [f"{letters(i)} family"], None, None) for i in range(600)], CLUSTER)
+
+
+def test_cascade_makes_no_row_for_every_pair(spark, hot):
+    records, clusters = hot
+    none = spark.createDataFrame([], "id bigint, name string, g_type string, viaf_id string"), spark.createDataFrame([], "id bigint, record_group_id bigint, valid boolean")
+    before = shuffled(spark)
+    got = {r.record_id: r.viaf_id for r in matching.cascade(records, none[0], records, none[1], clusters).collect()}
+    assert shuffled(spark) - before < 150_000
+    assert got == {i: f"v{i:04}" for i in range(600)}
