@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinmark.functions.normalize import collapse, name_key
-from kinmark.functions.similarity import trigram_similarity, trigrams
+from kinmark.functions.similarity import trigrams
 from kinmark.operators import setsearch
 from kinmark.operators.lookup import top_k
 from kinmark.session import materialize
@@ -172,18 +172,11 @@ def similar_names(names: DataFrame, bound: float = 0.75) -> DataFrame:
     """a, b, similarity: pairs of distinct texts whose trigram similarity exceeds ``bound``.
 
     Prefix filter: sets whose overlap exceeds the bound share one of the rarest
-    ``n - ceil(bound * n) + 1`` trigrams of each, so only those are joined.
+    trigrams of each, so only the lists of those are read (``setsearch``); no
+    row is made for a pair below the bound.
     """
-    t = names.select(F.col("name").alias("t")).where("t IS NOT NULL").distinct().withColumn("g", trigrams(F.col("t"))).where("size(g) > 0").withColumn("n", F.size("g"))
-    grams = t.select("t", "n", F.explode("g").alias("gram"))
-    df = grams.groupBy("gram").agg(F.count("*").alias("df"))
-    ordered = grams.join(df, "gram").groupBy("t", "n").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("o"))
-    prefix = ordered.select("t", "n", F.explode(F.slice("o", F.lit(1), (F.col("n") - F.ceil(F.col("n") * F.lit(bound)) + 1).cast("int"))).alias("e")).select("t", "n", "e.gram")
-    a, b = prefix.alias("a"), prefix.alias("b")
-    pairs = a.join(b, "gram").where((F.col("a.t") < F.col("b.t")) & (F.least("a.n", "b.n") > F.lit(bound) * F.greatest("a.n", "b.n"))).select(F.col("a.t").alias("a"), F.col("b.t").alias("b")).distinct()
-    sets = t.select("t", "g")
-    full = pairs.join(sets.select(F.col("t").alias("a"), F.col("g").alias("ga")), "a").join(sets.select(F.col("t").alias("b"), F.col("g").alias("gb")), "b")
-    return full.withColumn("similarity", trigram_similarity(F.col("ga"), F.col("gb"))).where(F.col("similarity") > bound).select("a", "b", F.round("similarity", 6).alias("similarity"))
+    t = names.select(F.col("name").alias("t")).where("t IS NOT NULL").distinct().withColumn("g", trigrams(F.col("t")))
+    return setsearch.similar(t.select("t", setsearch.coded("g").alias("terms")), bound)
 
 
 def close_records(records: DataFrame, bound: int = 5) -> DataFrame:

@@ -69,3 +69,19 @@ def test_cascade_makes_no_row_for_every_pair(spark, hot):
     got = {r.record_id: r.viaf_id for r in matching.cascade(records, none[0], records, none[1], clusters).collect()}
     assert shuffled(spark) - before < 150_000
     assert got == {i: f"v{i:04}" for i in range(600)}
+
+
+@pytest.fixture(scope="module")
+def alike():
+    rng = random.Random(6)
+    return sorted({"".join(rng.choices("abc", k=10)) for _ in range(1200)})
+
+
+def test_most_similar_makes_no_row_for_every_pair(spark, alike):
+    rows = [(i, "person", n, n, None, None, None, None, i if i % 2 else None) for i, n in enumerate(alike)]
+    records = spark.createDataFrame(rows, "id bigint, r_type string, name string, name_norm string, from_date date, from_date_type string, to_date date, to_date_type string, record_group_id bigint")
+    before = shuffled(spark)
+    got = {r.record_id: r.other_id for r in matching.in_database(records.where("id % 2 = 0"), records.where("id % 2 = 1")).collect()}
+    assert shuffled(spark) - before < 50_000
+    grams = [{f"  {n} "[i : i + 3] for i in range(11)} for n in alike]
+    assert got and all(len(grams[x] & grams[y]) / len(grams[x] | grams[y]) > 0.75 for x, y in got.items())
