@@ -85,3 +85,14 @@ def test_most_similar_makes_no_row_for_every_pair(spark, alike):
     assert shuffled(spark) - before < 50_000
     grams = [{f"  {n} "[i : i + 3] for i in range(11)} for n in alike]
     assert got and all(len(grams[x] & grams[y]) / len(grams[x] | grams[y]) > 0.75 for x, y in got.items())
+
+
+def test_ngram_persons_make_no_row_for_every_pair(spark):
+    rng = random.Random(5)
+    texts = [(i, "".join(rng.choices("abcd", k=10))) for i in range(600)]
+    records = spark.createDataFrame([(i, "person", t, t, None, None, None, None) for i, t in texts], "id bigint, r_type string, name string, name_norm string, from_date date, from_date_type string, to_date date, to_date_type string")
+    clusters = spark.createDataFrame([(f"v{i:04}", "Personal", False, [t], None, None) for i, t in texts], CLUSTER)
+    before = shuffled(spark)
+    got = {r.record_id: r.viaf_id for r in matching.ngram_person(records, blocking.headings(clusters)).collect()}
+    assert shuffled(spark) - before < 60_000
+    assert len(got) == 600 and all(texts[i][1] == texts[int(v[1:])][1] for i, v in got.items())
