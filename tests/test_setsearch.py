@@ -96,3 +96,12 @@ def test_ngram_persons_make_no_row_for_every_pair(spark):
     got = {r.record_id: r.viaf_id for r in matching.ngram_person(records, blocking.headings(clusters)).collect()}
     assert shuffled(spark) - before < 60_000
     assert len(got) == 600 and all(texts[i][1] == texts[int(v[1:])][1] for i, v in got.items())
+
+
+def test_keyword_search_makes_no_row_for_every_pair(spark, hot):
+    records, clusters = hot
+    before = shuffled(spark)
+    got = {tuple(r) for r in blocking.keyword_candidates(records, blocking.headings(clusters), whole=True).collect()}
+    assert shuffled(spark) - before < 60_000
+    texts = [(i, f"{letters(i)} family") for i in range(600)]
+    assert {r for r in got if r[0] < 60} == best(texts[:60], [(f"v{i:04}", t) for i, t in texts], lambda t: set(t.split()))
