@@ -105,3 +105,12 @@ def test_keyword_search_makes_no_row_for_every_pair(spark, hot):
     assert shuffled(spark) - before < 60_000
     texts = [(i, f"{letters(i)} family") for i in range(600)]
     assert {r for r in got if r[0] < 60} == best(texts[:60], [(f"v{i:04}", t) for i, t in texts], lambda t: set(t.split()))
+
+
+def test_similar_records_make_no_row_for_every_pair(spark, alike):
+    records = spark.createDataFrame([(i, n, i) for i, n in enumerate(alike)], "id bigint, name_norm string, record_group_id bigint")
+    before = shuffled(spark)
+    got = {(r.record_id, r.other_id) for r in blocking.similar_records(records).collect()}
+    assert shuffled(spark) - before < 50_000
+    grams = [{f"  {n} "[i : i + 3] for i in range(11)} for n in alike]
+    assert {p for p in got if p[0] < p[1]} == {(x, y) for x, y in itertools.combinations(range(len(alike)), 2) if len(grams[x] & grams[y]) / len(grams[x] | grams[y]) > 0.75}
