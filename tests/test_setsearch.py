@@ -114,3 +114,11 @@ def test_similar_records_make_no_row_for_every_pair(spark, alike):
     assert shuffled(spark) - before < 50_000
     grams = [{f"  {n} "[i : i + 3] for i in range(11)} for n in alike]
     assert {p for p in got if p[0] < p[1]} == {(x, y) for x, y in itertools.combinations(range(len(alike)), 2) if len(grams[x] & grams[y]) / len(grams[x] | grams[y]) > 0.75}
+
+
+def test_keyword_persons_make_no_row_for_every_pair(spark, hot):
+    records, clusters = hot
+    before = shuffled(spark)
+    got = {r.record_id: r.viaf_id for r in matching.keyword_person(records, blocking.headings(clusters)).collect()}
+    assert shuffled(spark) - before < 60_000
+    assert got == {i: f"v{i:04}" for i in range(600)}
