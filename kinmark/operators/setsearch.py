@@ -23,8 +23,8 @@ from pyspark.sql import types as T
 from kinmark.operators.lookup import top_k
 from kinmark.session import materialize
 
-#: Documents of a block, queries of a chunk, and the chunks that few queries are dealt to.
-BLOCK, CHUNK, LEAST_CHUNKS = 128_000, 100_000, 16
+#: Documents of a block, queries of a chunk, and the chunks that few queries are dealt to; fewer where the documents, which go to every chunk, are as many.
+BLOCK, CHUNK, LEAST_CHUNKS, LEAST_ALIKE = 128_000, 200_000, 16, 4
 #: A term of every so-many-th document has a byte for each document.
 COMMON = 40
 #: Lists that are read beyond those of which a similar set is in one.
@@ -48,11 +48,11 @@ def document_sets(docs: DataFrame, k: int) -> DataFrame:
     return materialize(one.withColumn("did", F.col("dids")[0]), "document-sets")
 
 
-def _dealt(docs: DataFrame, queries: DataFrame, order: list[str]) -> tuple[DataFrame, int]:
+def _dealt(docs: DataFrame, queries: DataFrame, order: list[str], least: int) -> tuple[DataFrame, int]:
     """Both (no, ...) under one schema, a partition for each block and chunk, documents first in the given order; the number of blocks."""
     blocks = max(1, -(-docs.count() // BLOCK))
     n = queries.count()
-    chunks = max(-(-n // CHUNK), min(LEAST_CHUNKS, n // 1000), 1)
+    chunks = max(-(-n // CHUNK), min(least, n // 1000), 1)
     block, chunk = F.pmod(F.col("no"), F.lit(blocks)).cast("int"), F.pmod(F.col("no"), F.lit(chunks)).cast("int")
     each = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     d = docs.select("*", each(chunks).alias("other")).withColumn("task", block * chunks + F.col("other")).withColumn("query", F.lit(False))
@@ -158,7 +158,7 @@ def ranked(docs: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     size and lowest id; the k first sets hold the k first documents.
     """
     d = docs.select(F.col("set_no").alias("no"), "part", "terms", "dids", "did", F.size("terms").alias("size"))
-    rows, blocks = _dealt(d, queries.select(F.col("qid").alias("no"), "part", "terms"), ["part", "size", "did"])
+    rows, blocks = _dealt(d, queries.select(F.col("qid").alias("no"), "part", "terms"), ["part", "size", "did"], LEAST_CHUNKS)
     kind = docs.schema["did"].dataType
     out = T.StructType([T.StructField("qid", T.LongType()), T.StructField("did", kind), T.StructField("shared", T.IntegerType()), T.StructField("size", T.IntegerType()), T.StructField("rank", T.IntegerType())])
 
@@ -274,7 +274,7 @@ class Similar(Postings):
 def similar(names: DataFrame, bound: float) -> DataFrame:
     """a, b, similarity: pairs of names (t, terms as of ``coded``) whose sets' Jaccard similarity exceeds the bound, a < b."""
     sets = materialize(names.where("size(terms) > 0").select(F.xxhash64("t").alias("no"), "t", "terms", F.size("terms").alias("size")), "name-sets")
-    rows, _ = _dealt(sets, sets, ["size"])
+    rows, _ = _dealt(sets, sets, ["size"], LEAST_ALIKE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, texts = None, None
