@@ -16,17 +16,20 @@ def jaro_bytes(a: bytes, b: bytes) -> float:
     if not n or not m:
         return 0.0
     reach = max(0, max(n, m) // 2 - 1)
-    hit_a, hit_b = [False] * n, [False] * m
-    common = 0
-    for i, c in enumerate(a):
-        for j in range(max(0, i - reach), min(m, i + reach + 1)):
-            if not hit_b[j] and b[j] == c:
-                hit_a[i] = hit_b[j] = True
-                common += 1
-                break
+    # a text of one letter a byte, in which a letter that was met gives way to one that no byte is
+    left = b.decode("latin-1")
+    met: list[str] = []
+    places: list[int] = []
+    for i, c in enumerate(a.decode("latin-1")):
+        j = left.find(c, max(0, i - reach), i + reach + 1)
+        if j >= 0:
+            left = f"{left[:j]}\u0100{left[j + 1 :]}"
+            met.append(c)
+            places.append(j)
+    common = len(met)
     if not common:
         return 0.0
-    swapped = sum(x != y for x, y in zip([c for c, h in zip(a, hit_a, strict=True) if h], [c for c, h in zip(b, hit_b, strict=True) if h], strict=True)) // 2
+    swapped = sum(ord(x) != b[j] for x, j in zip(met, sorted(places), strict=True)) // 2
     return (common / n + common / m + (common - swapped) / common) / 3
 
 

@@ -27,6 +27,8 @@ from kinmark.session import materialize
 BLOCK, CHUNK, LEAST_CHUNKS, LEAST_ALIKE = 128_000, 200_000, 16, 4
 #: A term of every so-many-th document has a byte for each document.
 COMMON = 40
+#: Documents, one in each of so many rows of counts, of which the largest count is taken at once.
+STRIPES = 64
 #: Lists that are read beyond those of which a similar set is in one.
 EXTRA = 2
 
@@ -115,7 +117,7 @@ class Best(Postings):
         self.has = np.zeros((len(common), self.n), dtype=np.uint8)
         for i, t in enumerate(common):
             self.has[i, self.docs[self.starts[t] : self.starts[t + 1]]] = 1
-        self.counts = np.zeros(self.n, dtype=np.uint8)
+        self.counts = np.zeros(-(-self.n // STRIPES) * STRIPES, dtype=np.uint8)  # up to a whole stripe; those behind the last document share nothing
         self.docs = self.docs.astype(np.intp)  # as they are used to index: no cast for each list
         self.terms = None  # not needed here
 
@@ -131,22 +133,19 @@ class Best(Postings):
             found, shared = np.unique(np.concatenate(rare), return_counts=True)
             first = np.lexsort((found, -shared))[:k]
             return found[first], shared[first]
-        counts = self.counts if len(terms) < 256 else np.zeros(self.n, dtype=np.int32)
+        counts = self.counts if len(terms) < 256 else np.zeros(len(self.counts), dtype=np.int32)
         counts[:] = 0
+        own = counts[: self.n]
         for r in rows:
-            counts += self.has[r]
+            own += self.has[r]
         for d in rare:
-            counts[d] += 1  # a document stands once in a list
-        low, high = 1, int(counts.max())  # the largest number that k documents reach
-        while low < high:
-            middle = (low + high + 1) // 2
-            if np.count_nonzero(counts >= middle) >= k:
-                low = middle
-            else:
-                high = middle - 1
-        more = np.flatnonzero(counts > low)
-        found = np.concatenate([more[np.lexsort((more, -counts[more].astype(np.int64)))], np.flatnonzero(counts == low)[: k - len(more)]])
-        return found, counts[found].astype(np.int64)
+            own[d] += 1  # a document stands once in a list
+        top = counts.reshape(STRIPES, -1).max(axis=0)  # each of another document: k of them reach what the k best reach at least
+        low = max(1, int(np.partition(top, len(top) - k)[len(top) - k])) if len(top) > k else 1
+        found = np.flatnonzero(own >= low)
+        shared = own[found]
+        first = np.argsort(np.iinfo(shared.dtype).max - shared, kind="stable")[:k]
+        return found[first], shared[first].astype(np.int64)
 
 
 def ranked(docs: DataFrame, queries: DataFrame, k: int) -> DataFrame:

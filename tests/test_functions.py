@@ -142,3 +142,24 @@ def test_names_by_parts(heading, name, want):
 
     whole = jaro_bytes(cleaned(heading).encode(), cleaned(name).encode())
     assert match_quality(heading, name) == (want if want is not None else MAYBE if whole >= 0.9 else whole)
+
+
+def test_names_decided_by_parts_need_no_similarity(monkeypatch):
+    def refused(*_):
+        raise AssertionError("compared letter by letter")
+
+    monkeypatch.setattr(humanname, "jaro_bytes", refused)
+    assert [humanname.match_quality("Doe, Jane Quincy", y) for y in ("Roe, Jane Quincy", "Doe, Jane Q.", "Doe, Jane Quincy")] == [0.0, 0.99, 1.0]
+
+
+def test_jaro_by_its_definition():
+    def plain(a, b):
+        reach, met = max(0, max(len(a), len(b)) // 2 - 1), {}
+        for i, c in enumerate(a):
+            j = next((j for j in range(len(b)) if abs(i - j) <= reach and j not in met and b[j] == c), None)
+            met |= {} if j is None else {j: c}
+        m, swapped = len(met), sum(c != b[j] for c, j in zip(met.values(), sorted(met), strict=True)) // 2
+        return m and (m / len(a) + m / len(b) + (m - swapped) / m) / 3
+
+    for a, b in ((b"martha", b"marhta"), (b"dixon", b"dickson"), ("Jané".encode(), "Janö É".encode()), (b"aab\x00\xff", b"b\xffa\x00a"), (b"ab", b"xy"), (bytes(range(256)), bytes(range(256))[::-1])):
+        assert similarity.jaro_bytes(a, b) == pytest.approx(plain(a, b))

@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 
 from kinmark.operators import blocking, matching, setsearch
@@ -122,3 +123,16 @@ def test_keyword_persons_make_no_row_for_every_pair(spark, hot):
     got = {r.record_id: r.viaf_id for r in matching.keyword_person(records, blocking.headings(clusters)).collect()}
     assert shuffled(spark) - before < 60_000
     assert got == {i: f"v{i:04}" for i in range(600)}
+
+
+@pytest.mark.parametrize("n", [9, 64, 65, 700])
+def test_best_of_many_equal_documents(n):
+    rng = random.Random(n)
+    docs = [tuple(sorted(rng.sample(range(12), rng.randrange(1, 6)))) for _ in range(n)] + [tuple(range(300))]
+    flat = lambda sets: (np.array([t for s in sets for t in s], dtype=np.int64), np.concatenate([[0], np.cumsum([len(s) for s in sets])]))
+    index = setsearch.Best(*flat(docs))
+    for asked in [tuple(sorted(rng.sample(range(12), rng.randrange(1, 9)))) for _ in range(40)] + [tuple(range(300))]:
+        terms, _ = index.known(*flat([asked]))
+        want = sorted((-len(set(asked) & set(d)), i) for i, d in enumerate(docs) if set(asked) & set(d))[:10]
+        found, shared = index.best(terms, 10)
+        assert [(-s, i) for i, s in zip(found.tolist(), shared.tolist(), strict=True)] == want
